@@ -63,16 +63,10 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(src), "".join(dst), multi
 
 
-def _char_class(chars) -> str:
-    parts = []
-    for ch in chars:
-        parts.append(f"\\x{{{ord(ch):X}}}")
-    return "[" + "".join(parts) + "]"
-
-
-@functools.lru_cache(maxsize=1)
-def _multi_fold_class() -> str:
-    return _char_class(_fold_tables()[2].keys())
+def has_any_char(col: Column, chars: str) -> Column:
+    """True when ``col`` holds any of ``chars`` (one translate pass, a
+    hash lookup per character; far cheaper than a large regex class)."""
+    return F.length(F.translate(col, chars, "")) < F.length(col)
 
 
 def ascii_fold(c: ColumnOrName) -> Column:
@@ -90,7 +84,7 @@ def ascii_fold(c: ColumnOrName) -> Column:
         F.transform(F.regexp_extract_all(col, F.lit(r"(?s)."), 0),
                     lambda ch: F.coalesce(F.element_at(mapping, ch), ch)),
         "")
-    expanded = F.when(col.rlike(_multi_fold_class()), per_char).otherwise(col)
+    expanded = F.when(has_any_char(col, "".join(multi)), per_char).otherwise(col)
     return F.regexp_replace(F.translate(expanded, src, dst), r"[^\x00-\x7F]", "")
 
 
