@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from indicarium import schema as S
 
 
+def _q(name: str):
+    """A column by its literal name (names from public files hold dots,
+    spaces and parentheses)."""
+    return F.col(f"`{name}`")
+
+
 def unpivot_years(df: DataFrame, ids: list[str], year_cols: list[str] | None = None,
                   value: str = S.VALUE_COL, year_col: str = S.YEAR_COL,
                   value_type: str | None = None) -> DataFrame:
@@ -16,8 +22,8 @@ def unpivot_years(df: DataFrame, ids: list[str], year_cols: list[str] | None = N
     cols = year_cols or [c for c in df.columns if c not in ids]
     src = df
     if value_type:
-        src = df.select(*ids, *[F.col(f"`{c}`").cast(value_type).alias(c) for c in cols])
-    long = src.unpivot(ids, cols, year_col, value)
+        src = df.select(*[_q(i) for i in ids], *[_q(c).cast(value_type).alias(c) for c in cols])
+    long = src.unpivot([_q(i) for i in ids], [_q(c) for c in cols], year_col, value)
     return long.withColumn(year_col, F.col(year_col).try_cast("int"))
 
 
@@ -29,8 +35,8 @@ def unpivot_indicators(df: DataFrame, ids: list[str], indicator_cols: list[str]
     cols = indicator_cols or [c for c in df.columns if c not in ids]
     src = df
     if value_type:
-        src = df.select(*ids, *[F.col(f"`{c}`").cast(value_type).alias(c) for c in cols])
-    return src.unpivot(ids, cols, name_col, value)
+        src = df.select(*[_q(i) for i in ids], *[_q(c).cast(value_type).alias(c) for c in cols])
+    return src.unpivot([_q(i) for i in ids], [_q(c) for c in cols], name_col, value)
 
 
 def map_to_rows(df: DataFrame, map_col: str, key: str = S.YEAR_COL, value: str = "raw") -> DataFrame:

@@ -198,3 +198,12 @@ def years_in_text_sql(c: str) -> str:
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def micro(t: Tables) -> DataFrame:
+    """Microdata: line items with their order's municipality and year."""
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                           "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    o = order_facts(t).select("o_orderkey", "o_custkey", "codigo_municipio", "ano", "o_orderstatus",
+                              "o_orderpriority")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))

@@ -1 +1,289 @@
-"""Indicator pipelines P1-P15 (filled below)."""
+"""Indicator pipelines P1-P15 as compositions of the library operators.
+
+Each pipeline is a plain function over its raw inputs (columns named as in
+the public files) returning the long fact shape
+(codigo_municipio, ano, dado_identificador, tipo_dado, valor) with
+``valor`` in its native type. ``bind_*`` functions land those raw inputs
+from the driver's tables (SURVEY 7.3) and the registered ``pN`` queries
+run binding -> pipeline, each with a DuckDB oracle for the same facts.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from indicarium import schema as S
+from indicarium.functions import numbers as N
+from indicarium.functions import predicates as P
+from indicarium.functions import text as X
+from indicarium.operators import aggregates as G
+from indicarium.operators import filters as D
+from indicarium.operators import joins as J
+from indicarium.operators import ordering as I
+from indicarium.operators import reshape as H
+from indicarium.operators import schema_ops as C
+from indicarium.operators import sets as U
+from indicarium.operators import validate as K
+from indicarium.plans import bindings as B
+from indicarium.plans.queries import query, CATALOGUE, catalogue_df
+from indicarium.sources import readers as A
+
+CTE = B.with_ctes
+MUN, ORD, FEED = B.MUN_SQL, B.ORD_SQL, B.FEED_SQL
+
+
+def checked(df: DataFrame) -> DataFrame:
+    """C12 + K1 inline: fact column order, contract checked while the rows flow."""
+    return K.enforce_contract(C.to_fact_order(df))
+
+
+def _year_slice(o: DataFrame, y: int) -> DataFrame:
+    """Rows of one year by a range predicate on the raw date (pushed into
+    the parquet scan, so each yearly edition reads only its row groups)."""
+    return o.filter((F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) &
+                    (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz")))
+
+
+YEARS = list(range(1995, 2002))
+
+# ---------------------------------------------------------------------------
+# P1 DATASUS: 'CODE6 NAME;value' tables per year with totals, ignored-city
+# lines, '...' null tokens and footer notes
+# ---------------------------------------------------------------------------
+P1_NAME, P1_TYPE, P1_TOPIC = "pedido_medio", "float", "Saude"
+
+
+def bind_p1(t: B.Tables) -> DataFrame:
+    o = B.order_facts(t)
+    seg = B.municipalities(t).select("c_custkey", "c_mktsegment", "sigla_uf")
+    per_city = o.groupBy("o_custkey", "ano").agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.sum(F.col("o_totalprice").cast("decimal(18,2)")) * 100).cast("bigint").alias("cents"))
+    per_city = per_city.join(J.bounded_broadcast(seg), F.col("o_custkey") == F.col("c_custkey"))
+    # mean in cents by integer division, written with a decimal comma
+    mean = F.floor(F.col("cents") / F.col("n")).cast("bigint")
+    value = F.when(F.col("n") == 1, F.lit("...")).otherwise(
+        F.concat((mean / 100).cast("bigint").cast("string"), F.lit(","), F.lpad((mean % 100).cast("string"), 2, "0")))
+    cities = per_city.select(
+        F.concat_ws(" ", (F.lit(100000) + F.col("o_custkey")).cast("string"), F.upper("c_mktsegment")).alias("Município"),
+        value.alias("Valor"), "ano")
+    per_uf = per_city.groupBy("sigla_uf", "ano").agg(F.sum("n").alias("n"))
+    totals = per_uf.select(F.lit("Total").alias("Município"), F.col("n").cast("string").alias("Valor"), "ano")
+    ignored = per_uf.select(F.concat(F.lit("MUNICIPIO IGNORADO - "), F.col("sigla_uf")).alias("Município"),
+                            F.lit("1").alias("Valor"), "ano")
+    notes = per_uf.select(F.lit("Fonte: pedidos").alias("Município"), F.lit(None).cast("string").alias("Valor"),
+                          "ano").distinct()
+    return cities.unionByName(totals).unionByName(ignored).unionByName(notes)
+
+
+def p1_datasus(raw: DataFrame, municipalities: DataFrame, data_name: str = P1_NAME,
+               dtype: str = P1_TYPE) -> DataFrame:
+    """A2 -> D7 -> D3 -> D6 -> D7 -> C8 -> C11 -> J1 -> E1 -> D5 -> E2 -> F1 -> K1."""
+    df = D.drop_nulls(raw)                                          # footer notes
+    df = df.filter(P.not_total_row("Município"))                    # totals / ignored
+    df = df.withColumn("Valor", P.null_token("Valor", ["..."]))     # '...'
+    df = D.drop_nulls(df)
+    df = C.positional_value(df, 1)                                  # 2nd column is the value
+    df = C.add_metadata(df, dado_identificador=data_name, tipo_dado=dtype)
+    df = df.withColumn("codigo", X.digits_only("Município")).filter(P.non_empty("codigo"))
+    df = df.withColumn(S.CITY_CODE_COL, F.col("codigo").try_cast("bigint"))
+    df = df.withColumn(S.VALUE_COL, N.decimal_comma(S.VALUE_COL))
+    df = J.upgrade_city_code(df, S.CITY_CODE_COL, municipalities)
+    return checked(df)
+
+
+@query("p1", CTE(ORD) + f"""
+SELECT codigo_municipio, ano, '{P1_NAME}' AS dado_identificador, '{P1_TYPE}' AS tipo_dado,
+       CAST(CAST(c // 100 AS VARCHAR) || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS DOUBLE) AS valor
+FROM (SELECT codigo_municipio, ano, count(*) AS n,
+             CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) * 100 AS BIGINT) // count(*) AS c
+      FROM ord GROUP BY codigo_municipio, ano)
+WHERE n > 1""")
+def p1(spark, d):
+    t = B.Tables(spark, d)
+    return p1_datasus(bind_p1(t), B.municipalities(t))
+
+
+# ---------------------------------------------------------------------------
+# P2 formal jobs: wide 'Cod. Loc.' x year columns, thousands dots
+# ---------------------------------------------------------------------------
+P2_YEARS = [1996, 2000]
+
+
+def bind_p2(t: B.Tables) -> DataFrame:
+    m = B.micro(t)
+    per = m.groupBy("o_custkey").agg(*[
+        F.sum(F.when(F.col("ano") == y, F.col("l_quantity"))).cast("bigint").alias(str(y)) for y in P2_YEARS])
+    dotted = {str(y): F.when(F.col(str(y)).isNull(), F.lit("-")).otherwise(
+        F.translate(F.format_number(F.col(str(y)), 0), ",", ".")) for y in P2_YEARS}
+    cities = per.select((F.lit(100000) + F.col("o_custkey")).cast("string").alias("Cod. Loc."),
+                        *[dotted[str(y)].alias(str(y)) for y in P2_YEARS])
+    total = per.agg(*[F.sum(str(y)).alias(str(y)) for y in P2_YEARS]).select(
+        F.lit("Total").alias("Cod. Loc."), *[F.col(str(y)).cast("string").alias(str(y)) for y in P2_YEARS])
+    return cities.unionByName(total)
+
+
+def p2_formal_jobs(raw: DataFrame, municipalities: DataFrame) -> DataFrame:
+    """A1 -> H1 -> J1 -> C3 -> D4 -> E3 -> D6 -> C11 -> F1 -> K1."""
+    years = [c for c in raw.columns if c.isdigit()]
+    df = H.unpivot_years(raw, ["Cod. Loc."], years)
+    df = C.rename_columns(df, {"Cod. Loc.": S.CITY_CODE_COL})
+    df = df.filter(P.all_digits(S.CITY_CODE_COL, 6))
+    df = df.withColumn(S.VALUE_COL, P.null_token(N.strip_thousands(S.VALUE_COL), ["-"]))
+    df = D.drop_nulls(df, [S.VALUE_COL])
+    df = df.withColumn(S.VALUE_COL, F.col(S.VALUE_COL).try_cast("bigint"))
+    df = C.add_metadata(df, dado_identificador="Emprego", tipo_dado="int")
+    df = df.withColumn(S.CITY_CODE_COL, F.col(S.CITY_CODE_COL).try_cast("bigint"))
+    return checked(J.upgrade_city_code(df, S.CITY_CODE_COL, municipalities))
+
+
+MICRO_SQL = f"""micro AS (
+  SELECT l.*, o.o_custkey, {B.city_code_sql('o.o_custkey')} AS codigo_municipio, CAST(year(o.o_orderdate) AS INTEGER) AS ano,
+         o.o_orderstatus, o.o_orderpriority
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
+@query("p2", CTE(MICRO_SQL) + f"""
+SELECT codigo_municipio, ano, 'Emprego' AS dado_identificador, 'int' AS tipo_dado, CAST(sum(l_quantity) AS BIGINT) AS valor
+FROM micro WHERE ano IN ({", ".join(map(str, P2_YEARS))}) GROUP BY codigo_municipio, ano""")
+def p2(spark, d):
+    t = B.Tables(spark, d)
+    return p2_formal_jobs(bind_p2(t), B.municipalities(t))
+
+
+# ---------------------------------------------------------------------------
+# P3 CAPAG: one file per year, code and grade columns renamed across years
+# ---------------------------------------------------------------------------
+def _grade(max_price):
+    return (F.when(max_price > 400000, "A").when(max_price > 300000, "B")
+             .when(max_price > 200000, "C").otherwise("D"))
+
+
+P3_GRADE_SQL = ("CASE WHEN max(o_totalprice) > 400000 THEN 'A' WHEN max(o_totalprice) > 300000 THEN 'B' "
+                "WHEN max(o_totalprice) > 200000 THEN 'C' ELSE 'D' END")
+
+
+def bind_p3(t: B.Tables) -> dict[int, DataFrame]:
+    """Yearly CAPAG files; older years name the columns differently and
+    newer ones carry two columns with 'capag' in the name."""
+    o = t.orders
+    files = {}
+    for y in YEARS:
+        g = _year_slice(o, y).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("mx"))
+        grade = F.when(F.col("n") == 1, F.lit("n.d.")).otherwise(_grade(F.col("mx")))
+        code = B.city_code(F.col("o_custkey"))
+        if y <= 1997:
+            files[y] = g.select(code.alias("Código_Município_Completo"), grade.alias("CAPAG"))
+        else:
+            files[y] = g.select(code.alias("Cod.IBGE"), grade.alias("Classificação_CAPAG"),
+                                F.col("n").cast("string").alias("Nota_CAPAG_2"))
+    return files
+
+
+def p3_capag(files: dict[int, DataFrame]) -> DataFrame:
+    """C5 -> C6 -> C7 -> C1 -> D6 -> D7 -> J1 -> C11 -> K1 (per file, then one union)."""
+    out = {}
+    for y, df in files.items():
+        df = C.normalise_column_names(df, "spaced")
+        df = C.resolve_column(df, ["código município completo", "cod.ibge"], S.CITY_CODE_COL)
+        df = C.resolve_by_fragment(df, "capag", S.VALUE_COL, tie_break="classificação")
+        df = C.keep_columns(df, [S.CITY_CODE_COL, S.VALUE_COL])
+        df = df.withColumn(S.VALUE_COL, P.null_token(S.VALUE_COL))
+        out[y] = D.drop_nulls(df)
+    df = U.union_years(out)
+    df = C.add_metadata(df, dado_identificador="CAPAG", tipo_dado="str")
+    return checked(df)
+
+
+@query("p3", CTE(ORD) + f"""
+SELECT codigo_municipio, ano, 'CAPAG' AS dado_identificador, 'str' AS tipo_dado, {P3_GRADE_SQL} AS valor
+FROM ord GROUP BY codigo_municipio, ano HAVING count(*) > 1""")
+def p3(spark, d):
+    return p3_capag(bind_p3(B.Tables(spark, d)))
+
+
+# ---------------------------------------------------------------------------
+# P4 higher-education places (flagship): microdata -> in-list filter ->
+# zero-fill conditional sum -> metadata -> contract
+# ---------------------------------------------------------------------------
+P4_LISTS = {
+    "TP_GRAU_ACADEMICO": ["A", "R"],
+    "TP_NIVEL_ACADEMICO": ["F"],
+    "TP_ORGANIZACAO_ACADEMICA": ["F", "P"],
+    "TP_CATEGORIA_ADMINISTRATIVA": ["1-URGENT", "2-HIGH", "3-MEDIUM"],
+    "TP_MODALIDADE_ENSINO": [1, 2, 3, 4],
+}
+
+
+def bind_p4(t: B.Tables) -> DataFrame:
+    """Course microdata: one line item = one course offer."""
+    m = B.micro(t)
+    return m.select(F.col("l_returnflag").alias("TP_GRAU_ACADEMICO"), F.col("l_linestatus").alias("TP_NIVEL_ACADEMICO"),
+                    F.col("o_orderstatus").alias("TP_ORGANIZACAO_ACADEMICA"),
+                    F.col("o_orderpriority").alias("TP_CATEGORIA_ADMINISTRATIVA"),
+                    F.col("l_linenumber").alias("TP_MODALIDADE_ENSINO"),
+                    F.col("l_quantity").alias("QT_VG_TOTAL"), F.col("codigo_municipio").alias("CO_MUNICIPIO"), "ano")
+
+
+def p4_higher_education(raw: DataFrame, lists: dict = P4_LISTS) -> DataFrame:
+    """D7 -> D2 -> F9 -> D11 -> C1 -> G1 -> C11 -> K1 in one aggregate:
+    places summed over the courses passing the in-lists; a city whose
+    courses all fail comes back with 0 (no anti join, no union)."""
+    df = D.drop_nulls(raw, ["CO_MUNICIPIO", "ano", "QT_VG_TOTAL"])
+    keep = reduce(lambda a, b: a & b, [F.col(c).isin(*v) for c, v in lists.items()])
+    df = df.filter(P.not_sentinel("CO_MUNICIPIO", 0))
+    df = J.zero_fill_sum(df.withColumnRenamed("CO_MUNICIPIO", S.CITY_CODE_COL), [S.CITY_CODE_COL, "ano"],
+                         keep, "QT_VG_TOTAL")
+    df = df.withColumn(S.VALUE_COL, F.col(S.VALUE_COL).cast("bigint"))
+    df = C.add_metadata(df, dado_identificador="Vagas ensino superior", tipo_dado="int")
+    return checked(df)
+
+
+@query("p4", CTE(MICRO_SQL) + """
+SELECT codigo_municipio, ano, 'Vagas ensino superior' AS dado_identificador, 'int' AS tipo_dado,
+       CAST(SUM(CASE WHEN l_returnflag IN ('A', 'R') AND l_linestatus IN ('F') AND o_orderstatus IN ('F', 'P')
+                      AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND l_linenumber IN (1, 2, 3, 4)
+                     THEN l_quantity ELSE 0 END) AS BIGINT) AS valor
+FROM micro GROUP BY codigo_municipio, ano""")
+def p4(spark, d):
+    return p4_higher_education(bind_p4(B.Tables(spark, d)))
+
+
+# ---------------------------------------------------------------------------
+# P5 school age-grade distortion: sheet with location x dependency
+# breakdown including 'Total' lines (a cube of the two)
+# ---------------------------------------------------------------------------
+def bind_p5(t: B.Tables) -> DataFrame:
+    o = B.order_facts(t)
+    loc = F.when(F.col("o_orderstatus") == "F", "Urbana").otherwise("Rural")
+    dep = F.when(F.col("o_orderpriority") < "3", "Municipal").otherwise("Estadual")
+    src = o.select("codigo_municipio", "ano", loc.alias("loc"), dep.alias("dep"), "o_orderpriority")
+    cube = src.cube("codigo_municipio", "ano", "loc", "dep").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).alias("u"),
+        F.grouping_id().alias("gid"))
+    # keep full city-year groups (loc/dep may roll up to 'Total')
+    cube = cube.filter(F.col("codigo_municipio").isNotNull() & F.col("ano").isNotNull())
+    return cube.select(F.col("codigo_municipio").alias("Unnamed: 3"),
+                       F.coalesce("loc", F.lit("Total")).alias("Unnamed: 5"),
+                       F.coalesce("dep", F.lit("Total")).alias("Unnamed: 6"),
+                       F.round(F.lit(100.0) * F.col("u") / F.col("n"), 2).alias("Total"), "ano")
+
+
+def p5_school_distortion(raw: DataFrame) -> DataFrame:
+    """D8 -> C2 -> C3 -> C11 -> D7 -> K1."""
+    df = raw.filter(P.both_total("Unnamed: 5", "Unnamed: 6"))
+    df = C.drop_columns(df, ["Unnamed: 5", "Unnamed: 6"])
+    df = C.rename_columns(df, {"Unnamed: 3": S.CITY_CODE_COL, "Total": S.VALUE_COL})
+    df = C.add_metadata(df, dado_identificador="Taxa de distorção idade-série", tipo_dado="float")
+    return checked(D.drop_nulls(df))
+
+
+@query("p5", CTE(ORD) + """
+SELECT codigo_municipio, ano, 'Taxa de distorção idade-série' AS dado_identificador, 'float' AS tipo_dado,
+       round(CAST(100.0 AS DOUBLE) * count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) / count(*), 2) AS valor
+FROM ord GROUP BY codigo_municipio, ano""")
+def p5(spark, d):
+    return p5_school_distortion(bind_p5(B.Tables(spark, d)))

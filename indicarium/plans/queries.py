@@ -794,6 +794,5 @@ def m1_links(spark, d):
 
 def registered() -> dict[str, tuple[QueryFn, str | None]]:
     # pipelines and load/audit register themselves on import
-    from indicarium.plans import pipelines  # noqa: F401
-    from indicarium.plans import load  # noqa: F401
+    from indicarium.plans import pipelines, surveys, apis, load  # noqa: F401
     return REGISTRY
