@@ -60,8 +60,9 @@ def enforce_contract(df: DataFrame) -> DataFrame:
     if extra:
         raise ContractError(f"extra columns {extra}")
     bad = reduce(lambda a, b: a | b, _rules().values())
-    return df.withColumn("__ok", F.when(bad, F.raise_error(F.lit("fact contract violated")))) \
-             .drop("__ok").select(*S.FACT_COLUMNS)
+    # a filter (not a dropped column) so that column pruning cannot remove the check
+    guard = F.when(bad, F.raise_error(F.lit("fact contract violated")).cast("boolean")).otherwise(F.lit(True))
+    return df.filter(guard).select(*S.FACT_COLUMNS)
 
 
 def require_rows(df: DataFrame) -> None:

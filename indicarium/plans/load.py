@@ -46,21 +46,25 @@ def rows_to_load(facts: DataFrame, indicator_dim: DataFrame, municipality_dim: D
 def load_incremental(facts: DataFrame, indicator_dim: DataFrame, municipality_dim: DataFrame,
                      store: str) -> dict:
     """L1: write the new (indicator, year) partitions of ``facts`` into
-    ``store``. Returns the inserted row count (observed during the write,
-    no second pass), the indicator dimension with recomputed year arrays
-    (for the caller to persist) and the unknown indicator names."""
-    from pyspark.sql import Observation
+    ``store``. Returns the inserted row count, the indicator dimension with
+    recomputed year arrays (for the caller to persist) and the unknown
+    indicator names.
+
+    The (indicator, year) partition list is catalogue-sized (indicators x
+    years), so it is the only thing brought to the driver; the inserted
+    count is read back from the partitions this load added."""
     spark = facts.sparkSession
     rows, unknown = rows_to_load(facts, indicator_dim, municipality_dim)
-    try:
-        # pairs already in the store: partition columns only (a listing, no data read)
-        loaded = spark.read.parquet(store).select("dado_id", S.YEAR_COL).distinct()
-        rows = rows.join(loaded, ["dado_id", S.YEAR_COL], "left_anti")
-    except Exception:  # noqa: BLE001 - first load: the store does not exist yet
-        pass
-    obs = Observation("load")
-    sinks.write_facts(rows.observe(obs, F.count(F.lit(1)).alias("rows")), store, ["dado_id", S.YEAR_COL])
-    inserted = obs.get.get("rows", 0)
+    before = _partitions(spark, store)
+    if before:
+        loaded = spark.createDataFrame(sorted(before), "dado_id int, ano int")
+        rows = rows.join(F.broadcast(loaded), ["dado_id", S.YEAR_COL], "left_anti")
+    sinks.write_facts(rows, store, ["dado_id", S.YEAR_COL])
+    added = sorted(_partitions(spark, store) - before)
+    inserted = 0
+    if added:
+        new = spark.createDataFrame(added, "dado_id int, ano int")
+        inserted = spark.read.parquet(store).join(F.broadcast(new), ["dado_id", S.YEAR_COL], "left_semi").count()
     years = spark.read.parquet(store).groupBy("dado_id").agg(
         F.array_sort(F.collect_set(S.YEAR_COL)).alias("__stored"))
     dim = indicator_dim.join(years, "dado_id", "left").withColumn(
@@ -68,6 +72,16 @@ def load_incremental(facts: DataFrame, indicator_dim: DataFrame, municipality_di
     return {"rows": inserted, "indicator_dim": dim, "unknown": unknown}
 
 
+def _partitions(spark: SparkSession, store: str) -> set[tuple[int, int]]:
+    """(dado_id, ano) partitions present in the store (partition columns
+    only; an empty or missing store has none)."""
+    try:
+        parts = spark.read.parquet(store).select("dado_id", S.YEAR_COL).distinct().collect()
+    except Exception:  # noqa: BLE001 - first load: the store does not exist yet
+        return set()
+    return {(int(r[0]), int(r[1])) for r in parts}
+
+
 # ---------------------------------------------------------------------------
 # registered L1: rows a load would insert, with years up to 1997 already loaded
 # ---------------------------------------------------------------------------

@@ -14,9 +14,19 @@ from indicarium.functions.text import printable_clean
 LATIN1 = "ISO-8859-1"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's parquet tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """One of the driver's parquet tables.
+
+    A scan that yields fewer splits than the cluster has cores (a small
+    file of one row group) is spread round-robin once, so per-row work
+    (JSON, text folding, regex) uses every core. Large inputs already
+    have more splits than cores and are left untouched (no shuffle)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def delimited_scan(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";",
