@@ -17,15 +17,38 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def fill_missing_year(df: DataFrame, year_col: str, order: str, partition: list[str] | None = None,
-                      out: str | None = None) -> DataFrame:
+                      out: str | None = None, chunk: int | None = 1 << 16) -> DataFrame:
     """A missing year is the last known year + 1; the last known year
     stays the same across consecutive gaps. A leading gap has no
-    predecessor and stays null."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    if partition:
-        w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.last(F.col(year_col), ignorenulls=True).over(w)
-    return df.withColumn(out or year_col, F.coalesce(F.col(year_col), prev + 1))
+    predecessor and stays null.
+
+    A window over a whole source would put a hot source (a third of all
+    rows) in one task. With ``chunk`` (a width in units of the integer
+    ``order`` column) the fill is a parallel prefix scan instead:
+    1. per (source, chunk) the last known year (an aggregate, partial on
+       the map side);
+    2. per chunk the carry-in: the last known year of earlier chunks (a
+       window over one small row per chunk);
+    3. inside each chunk a window bounded by the chunk, falling back to
+       the carry-in.
+    """
+    part = list(partition or [])
+    res = out or year_col
+    y, o = F.col(year_col), F.col(order)
+    if not chunk:
+        w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(res, F.coalesce(y, F.last(y, ignorenulls=True).over(w) + 1))
+    keyed = df.withColumn("__chunk", F.floor(o / chunk))
+    # one row per chunk: its last known year (null when it has none)
+    per_chunk = keyed.groupBy(*part, "__chunk").agg(
+        F.max_by(y, F.when(y.isNotNull(), o)).alias("__last"))
+    wc = Window.partitionBy(*part).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_chunk.select(*part, "__chunk", F.last("__last", ignorenulls=True).over(wc).alias("__in"))
+    wl = Window.partitionBy(*part, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = keyed.withColumn("__prev", F.last(y, ignorenulls=True).over(wl))
+    filled = local.join(carry, [*part, "__chunk"], "left")
+    prev = F.coalesce(F.col("__prev"), F.col("__in"))
+    return filled.withColumn(res, F.coalesce(y, prev + 1)).drop("__chunk", "__prev", "__in")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:

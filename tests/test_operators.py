@@ -50,6 +50,17 @@ def test_fill_missing_year(spark):
     assert got == [("s", 2018), ("s", 2019), ("s", 2019), ("s", 2021), ("t", None)]
 
 
+def test_chunked_fill_equals_whole_window(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(s, p, rnd.choice([None, None, 1990 + p % 30])) for s in range(3) for p in rnd.sample(range(3000), 300)]
+    df = spark.createDataFrame(rows, "s int, p long, y int")
+    whole = {(r.s, r.p): r.y for r in I.fill_missing_year(df, "y", "p", ["s"], chunk=None).collect()}
+    for width in (5, 128, 10_000):
+        got = {(r.s, r.p): r.y for r in I.fill_missing_year(df, "y", "p", ["s"], chunk=width).collect()}
+        assert got == whole
+
+
 def test_year_arrays(spark):
     df = spark.createDataFrame([([2010, 2012], [2012, 2011])], "old array<int>, new array<int>")
     r = df.select(U.years_union("old", "new").alias("u"), U.years_new("new", "old").alias("n")).first()
