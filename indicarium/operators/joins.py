@@ -101,11 +101,24 @@ def fanout_sum(df: DataFrame, lookup: DataFrame, on: str, target: str,
     return joined.groupBy(target).agg(*[F.sum(F.col(m) * F.col("__copies")).alias(m) for m in measures])
 
 
-def outer_merge(frames: list[DataFrame], key: str) -> DataFrame:
-    """N-way full outer merge on one key (USING join keeps one key
-    column). Inputs that are aggregates by ``key`` are already hash
-    partitioned on it, so the merge adds no further exchange."""
-    return reduce(lambda a, b: a.join(b, key, "full_outer"), frames)
+def outer_merge(frames: list[DataFrame], key: str, unique_keys: bool = True) -> DataFrame:
+    """N-way full outer merge on one key.
+
+    With ``unique_keys`` (each sheet has at most one row per key, as survey
+    sheets keyed by city do) the merge is one union and one aggregate:
+    a single shuffle for any number of sheets, where a chain of full
+    outer joins re-shuffles after every join (the merged key
+    ``coalesce(l.key, r.key)`` carries no partitioning). Each output
+    column has at most one non-null value per key, so taking it is exact.
+    Without ``unique_keys`` the full outer join chain is used (duplicate
+    keys then pair up as a join does)."""
+    if not unique_keys:
+        return reduce(lambda a, b: a.join(b, key, "full_outer"), frames)
+    cols = []
+    for f in frames:
+        cols += [c for c in f.columns if c != key and c not in cols]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return merged.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
 def to_surrogate(df: DataFrame, dim: DataFrame, natural: str = S.CITY_CODE_COL,
