@@ -424,18 +424,21 @@ def f3_unique_lookup(spark, d):
 
 
 @query("f4_lookup_fanout", """
-SELECT lk.p_brand, round(sum(l.l_quantity), 2) AS l_quantity, round(sum(l.l_extendedprice), 2) AS l_extendedprice
+SELECT lk.p_brand, round(sum(l.l_quantity), 2) AS l_quantity,
+       CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS l_extendedprice
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN part lk ON lk.p_name = p.p_name
 GROUP BY lk.p_brand""")
 def f4_lookup_fanout(spark, d):
     t = B.Tables(spark, d)
-    facts = t.lineitem.select("l_partkey", "l_quantity", "l_extendedprice").join(
+    # money is summed as exact decimals: totals per brand are large enough
+    # for double rounding to depend on the summation order
+    facts = t.lineitem.select("l_partkey", "l_quantity", F.col("l_extendedprice").cast("decimal(18,2)")).join(
         t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")).select(
         "p_name", "l_quantity", "l_extendedprice")
     lookup = t.part.select("p_name", "p_brand")
     out = J.fanout_sum(facts, lookup, "p_name", "p_brand", ["l_quantity", "l_extendedprice"])
     return out.select("p_brand", F.round("l_quantity", 2).alias("l_quantity"),
-                      F.round("l_extendedprice", 2).alias("l_extendedprice"))
+                      F.col("l_extendedprice").cast("double").alias("l_extendedprice"))
 
 
 @query("f5_outer_sheets", CTE(MUN, ORD) + """

@@ -4,6 +4,8 @@ predicate pushdown to the optimizer."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,14 +23,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     file of one row group) is spread round-robin once, so per-row work
     (JSON, text folding, regex) uses every core. Large inputs already
     have more splits than cores and are left untouched (no shuffle)."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if spread:
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if spread and _big_enough(path):
         cores = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
     return df
 
 
+# below this size a scan is cheap enough in one task; spreading it would
+# only add a shuffle stage (tiny dimensions such as nation or customer)
+SPREAD_MIN_BYTES = int(os.environ.get("INDICARIUM_SPREAD_MIN_BYTES", str(1 << 20)))
+
+
+def _big_enough(path: str) -> bool:
+    if path.startswith("file:"):
+        path = path[5:]
+    if "://" in path or not os.path.exists(path):
+        return True          # remote store: the split count alone decides
+    if os.path.isdir(path):
+        size = sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(path) for f in fs)
+    else:
+        size = os.path.getsize(path)
+    return size >= SPREAD_MIN_BYTES
+
+
 def delimited_scan(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";",
                    encoding: str = LATIN1, header: bool = True, columns: list[str] | None = None,
                    **options) -> DataFrame:
