@@ -19,6 +19,7 @@ from indicarium.operators import schema_ops as C
 from indicarium.plans import bindings as B
 from indicarium.plans.pipelines import checked, MICRO_SQL
 from indicarium.plans.queries import query, _api_documents, UNIT_SQL, TYPE_SQL
+from indicarium.session import materialize
 from indicarium.sources import readers as A
 
 CTE = B.with_ctes
@@ -155,12 +156,18 @@ def p14(spark, d):
 SNIS_CATALOGUE = [("IN001", "Volume de pedidos", "float"), ("IN002", "Valor dos pedidos", "float")]
 
 
-def bind_snis(t: B.Tables) -> DataFrame:
+def bind_p15_base(t: B.Tables) -> DataFrame:
+    """Per (customer, year) line-item totals: one microdata join and one
+    aggregate feed both the SNIS and the RAIS tables (written once to the
+    checkpoint folder, so the join is not recomputed per consumer)."""
+    return materialize(B.micro(t).groupBy("o_custkey", "ano").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("v")))
+
+
+def bind_snis(per: DataFrame) -> DataFrame:
     """Wide CSV body: 6-digit code, reference year ('---' on broken
     lines), '<code> - <name>' columns in Brazilian number format."""
-    m = B.micro(t)
-    per = m.groupBy("o_custkey", "ano").agg(F.sum("l_quantity").alias("q"),
-                                           F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("v"))
     br = lambda c: F.translate(F.format_number(c.cast("double"), 2), ",.", ".,")
     year = F.when(F.col("o_custkey") % 50 == 0, F.lit("---")).otherwise(F.col("ano").cast("string"))
     return per.select((F.lit(100000) + F.col("o_custkey")).cast("string").alias("Código do Município"),
@@ -186,11 +193,9 @@ def snis_pipeline(raw: DataFrame, catalogue: DataFrame, municipalities: DataFram
     return J.upgrade_city_code(df, S.CITY_CODE_COL, municipalities)
 
 
-def bind_rais(t: B.Tables) -> DataFrame:
+def bind_rais(per: DataFrame) -> DataFrame:
     """RAIS table per year: city lines by 6-digit code, a total line and
     a labelled line that is not a city."""
-    m = B.micro(t)
-    per = m.groupBy("o_custkey", "ano").agg(F.count(F.lit(1)).alias("n"))
     cities = per.select((F.lit(100000) + F.col("o_custkey")).cast("string").alias("Município"),
                         F.col("n").cast("string").alias("Total"), "ano")
     per_year = per.groupBy("ano").agg(F.sum("n").alias("n"))
@@ -228,7 +233,8 @@ UNION ALL
 SELECT codigo_municipio, ano, 'Empregos RAIS', 'int', CAST(n AS DOUBLE) FROM per""")
 def p15(spark, d):
     t = B.Tables(spark, d)
-    return p15_sanitation_jobs(bind_snis(t), bind_rais(t), B.municipalities(t), spark)
+    base = bind_p15_base(t)
+    return p15_sanitation_jobs(bind_snis(base), bind_rais(base), B.municipalities(t), spark)
 
 
 # ---------------------------------------------------------------------------

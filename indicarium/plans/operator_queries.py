@@ -55,9 +55,9 @@ SELECT o_orderpriority AS dado_identificador, ano, count(*) AS linhas, count(DIS
 FROM ord GROUP BY 1, 2""")
 def g9_row_counts(spark, d):
     o = B.order_facts(B.Tables(spark, d)).withColumnRenamed("o_orderpriority", "dado_identificador")
-    counts = G.row_counts(o, ["dado_identificador", "ano"])
-    cities = o.groupBy("dado_identificador", "ano").agg(F.count_distinct("codigo_municipio").alias("municipios"))
-    return counts.join(cities, ["dado_identificador", "ano"])
+    # rows and cities in one aggregate (one scan, one shuffle)
+    return o.groupBy("dado_identificador", "ano").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_distinct("codigo_municipio").alias("municipios"))
 
 
 @query("i6_first_n", CTE(ORD) + """

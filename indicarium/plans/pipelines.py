@@ -29,6 +29,7 @@ from indicarium.operators import sets as U
 from indicarium.operators import validate as K
 from indicarium.plans import bindings as B
 from indicarium.plans.queries import query, CATALOGUE, catalogue_df
+from indicarium.session import materialize
 from indicarium.sources import readers as A
 
 CTE = B.with_ctes
@@ -62,7 +63,8 @@ def bind_p1(t: B.Tables) -> DataFrame:
     per_city = o.groupBy("o_custkey", "ano").agg(
         F.count(F.lit(1)).alias("n"),
         (F.sum(F.col("o_totalprice").cast("decimal(18,2)")) * 100).cast("bigint").alias("cents"))
-    per_city = per_city.join(J.bounded_broadcast(seg), F.col("o_custkey") == F.col("c_custkey"))
+    # four consumers below: written once instead of re-aggregated per consumer
+    per_city = materialize(per_city.join(J.bounded_broadcast(seg), F.col("o_custkey") == F.col("c_custkey")))
     # mean in cents by integer division, written with a decimal comma
     mean = F.floor(F.col("cents") / F.col("n")).cast("bigint")
     value = F.when(F.col("n") == 1, F.lit("...")).otherwise(

@@ -747,9 +747,10 @@ SELECT cur.variavel,
 FROM cur LEFT JOIN old ON cur.variavel = old.variavel""")
 def j4_year_arrays(spark, d):
     o = B.order_facts(B.Tables(spark, d)).withColumnRenamed("o_orderpriority", "variavel")
-    cur = G.series_years(o, ["variavel"], out="novos")
-    old = G.series_years(o.filter(F.col("ano") <= 1997), ["variavel"], out="antigos")
-    j = cur.join(old, "variavel", "left")
+    # stored and new year sets from one aggregate (one scan, no join)
+    j = o.groupBy("variavel").agg(
+        F.array_sort(F.collect_set("ano")).alias("novos"),
+        F.array_sort(F.collect_set(F.when(F.col("ano") <= 1997, F.col("ano")))).alias("antigos"))
     return j.select("variavel", X.years_text(U.years_union("antigos", "novos")).alias("anos_todos"),
                     X.years_text(F.array_sort(U.years_new("novos", "antigos"))).alias("anos_novos"))
 

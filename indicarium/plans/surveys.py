@@ -83,8 +83,9 @@ def bind_p7(t: B.Tables) -> DataFrame:
     per = per.join(m, F.col("o_custkey") == F.col("c_custkey"))
     cities = per.select(F.concat("nome_municipio", F.lit(" ("), "sigla_uf", F.lit(")")).alias("Territorialidade"),
                         F.round(F.col("f") / F.col("n"), 3).alias("IDHM"), "ano")
-    country = o.groupBy("ano").agg(F.round(F.count(F.when(F.col("o_orderstatus") == "F", 1)) / F.count(F.lit(1)), 3)
-                                   .alias("IDHM")).select(F.lit("Brasil (BR)").alias("Territorialidade"), "IDHM", "ano")
+    # the country line re-aggregates the per-city counts (no second scan)
+    country = per.groupBy("ano").agg(F.round(F.sum("f") / F.sum("n"), 3).alias("IDHM")).select(
+        F.lit("Brasil (BR)").alias("Territorialidade"), "IDHM", "ano")
     return cities.unionByName(country)
 
 

@@ -40,6 +40,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder (a reliable
+    checkpoint, never a local one) and return a DataFrame reading it.
+
+    For a small intermediate with several consumers: column pruning trims
+    each consumer's copy of the plan differently, so Spark cannot reuse
+    the exchange and would recompute the expensive part (a large join)
+    per consumer. The written copy also cuts the lineage, so a lost
+    executor does not send recovery back through that join."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder, creating a local one only
     when the session has none (tests and local runs)."""
