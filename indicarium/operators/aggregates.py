@@ -46,13 +46,16 @@ def bucket_columns(columns: list[str], ceiling: int, number_pattern: str,
     return chosen
 
 
-def bucket_sum(df: DataFrame, key: str, ceiling: int, number_pattern: str,
+def bucket_sum(df: DataFrame, key: str | list[str], ceiling: int, number_pattern: str,
                seed: list[str] | None = None, out: str = S.VALUE_COL) -> DataFrame:
-    """Sum of the label columns up to the ceiling; '-' counts as 0."""
-    chosen = bucket_columns([c for c in df.columns if c != key], ceiling, number_pattern, seed)
-    parts = [F.when(F.col(f"`{c}`") == "-", F.lit(0)).otherwise(F.col(f"`{c}`").try_cast("bigint"))
-             if dict(df.dtypes)[c] == "string" else F.col(f"`{c}`").cast("bigint") for c in chosen]
-    return df.select(key, row_sum(parts).alias(out))
+    """Sum of the label columns up to the ceiling; '-' counts as 0 (E5)."""
+    from indicarium.functions.numbers import dash_zero_int
+    keys = [key] if isinstance(key, str) else list(key)
+    chosen = bucket_columns([c for c in df.columns if c not in keys], ceiling, number_pattern, seed)
+    types = dict(df.dtypes)
+    parts = [dash_zero_int(F.col(f"`{c}`")) if types[c] == "string" else F.col(f"`{c}`").cast("bigint")
+             for c in chosen]
+    return df.select(*[F.col(f"`{k}`") for k in keys], row_sum(parts).alias(out))
 
 
 def bucket_sum_long(df: DataFrame, keys: list[str], label: str, value: str, ceiling: int,

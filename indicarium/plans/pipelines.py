@@ -97,16 +97,82 @@ def p1_datasus(raw: DataFrame, municipalities: DataFrame, data_name: str = P1_NA
     return checked(df)
 
 
+# the Gini-style table: one column per census year
+P1_GINI_NAME, P1_GINI_YEARS = "indice_gini", [1996, 1998, 2000]
+# the bucket table: count columns labelled by ranges, summed up to a ceiling
+P1_WEIGHT_NAME, P1_WEIGHT_CEILING = "nascidos_baixo_peso", 199999
+
+
+def _label6(custkey):
+    return F.concat_ws(" ", (F.lit(100000) + custkey).cast("string"), F.lit("MUNICIPIO"))
+
+
+def bind_p1_gini(t: B.Tables) -> DataFrame:
+    """One line per city, a decimal-comma share per census year ('...'
+    when the city has no order that year)."""
+    o = B.order_facts(t)
+    per = o.groupBy("o_custkey").agg(*[
+        F.count(F.when(F.col("ano") == y, 1)).alias(f"n{y}") for y in P1_GINI_YEARS], *[
+        F.count(F.when((F.col("ano") == y) & (F.col("o_orderstatus") == "F"), 1)).alias(f"f{y}") for y in P1_GINI_YEARS])
+    share = {str(y): F.when(F.col(f"n{y}") == 0, F.lit("...")).otherwise(F.replace(
+        F.format_string("%.3f", F.round(F.col(f"f{y}") / F.col(f"n{y}"), 3)), F.lit("."), F.lit(",")))
+        for y in P1_GINI_YEARS}
+    return per.select(_label6(F.col("o_custkey")).alias("Município"), *[v.alias(k) for k, v in share.items()])
+
+
+def bind_p1_weight(t: B.Tables) -> DataFrame:
+    """Per city and year, counts per labelled range ('-' for none)."""
+    from indicarium.plans.queries import BUCKETS
+    o = B.order_facts(t)
+    aggs, lo = [], None
+    for label, hi in BUCKETS:
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col("o_totalprice") >= lo)
+        if hi is not None:
+            cond = cond & (F.col("o_totalprice") < hi)
+        aggs.append(F.count(F.when(cond, 1)).alias(label))
+        lo = hi
+    wide = o.groupBy("o_custkey", "ano").agg(*aggs)
+    return wide.select(_label6(F.col("o_custkey")).alias("Município"), "ano", *[
+        F.when(F.col(f"`{label}`") == 0, F.lit("-")).otherwise(F.col(f"`{label}`").cast("string")).alias(label)
+        for label, _ in BUCKETS])
+
+
+def p1_datasus_all(standard: DataFrame, gini: DataFrame, weight: DataFrame, municipalities: DataFrame) -> DataFrame:
+    """The three DATASUS table shapes through one chain: plain yearly
+    tables; the Gini table unpivoted (H1); the range table summed up to
+    the ceiling (G4), skipped when its schema lost the ranges (D14)."""
+    parts = [p1_datasus(standard, municipalities)]
+    years = [c for c in gini.columns if c.isdigit()]
+    gini_long = H.unpivot_years(gini, ["Município"], years, value="Valor")
+    parts.append(p1_datasus(gini_long.select("Município", "Valor", "ano"), municipalities,
+                            P1_GINI_NAME, "float"))
+    if D.schema_drift_guard(weight, 4):
+        w = G.bucket_sum(weight, ["Município", "ano"], P1_WEIGHT_CEILING, r"\d{3,6}")
+        w = w.select("Município", F.col(S.VALUE_COL).cast("string").alias("Valor"), "ano")
+        parts.append(p1_datasus(w, municipalities, P1_WEIGHT_NAME, "int"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("p1", CTE(ORD) + f"""
 SELECT codigo_municipio, ano, '{P1_NAME}' AS dado_identificador, '{P1_TYPE}' AS tipo_dado,
        CAST(CAST(c // 100 AS VARCHAR) || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS DOUBLE) AS valor
 FROM (SELECT codigo_municipio, ano, count(*) AS n,
              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) * 100 AS BIGINT) // count(*) AS c
       FROM ord GROUP BY codigo_municipio, ano)
-WHERE n > 1""")
+WHERE n > 1
+UNION ALL
+SELECT codigo_municipio, ano, '{P1_GINI_NAME}', 'float',
+       round(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) / count(*), 3)
+FROM ord WHERE ano IN ({", ".join(map(str, P1_GINI_YEARS))}) GROUP BY codigo_municipio, ano
+UNION ALL
+SELECT codigo_municipio, ano, '{P1_WEIGHT_NAME}', 'int',
+       CAST(count(CASE WHEN o_totalprice < 200000 THEN 1 END) AS DOUBLE)
+FROM ord GROUP BY codigo_municipio, ano""")
 def p1(spark, d):
     t = B.Tables(spark, d)
-    return p1_datasus(bind_p1(t), B.municipalities(t))
+    return p1_datasus_all(bind_p1(t), bind_p1_gini(t), bind_p1_weight(t), B.municipalities(t))
 
 
 # ---------------------------------------------------------------------------

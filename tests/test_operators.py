@@ -148,3 +148,18 @@ def test_outer_merge_and_exactly_one(spark):
     assert sorted(r.k for r in J.outer_merge([a, b], "k").collect()) == [1, 2]
     dup = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert [r.k for r in K.exactly_one(dup, ["k"]).collect()] == [1]
+
+
+def test_checks_and_long_buckets(spark):
+    from indicarium.operators import filters as D
+    df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
+    assert K.missing_fields(df, ["a", "b"]).first().campos_ausentes == 1
+    K.require_columns(df, ["a", "b"])
+    with pytest.raises(K.ContractError):
+        K.require_columns(df, ["b", "a"])
+    with pytest.raises(K.ContractError):
+        K.require_rows(df.filter("a > 5"))
+    assert D.schema_drift_guard(df, 2) and not D.schema_drift_guard(df, 3)
+    long = spark.createDataFrame([(1, "Menos de 500g", 2), (1, "500 a 999g", 3), (1, "2500 a 2999g", 8)],
+                                 "k int, faixa string, n int")
+    assert G.bucket_sum_long(long, ["k"], "faixa", "n", 2499).first().valor == 5

@@ -132,3 +132,24 @@ def test_run_audit_and_text(spark):
     text = {r.source: r.texto for r in B.run_log_text(log).collect()}
     assert "anos [2019, 2020], linhas 2" in text["datasus"]
     assert "inicio: 2024-01-01 10:00:00" in text["capag"]
+
+
+def test_dimension_readers_and_small_sinks(spark, scratch):
+    p = os.path.join(scratch, "municipios.csv")
+    write(p, "codigo_municipio,nome_municipio,sigla_uf\n1000011,Vila Alta,AA\n1000029,Porto São,AA\n")
+    m = A.read_municipalities(spark, p)
+    assert sorted(r.codigo_municipio for r in A.city_codes(m).collect()) == [1000011, 1000029]
+    assert {r.chave: r.valor for r in A.name_code_map(m).collect()} == {"Vila Alta": 1000011, "Porto São": 1000029}
+    assert {r.chave: r.valor for r in A.name_code_map(m, inverse=True).collect()}[1000029] == "Porto São"
+    dim_path = os.path.join(scratch, "dim")
+    m.write.parquet(dim_path)
+    assert A.read_dimension(spark, path=dim_path).count() == 2
+    out = os.path.join(scratch, "export")
+    B.export_csv(m, out, sep=";")
+    back = spark.read.option("header", "true").option("sep", ";").csv(out)
+    assert back.count() == 2 and back.columns == m.columns
+    ind = spark.createDataFrame([(7, "Leitos SUS", "Saúde", [2010, 2012])],
+                                "dado_id int, nome_dado string, topico string, anos_serie_historica array<int>")
+    new = spark.createDataFrame([("leitossus", [2012, 2011])], "nome_dado string, anos array<int>")
+    assert B.update_indicator_years(ind, new).first().anos_serie_historica == [2010, 2011, 2012]
+    assert B.preview(m, 1).count() == 1
