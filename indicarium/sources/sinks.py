@@ -17,7 +17,11 @@ def write_facts(df: DataFrame, path: str, partition_by: list[str] | None = None,
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parts = partition_by or ["dado_id", "ano"]
-    df.repartition(*[F.col(p) for p in parts]).write.mode(mode).partitionBy(*parts).parquet(path)
+    # REBALANCE clusters rows by the partition columns (few files per
+    # partition) and lets AQE split a hot (indicator, year) over several
+    # tasks and merge small ones; a plain repartition would write a hot
+    # partition from one task
+    df.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
 def write_facts_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
