@@ -56,13 +56,18 @@ def materialize(df):
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder, creating a local one only
     when the session has none (tests and local runs)."""
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Connect session: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        # only when the session names no shared folder (local runs, tests)
         configured = tempfile.mkdtemp(prefix="indicarium-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
