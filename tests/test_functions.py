@@ -90,6 +90,24 @@ def test_ascii_fold_matches_python(spark):
     assert got == want
 
 
+def test_ascii_fold_random_unicode(spark):
+    from hypothesis import given, settings, strategies as st
+    texts = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=40)
+
+    batch = []
+
+    @settings(max_examples=300, database=None)
+    @given(texts)
+    def collect(t):
+        batch.append(t)
+
+    collect()
+    df = spark.createDataFrame([(t,) for t in batch], "v string")
+    got = [r[0] for r in df.select(X.ascii_fold("v")).collect()]
+    want = [unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode("ascii") for t in batch]
+    assert got == want
+
+
 def test_text_key(spark):
     assert one(spark, X.text_key("v"), "São  Paulo\x01") == "saopaulo"
     assert one(spark, X.name_key("v"), "Vila Alta ") == "vilaalta"
