@@ -200,6 +200,27 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+def landed_yearly(df: DataFrame, year_col: str = "ano") -> dict[int, DataFrame]:
+    """Yearly editions as landed files: ``df`` is written once, partitioned
+    by year, into the shared checkpoint folder; each edition then reads
+    only its own partition (partition pruning). One scan of the source
+    instead of one scan per edition. Only the list of years (a handful of
+    values) reaches the driver."""
+    import os
+    import uuid
+    from indicarium.session import checkpoint_dir
+    spark = df.sparkSession
+    root = checkpoint_dir(spark)
+    if not root:   # no shared folder (e.g. a Connect session): one filtered read per edition
+        years = [r[0] for r in df.select(year_col).distinct().collect()]
+        return {y: df.filter(F.col(year_col) == y).drop(year_col) for y in sorted(years)}
+    path = os.path.join(root, "landed", uuid.uuid4().hex)
+    df.write.partitionBy(year_col).parquet(path)
+    landed = spark.read.parquet(path)
+    years = [r[0] for r in landed.select(year_col).distinct().collect()]
+    return {y: landed.filter(F.col(year_col) == y).drop(year_col) for y in sorted(years)}
+
+
 def micro(t: Tables) -> DataFrame:
     """Microdata: line items with their order's municipality and year."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",

@@ -41,13 +41,6 @@ def checked(df: DataFrame) -> DataFrame:
     return K.enforce_contract(C.to_fact_order(df))
 
 
-def _year_slice(o: DataFrame, y: int) -> DataFrame:
-    """Rows of one year by a range predicate on the raw date (pushed into
-    the parquet scan, so each yearly edition reads only its row groups)."""
-    return o.filter((F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) &
-                    (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz")))
-
-
 YEARS = list(range(1995, 2002))
 
 # ---------------------------------------------------------------------------
@@ -237,10 +230,10 @@ P3_GRADE_SQL = ("CASE WHEN max(o_totalprice) > 400000 THEN 'A' WHEN max(o_totalp
 def bind_p3(t: B.Tables) -> dict[int, DataFrame]:
     """Yearly CAPAG files; older years name the columns differently and
     newer ones carry two columns with 'capag' in the name."""
-    o = t.orders
+    from indicarium.plans.queries import _landed_orders
     files = {}
-    for y in YEARS:
-        g = _year_slice(o, y).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("mx"))
+    for y, frame in _landed_orders(t).items():
+        g = frame.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("mx"))
         grade = F.when(F.col("n") == 1, F.lit("n.d.")).otherwise(_grade(F.col("mx")))
         code = B.city_code(F.col("o_custkey"))
         if y <= 1997:

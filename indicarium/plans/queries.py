@@ -117,9 +117,14 @@ def _edition(o: DataFrame, year: int) -> tuple[DataFrame, dict, list]:
     if layout == "B":
         cols.append((F.col("o_orderkey") % 100).alias("EXTRA"))
         drops = ["EXTRA"]
-    ed = o.filter((F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) &
-                  (F.col("o_orderdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz"))).select(*cols)
-    return ed, renames, drops
+    return o.select(*cols), renames, drops
+
+
+def _landed_orders(t: B.Tables) -> dict[int, DataFrame]:
+    """orders landed once as one file set per year (the surveys' editions)."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority",
+                        B.year_of("o_orderdate").alias("ano"))
+    return B.landed_yearly(o)
 
 
 @query("c4_harmonise", """
@@ -129,10 +134,9 @@ SELECT o_orderkey, CAST(100000 + o_custkey AS BIGINT) AS codigo6, o_totalprice A
        CAST(year(o_orderdate) AS INTEGER) AS ano
 FROM orders""")
 def c4_harmonise(spark, d):
-    o = B.Tables(spark, d).orders
     editions, renames, drops = {}, {}, {}
-    for y in range(1995, 2002):
-        editions[y], renames[y], drops[y] = _edition(o, y)
+    for y, frame in _landed_orders(B.Tables(spark, d)).items():
+        editions[y], renames[y], drops[y] = _edition(frame, y)
     return C.harmonise_editions(editions, renames, drops)
 
 
@@ -727,14 +731,13 @@ SELECT o_orderkey, codigo_municipio, o_totalprice AS valor,
        CASE WHEN ano >= 1999 THEN o_orderstatus END AS situacao, ano
 FROM ord""")
 def j1_union_years(spark, d):
-    o = B.order_facts(B.Tables(spark, d))
     frames = {}
-    for y in YEARS:
-        cols = ["o_orderkey", "codigo_municipio", F.col("o_totalprice").alias("valor")]
+    for y, frame in _landed_orders(B.Tables(spark, d)).items():
+        cols = ["o_orderkey", B.city_code(F.col("o_custkey")).alias("codigo_municipio"),
+                F.col("o_totalprice").alias("valor")]
         if y >= 1999:
             cols.append(F.col("o_orderstatus").alias("situacao"))
-        frames[y] = o.filter((F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) &
-                             (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))).select(*cols)
+        frames[y] = frame.select(*cols)
     return U.union_years(frames)
 
 

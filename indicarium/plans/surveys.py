@@ -15,7 +15,7 @@ from indicarium.operators import ordering as I
 from indicarium.operators import reshape as H
 from indicarium.operators import schema_ops as C
 from indicarium.plans import bindings as B
-from indicarium.plans.pipelines import YEARS, checked, _year_slice, MICRO_SQL
+from indicarium.plans.pipelines import YEARS, checked, MICRO_SQL
 from indicarium.plans.queries import query, _network
 
 CTE = B.with_ctes
