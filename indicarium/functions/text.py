@@ -127,8 +127,8 @@ def split_name_state(c: ColumnOrName) -> tuple[Column, Column]:
 
 def years_in_text(c: ColumnOrName) -> Column:
     """E18 helper: every stand-alone run of exactly four digits, as INT."""
-    found = F.regexp_extract_all(_c(c), F.lit(r"(?<!\d)(\d{4})(?!\d)"), 1)
-    return F.transform(found, lambda x: x.cast("int"))
+    # an array cast (not a lambda) keeps the expression inside codegen
+    return F.regexp_extract_all(_c(c), F.lit(r"(?<!\d)(\d{4})(?!\d)"), 1).cast("array<int>")
 
 
 def year_from_text(c: ColumnOrName, ceiling: int = S.YEAR_CEILING) -> Column:
@@ -157,12 +157,12 @@ def name_with_code(name: ColumnOrName, code: ColumnOrName) -> Column:
 
 def numbers_in_label(c: ColumnOrName, pattern: str = r"\d+") -> Column:
     """E22 (long form): all numbers found in a label, as INT array."""
-    return F.transform(F.regexp_extract_all(_c(c), F.lit(f"({pattern})"), 1), lambda x: x.cast("int"))
+    return F.regexp_extract_all(_c(c), F.lit(f"({pattern})"), 1).try_cast("array<int>")
 
 
 def years_text(c: ColumnOrName) -> Column:
     """An INT array written as ``'2018, 2019'``."""
-    return F.array_join(F.transform(_c(c), lambda x: x.cast("string")), ", ")
+    return F.array_join(_c(c).cast("array<string>"), ", ")
 
 
 def log_timestamp(c: ColumnOrName) -> Column:

@@ -62,8 +62,7 @@ def bucket_sum_long(df: DataFrame, keys: list[str], label: str, value: str, ceil
                     number_pattern: str = r"\d+", out: str = S.VALUE_COL) -> DataFrame:
     """G4 on long data: sum values of buckets whose label numbers are all
     within the ceiling."""
-    nums = F.transform(F.regexp_extract_all(F.col(label), F.lit(f"({number_pattern})"), 1),
-                       lambda x: x.cast("int"))
+    nums = F.regexp_extract_all(F.col(label), F.lit(f"({number_pattern})"), 1).try_cast("array<int>")
     ok = (F.size(nums) > 0) & (F.array_max(nums) <= ceiling)
     return df.groupBy(*keys).agg(F.sum(F.when(ok, F.col(value))).alias(out))
 
