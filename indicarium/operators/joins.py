@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from indicarium import schema as S
 from indicarium.functions.numbers import seven_digit
-from indicarium.functions.text import name_key
+from indicarium.functions.text import name_key, text_key
 
 # a dimension of a few narrow columns this long is still a few tens of MB
 DIM_MAX_ROWS = 1_000_000
@@ -54,12 +54,15 @@ def upgrade_city_code(df: DataFrame, code_col: str, municipalities: DataFrame,
 
 
 def resolve_by_name_state(df: DataFrame, name_col: str, uf_col: str, municipalities: DataFrame,
-                          max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+                          max_rows: int = DIM_MAX_ROWS, fold: bool = False) -> DataFrame:
     """inner equi-join on (lower/no-space name, state); unmatched rows
-    drop, duplicate (name, state) pairs in the reference list fan out."""
-    dim = municipalities.select(name_key("nome_municipio").alias("__nk"),
+    drop, duplicate (name, state) pairs in the reference list fan out.
+    Accents are compared as written (as the source does) unless ``fold``,
+    which matches on the folded text key (E13) instead."""
+    key = text_key if fold else name_key
+    dim = municipalities.select(key("nome_municipio").alias("__nk"),
                                 F.col("sigla_uf").alias("__uf"), S.CITY_CODE_COL)
-    keyed = df.withColumn("__nk_l", name_key(name_col))
+    keyed = df.withColumn("__nk_l", key(name_col))
     out = keyed.join(bounded_broadcast(dim, max_rows),
                      (F.col("__nk_l") == F.col("__nk")) & (F.col(uf_col) == F.col("__uf")), "inner")
     return out.drop("__nk_l", "__nk", "__uf")

@@ -28,11 +28,13 @@ CTE = B.with_ctes
 
 
 def rows_to_load(facts: DataFrame, indicator_dim: DataFrame, municipality_dim: DataFrame,
-                 cut_strings: bool = True) -> tuple[DataFrame, DataFrame]:
-    """L1 plan: F7 -> J5/D12 -> F6 -> C12 -> E15.
+                 cut_strings: bool = False) -> tuple[DataFrame, DataFrame]:
+    """L1 plan: F7 -> J5/D12 -> F6 -> C12 (-> E15 when ``cut_strings``).
 
     Returns (rows in loaded-fact shape, indicator names with no dimension
     row). A year already in ``anos_serie_historica`` is not loaded again.
+    The source cut every text to 20 lower-case characters on load (its
+    VARCHAR(20) columns); that loses data, so it is off unless asked for.
     """
     matched, unknown = J.indicator_lookup(facts, S.DATA_ID_COL, indicator_dim)
     new = matched.filter(~F.coalesce(F.array_contains("anos_serie_historica", F.col(S.YEAR_COL)), F.lit(False)))
@@ -112,7 +114,8 @@ FROM f LEFT JOIN mun m ON f.codigo_municipio = m.codigo_municipio
 WHERE f.ano NOT IN ({", ".join(map(str, L1_STORED))})""")
 def l1_incremental_load(spark, d):
     facts, dim, mun = _l1_inputs(spark, B.Tables(spark, d))
-    rows, _unknown = rows_to_load(facts, dim, mun)
+    # the registered form reproduces the source's load, text cut included
+    rows, _unknown = rows_to_load(facts, dim, mun, cut_strings=True)
     return rows
 
 

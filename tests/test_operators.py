@@ -30,6 +30,9 @@ def test_name_state_resolution_and_unique_lookup(spark, munis):
     req = spark.createDataFrame([("Vila Alta ", "AA"), ("Rio Par", "BB"), ("Nada", "AA")], "nome string, uf string")
     fan = J.resolve_by_name_state(req, "nome", "uf", munis)
     assert sorted(r.codigo_municipio for r in fan.collect()) == [1000011, 2000021, 2000039]
+    accents = spark.createDataFrame([("Porto Sao", "AA")], "nome string, uf string")
+    assert J.resolve_by_name_state(accents, "nome", "uf", munis).count() == 0
+    assert [r.codigo_municipio for r in J.resolve_by_name_state(accents, "nome", "uf", munis, fold=True).collect()] == [1000029]
     from indicarium.functions.text import name_key
     one = J.unique_lookup(req, {"n": name_key("nome"), "u": F.col("uf")}, munis,
                           {"n": name_key("nome_municipio"), "u": F.col("sigla_uf")}, F.col("codigo_municipio"), "codigo")
