@@ -77,6 +77,11 @@ def bind_p1(t: B.Tables) -> DataFrame:
 def p1_datasus(raw: DataFrame, municipalities: DataFrame, data_name: str = P1_NAME,
                dtype: str = P1_TYPE) -> DataFrame:
     """A2 -> D7 -> D3 -> D6 -> D7 -> C8 -> C11 -> J1 -> E1 -> D5 -> E2 -> F1 -> K1."""
+    return _datasus_finish(_datasus_rows(raw, data_name, dtype), municipalities)
+
+
+def _datasus_rows(raw: DataFrame, data_name: str, dtype: str) -> DataFrame:
+    """The cleaning part of the DATASUS chain, up to six-digit codes."""
     df = D.drop_nulls(raw)                                          # footer notes
     df = df.filter(P.not_total_row("Município"))                    # totals / ignored
     df = df.withColumn("Valor", P.null_token("Valor", ["..."]))     # '...'
@@ -85,9 +90,12 @@ def p1_datasus(raw: DataFrame, municipalities: DataFrame, data_name: str = P1_NA
     df = C.add_metadata(df, dado_identificador=data_name, tipo_dado=dtype)
     df = df.withColumn("codigo", X.digits_only("Município")).filter(P.non_empty("codigo"))
     df = df.withColumn(S.CITY_CODE_COL, F.col("codigo").try_cast("bigint"))
-    df = df.withColumn(S.VALUE_COL, N.decimal_comma(S.VALUE_COL))
-    df = J.upgrade_city_code(df, S.CITY_CODE_COL, municipalities)
-    return checked(df)
+    return C.to_fact_order(df.withColumn(S.VALUE_COL, N.decimal_comma(S.VALUE_COL)))
+
+
+def _datasus_finish(df: DataFrame, municipalities: DataFrame) -> DataFrame:
+    """Code upgrade and contract, once for any number of DATASUS tables."""
+    return checked(J.upgrade_city_code(df, S.CITY_CODE_COL, municipalities))
 
 
 # the Gini-style table: one column per census year
@@ -136,16 +144,16 @@ def p1_datasus_all(standard: DataFrame, gini: DataFrame, weight: DataFrame, muni
     """The three DATASUS table shapes through one chain: plain yearly
     tables; the Gini table unpivoted (H1); the range table summed up to
     the ceiling (G4), skipped when its schema lost the ranges (D14)."""
-    parts = [p1_datasus(standard, municipalities)]
+    parts = [_datasus_rows(standard, P1_NAME, P1_TYPE)]
     years = [c for c in gini.columns if c.isdigit()]
     gini_long = H.unpivot_years(gini, ["Município"], years, value="Valor")
-    parts.append(p1_datasus(gini_long.select("Município", "Valor", "ano"), municipalities,
-                            P1_GINI_NAME, "float"))
+    parts.append(_datasus_rows(gini_long.select("Município", "Valor", "ano"), P1_GINI_NAME, "float"))
     if D.schema_drift_guard(weight, 4):
         w = G.bucket_sum(weight, ["Município", "ano"], P1_WEIGHT_CEILING, r"\d{3,6}")
         w = w.select("Município", F.col(S.VALUE_COL).cast("string").alias("Valor"), "ano")
-        parts.append(p1_datasus(w, municipalities, P1_WEIGHT_NAME, "int"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        parts.append(_datasus_rows(w, P1_WEIGHT_NAME, "int"))
+    # one code-upgrade join and one contract check for the three tables
+    return _datasus_finish(reduce(lambda a, b: a.unionByName(b), parts), municipalities)
 
 
 @query("p1", CTE(ORD) + f"""
