@@ -215,7 +215,9 @@ def landed_yearly(df: DataFrame, year_col: str = "ano") -> dict[int, DataFrame]:
         years = [r[0] for r in df.select(year_col).distinct().collect()]
         return {y: df.filter(F.col(year_col) == y).drop(year_col) for y in sorted(years)}
     path = os.path.join(root, "landed", uuid.uuid4().hex)
-    df.write.partitionBy(year_col).parquet(path)
+    # rebalance by year: files of AQE's advisory size per year folder instead
+    # of one small file per (task, year); a large year is split, not funnelled
+    df.hint("rebalance", year_col).write.partitionBy(year_col).parquet(path)
     landed = spark.read.parquet(path)
     years = [r[0] for r in landed.select(year_col).distinct().collect()]
     return {y: landed.filter(F.col(year_col) == y).drop(year_col) for y in sorted(years)}
