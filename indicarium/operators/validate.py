@@ -83,6 +83,14 @@ def missing_fields(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.agg(F.sum(F.when(any_null, 1).otherwise(0)).cast("bigint").alias("campos_ausentes"))
 
 
+def enforce_fields(df: DataFrame, fields: list[str], what: str = "required field missing") -> DataFrame:
+    """K4 inline: fail the job on a row missing any required field (checked
+    while the rows flow, no extra pass)."""
+    any_null = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in fields])
+    guard = F.when(any_null, F.raise_error(F.lit(what)).cast("boolean")).otherwise(F.lit(True))
+    return df.filter(guard)
+
+
 def exactly_one(df: DataFrame, keys: list[str]) -> DataFrame:
     """K5: keys resolving to zero-or-several rows (count != 1)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") != 1)

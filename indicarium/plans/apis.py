@@ -16,6 +16,7 @@ from indicarium.operators import joins as J
 from indicarium.operators import release as M
 from indicarium.operators import reshape as H
 from indicarium.operators import schema_ops as C
+from indicarium.operators import validate as K
 from indicarium.plans import bindings as B
 from indicarium.plans.pipelines import checked, MICRO_SQL
 from indicarium.plans.queries import query, _api_documents, UNIT_SQL, TYPE_SQL
@@ -38,6 +39,9 @@ def p12_aggregates(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
 
     Results of one variable are added by key (city, year), null when any
     of them is null; the type comes from the unit text (one per variable)."""
+    # K4: every data point must carry its variable, unit, locality and year
+    rows = K.enforce_fields(rows, ["variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL],
+                            "API answer missing a required field")
     s = N.special_code("raw")
     u = N.unit_inference("unidade")
     value = F.when(s["tipo_dado"].isNotNull(), s["valor"].cast("double")).otherwise(

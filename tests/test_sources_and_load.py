@@ -59,6 +59,10 @@ def test_api_and_flat_json(spark, scratch):
     facts = {(r.ano, r.tipo_dado): r.valor for r in p12_aggregates(rows, cat).collect()}
     # 2019: (2.5 + 1) * 1000; 2020: 0 + null -> null -> dropped
     assert facts == {(2019, "float"): 3500.0}
+    # an answer without its unit fails the job (K4), as the source raised
+    import pytest
+    with pytest.raises(Exception):
+        p12_aggregates(rows.withColumn("unidade", F.lit(None).cast("string")), cat).collect()
     f = os.path.join(scratch, "ipea", "x.json")
     write(f, json.dumps([{"id": "1", "periodo": "2019-01-01", "valor": "0", "cod": "1000011"},
                          {"id": "1", "periodo": "2020-01-01", "valor": "0.0", "cod": "1000011"}]))
