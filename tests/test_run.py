@@ -12,6 +12,28 @@ def test_resolve_request():
     assert resolve_request(["CAPAG", "pib municipal", "nope"]) == (["capag", "pib_municipal"], ["nope"])
 
 
+def test_p4_from_landed_yearly_csv(spark, scratch):
+    """P4 fed the way the source is: one ';' CSV (Latin-1) per census year in
+    nested folders, year taken from the path; same facts as the registered query."""
+    from pyspark.sql import functions as F
+    from indicarium.plans import bindings as B
+    from indicarium.plans.pipelines import bind_p4, p4_higher_education
+    from indicarium.sources.readers import yearly_files_scan
+    import __spark_entry__ as E
+    raw = bind_p4(B.Tables(spark, SF0001))
+    root = os.path.join(scratch, "censo_superior")
+    for r in raw.select("ano").distinct().collect():
+        y = r.ano
+        (raw.filter(F.col("ano") == y).drop("ano").coalesce(1).write.option("sep", ";")
+            .option("encoding", "ISO-8859-1").option("header", "true")
+            .csv(os.path.join(root, str(y), f"microdados_{y}", "dados")))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in raw.drop("ano").schema.fields)
+    landed = yearly_files_scan(spark, root, schema, "part-*.csv", year_regex=r"censo_superior/(\d{4})/")
+    got = sorted(tuple(r) for r in p4_higher_education(landed).collect())
+    want = sorted(tuple(r) for r in E.queries()["p4"](spark, SF0001).collect())
+    assert got == want and len(got) > 0
+
+
 def test_run_then_rerun(spark, scratch):
     store = os.path.join(scratch, "fatos")
     log, unknown = run_etl(spark, SF0001, store, ["capag", "IDHM", "nope"])
