@@ -80,10 +80,11 @@ def test_catalogue_and_yearly_files(spark, scratch):
     write(os.path.join(root, "2020", "dados", "MICRODADOS_CURSOS_2020.csv"), "CO_MUNICIPIO;QT\n1000011;4\n")
     write(os.path.join(root, "2020", "leia-me.txt"), "x")
     write(os.path.join(root, "2020", "LOOKUP_ESCOLAS.csv"), "CO_MUNICIPIO;QT\n9;9\n")
-    df = A.yearly_files_scan(spark, root, "CO_MUNICIPIO long, QT int", "*CURSOS*.csv")
+    year_rx = r"censo/(\d{4})/"      # the year folder (the scratch path may hold other digits)
+    df = A.yearly_files_scan(spark, root, "CO_MUNICIPIO long, QT int", "*CURSOS*.csv", year_regex=year_rx)
     assert sorted(tuple(r) for r in df.collect()) == [(1000011, 3, 2019), (1000011, 4, 2020)]
     facts, lookup = A.side_file_split(spark, root, "CO_MUNICIPIO long, QT int", "*CURSOS*.csv",
-                                      "CO_MUNICIPIO long, QT int", "LOOKUP*.csv")
+                                      "CO_MUNICIPIO long, QT int", "LOOKUP*.csv", year_regex=year_rx)
     assert lookup.count() == 1 and facts.count() == 2
 
 
