@@ -14,14 +14,14 @@ def write_facts(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     """B1: write facts as parquet; with ``overwrite`` only the partitions
     present in ``df`` are replaced (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parts = partition_by or ["dado_id", "ano"]
     # REBALANCE clusters rows by the partition columns (few files per
     # partition) and lets AQE split a hot (indicator, year) over several
     # tasks and merge small ones; a plain repartition would write a hot
-    # partition from one task
-    df.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).parquet(path)
+    # partition from one task. Dynamic overwrite is a per-write option, so
+    # the session's setting for other writes is left alone.
+    (df.hint("rebalance", *parts).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*parts).parquet(path))
 
 
 def write_facts_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
