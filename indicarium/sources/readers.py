@@ -76,9 +76,9 @@ def preamble_tolerant_scan(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def malformed_skipping_scan(spark: SparkSession, path: str, schema: T.StructType | str,
-                            sep: str = ";", encoding: str = LATIN1) -> DataFrame:
+                            sep: str = ";", encoding: str = LATIN1, header: bool = True) -> DataFrame:
     """A3: rows that do not fit the schema are skipped."""
-    return delimited_scan(spark, path, schema, sep=sep, encoding=encoding, mode="DROPMALFORMED")
+    return delimited_scan(spark, path, schema, sep=sep, encoding=encoding, header=header, mode="DROPMALFORMED")
 
 
 def quoted_clean_scan(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";",
