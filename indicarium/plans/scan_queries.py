@@ -72,6 +72,34 @@ def a3_malformed_scan(spark, d):
     return A.malformed_skipping_scan(spark, path, "o_orderkey long, o_custkey long", encoding="UTF-8", header=False)
 
 
+@query("a4_quoted_scan", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def a4_quoted_scan(spark, d):
+    c = B.Tables(spark, d).customer
+    path = _landing(spark, "snis")
+    # every field quoted; names carry stray tabs and a control character
+    dirty = F.concat(F.lit("\t"), F.col("c_name"), F.lit("\u0007"))
+    (c.select(F.col("c_custkey").cast("string").alias("c_custkey"), dirty.alias("c_name"), "c_mktsegment")
+      .write.option("sep", ";").option("quoteAll", "true").option("header", "true").option("encoding", "ISO-8859-1")
+      .csv(path))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("c_custkey", "c_name", "c_mktsegment")])
+    df = A.quoted_clean_scan(spark, path, schema)
+    return df.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name", "c_mktsegment")
+
+
+@query("a9_side_files", """
+SELECT o.o_orderkey, c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
+def a9_side_files(spark, d):
+    t = B.Tables(spark, d)
+    root = _landing(spark, "equipamentos")
+    # facts as .csv files, the lookup as .txt files, side by side in one folder
+    t.orders.select("o_orderkey", "o_custkey").write.option("sep", ";").option("header", "true").csv(os.path.join(root, "a"))
+    t.customer.select(F.concat_ws(";", "c_custkey", "c_nationkey").alias("value")).write.text(os.path.join(root, "b"))
+    facts, lookup = A.side_file_split(spark, root, "o_orderkey long, o_custkey long", "*.csv",
+                                      "c_custkey long, c_nationkey int", "*.txt", lookup_header=False,
+                                      encoding="UTF-8", year_regex=r"/(\d{4})-ano/")
+    return facts.join(lookup, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+
+
 @query("a8_yearly_scan", """
 SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS ano FROM orders""")
 def a8_yearly_scan(spark, d):

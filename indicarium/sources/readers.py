@@ -173,10 +173,14 @@ def yearly_files_scan(spark: SparkSession, root: str, schema: T.StructType | str
 
 
 def side_file_split(spark: SparkSession, root: str, fact_schema, fact_glob: str, lookup_schema,
-                    lookup_glob: str, **kw) -> tuple[DataFrame, DataFrame]:
-    """One folder, two kinds of files: facts and a lookup."""
+                    lookup_glob: str, lookup_header: bool | None = None, **kw) -> tuple[DataFrame, DataFrame]:
+    """One folder, two kinds of files: facts and a lookup (told apart
+    by file-name pattern; the lookup may differ in header)."""
+    lk = dict(kw)
+    if lookup_header is not None:
+        lk["header"] = lookup_header
     return (yearly_files_scan(spark, root, fact_schema, fact_glob, **kw),
-            yearly_files_scan(spark, root, lookup_schema, lookup_glob, **kw).drop(S.YEAR_COL))
+            yearly_files_scan(spark, root, lookup_schema, lookup_glob, **lk).drop(S.YEAR_COL))
 
 
 def read_dimension(spark: SparkSession, table: str | None = None, path: str | None = None,
