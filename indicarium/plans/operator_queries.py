@@ -13,7 +13,7 @@ from indicarium.operators import release as M
 from indicarium.operators import sets as U
 from indicarium.functions import numbers as N
 from indicarium.plans import bindings as B
-from indicarium.plans.queries import query, UNIT_SQL, TYPE_SQL
+from indicarium.plans.queries import query, TYPE_SQL
 
 CTE = B.with_ctes
 ORD, FEED, REL = B.ORD_SQL, B.FEED_SQL, B.REL_SQL

@@ -2,7 +2,6 @@
 column names and values, order-insensitive), plus the entry smoke check."""
 
 import math
-import os
 
 import duckdb
 import pandas as pd
