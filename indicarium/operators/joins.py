@@ -29,7 +29,16 @@ def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose row count is proven small."""
+    """Broadcast hint only for a side whose row count is proven small.
+
+    A frame built on the driver (a literal catalogue or request) already
+    lives in driver memory, so its size needs no job to prove."""
+    try:
+        local = df.isLocal()
+    except Exception:  # noqa: BLE001 - not answerable: count instead
+        local = False
+    if local:
+        return F.broadcast(df)
     return F.broadcast(df) if row_bound_holds(df, max_rows) else df
 
 
