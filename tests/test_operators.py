@@ -62,6 +62,16 @@ def test_chunked_fill_equals_whole_window(spark):
     for width in (5, 128, 10_000):
         got = {(r.s, r.p): r.y for r in I.fill_missing_year(df, "y", "p", ["s"], chunk=width).collect()}
         assert got == whole
+    # automatic widths from each source's density, also with very sparse positions
+    for rows in (3, 40):
+        got = {(r.s, r.p): r.y for r in I.fill_missing_year(df, "y", "p", ["s"], chunk_rows=rows).collect()}
+        assert got == whole
+    sparse = df.withColumn("p", F.col("p") * 1_000_003 + F.col("s") * 7)
+    whole_sparse = {(r.s, r.p): r.y for r in I.fill_missing_year(sparse, "y", "p", ["s"], chunk=None).collect()}
+    got = {(r.s, r.p): r.y for r in I.fill_missing_year(sparse, "y", "p", ["s"], chunk_rows=10).collect()}
+    assert got == whole_sparse
+    glob = {r.p: r.y for r in I.fill_missing_year(df.filter("s = 0"), "y", "p", chunk_rows=10).collect()}
+    assert glob == {p: v for (s, p), v in whole.items() if s == 0}
 
 
 def test_year_arrays(spark):
