@@ -75,13 +75,16 @@ def load_incremental(facts: DataFrame, indicator_dim: DataFrame, municipality_di
 
 
 def _partitions(spark: SparkSession, store: str) -> set[tuple[int, int]]:
-    """(dado_id, ano) partitions present in the store (partition columns
-    only; an empty or missing store has none)."""
+    """(dado_id, ano) partitions present in the store, read from the file
+    paths Spark lists anyway (no job over the data); an empty or missing
+    store has none."""
+    import re
     try:
-        parts = spark.read.parquet(store).select("dado_id", S.YEAR_COL).distinct().collect()
+        files = spark.read.parquet(store).inputFiles()
     except Exception:  # noqa: BLE001 - first load: the store does not exist yet
         return set()
-    return {(int(r[0]), int(r[1])) for r in parts}
+    rx = re.compile(rf"dado_id=(-?\d+)/{S.YEAR_COL}=(-?\d+)/")
+    return {(int(m.group(1)), int(m.group(2))) for m in map(rx.search, files) if m}
 
 
 # ---------------------------------------------------------------------------
