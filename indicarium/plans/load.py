@@ -62,14 +62,19 @@ def load_incremental(facts: DataFrame, indicator_dim: DataFrame, municipality_di
         loaded = spark.createDataFrame(sorted(before), "dado_id int, ano int")
         rows = rows.join(F.broadcast(loaded), ["dado_id", S.YEAR_COL], "left_anti")
     sinks.write_facts(rows, store, ["dado_id", S.YEAR_COL])
-    added = sorted(_partitions(spark, store) - before)
+    after = _partitions(spark, store)
+    added = sorted(after - before)
     inserted = 0
     if added:
         new = spark.createDataFrame(added, "dado_id int, ano int")
+        # join on the partition columns: only the added partitions are read
         inserted = spark.read.parquet(store).join(F.broadcast(new), ["dado_id", S.YEAR_COL], "left_semi").count()
-    years = spark.read.parquet(store).groupBy("dado_id").agg(
-        F.array_sort(F.collect_set(S.YEAR_COL)).alias("__stored"))
-    dim = indicator_dim.join(years, "dado_id", "left").withColumn(
+    # stored years per indicator come from the partition list (no scan)
+    per_ind: dict[int, list[int]] = {}
+    for d, y in sorted(after):
+        per_ind.setdefault(d, []).append(y)
+    years = spark.createDataFrame(list(per_ind.items()), "dado_id int, __stored array<int>")
+    dim = indicator_dim.join(F.broadcast(years), "dado_id", "left").withColumn(
         "anos_serie_historica", U.years_union("anos_serie_historica", "__stored")).drop("__stored")
     return {"rows": inserted, "indicator_dim": dim, "unknown": unknown}
 
