@@ -28,9 +28,11 @@ LANDED_FACT_SCHEMA = T.StructType([
 
 def stream_incremental_load(spark: SparkSession, landing: str, store: str, indicator_dim: DataFrame,
                             municipality_dim: DataFrame, name: str = "carga_incremental",
-                            checkpoint: str | None = None) -> dict:
+                            checkpoint: str | None = None, max_files_per_batch: int = 1000) -> dict:
     """Load every fact file present in ``landing`` that was not loaded
-    yet, then stop. Returns the total inserted rows of this run."""
+    yet, then stop. A large backlog is taken in micro-batches of at most
+    ``max_files_per_batch`` files, each loaded and committed on its own.
+    Returns the total inserted rows of this run."""
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", name)
     totals = {"rows": 0, "batches": 0}
 
@@ -39,7 +41,8 @@ def stream_incremental_load(spark: SparkSession, landing: str, store: str, indic
         totals["rows"] += int(out["rows"])
         totals["batches"] += 1
 
-    stream = (spark.readStream.schema(LANDED_FACT_SCHEMA).parquet(landing)
+    stream = (spark.readStream.schema(LANDED_FACT_SCHEMA)
+              .option("maxFilesPerTrigger", max_files_per_batch).parquet(landing)
               .writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", ckpt)
               .trigger(availableNow=True)

@@ -125,6 +125,13 @@ def test_stream_load_takes_each_file_once(spark, scratch):
     got = stream_incremental_load(spark, os.path.join(landing, "*"), store, ind, mun, checkpoint=ckpt)
     assert got["rows"] == 0                         # nothing new landed
     assert spark.read.parquet(store).count() == 2
+    # a backlog of several files is taken in bounded batches
+    for y in (2020, 2021, 2022):
+        _facts(spark, [y]).coalesce(1).write.parquet(os.path.join(landing, f"lote{y}"))
+    got = stream_incremental_load(spark, os.path.join(landing, "*"), store, ind, mun, checkpoint=ckpt,
+                                  max_files_per_batch=1)
+    assert got["rows"] == 6 and got["batches"] == 3
+    assert spark.read.parquet(store).count() == 8
 
 
 def test_run_audit_and_text(spark):
