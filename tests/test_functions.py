@@ -108,6 +108,20 @@ def test_ascii_fold_random_unicode(spark):
     assert got == want
 
 
+def test_typing_dates_and_log_text(spark):
+    df = spark.createDataFrame([("12", "int"), ("1.5", "float"), ("true", "bool"), ("abc", "str"), ("x", "int")],
+                               "v string, t string")
+    assert [r[0] for r in df.select(N.cast_by_tag("v", "t")).collect()] == ["12", "1.5", "true", "abc", None]
+    df = spark.createDataFrame([("2019-01-01",), ("2020",), (None,)], "v string")
+    assert [r[0] for r in df.select(N.year_from_iso("v")).collect()] == [2019, 2020, None]
+    df = spark.createDataFrame([([2018, 2019],)], "v array<int>")
+    assert df.select(X.years_text("v")).first()[0] == "2018, 2019"
+    ts = spark.sql("SELECT TIMESTAMP_NTZ'2024-05-06 07:08:09' AS t")
+    assert ts.select(X.log_timestamp("t")).first()[0] == "2024-05-06 07:08:09"
+    df = spark.createDataFrame([("corrigido.csv", None)], "n string, y int")
+    assert df.select(X.corrected_release_year("n", "y")).first()[0] is None
+
+
 def test_text_key(spark):
     assert one(spark, X.text_key("v"), "São  Paulo\x01") == "saopaulo"
     assert one(spark, X.name_key("v"), "Vila Alta ") == "vilaalta"
