@@ -41,16 +41,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def materialize(df):
-    """Compute ``df`` once into the shared checkpoint folder (a reliable
-    checkpoint, never a local one) and return a DataFrame reading it.
+    """Compute ``df`` once into a parquet table in the shared checkpoint
+    folder and return a DataFrame reading it (never a local checkpoint).
 
     For a small intermediate with several consumers: column pruning trims
     each consumer's copy of the plan differently, so Spark cannot reuse
     the exchange and would recompute the expensive part (a large join)
-    per consumer. The written copy also cuts the lineage, so a lost
-    executor does not send recovery back through that join."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    per consumer. The written table also cuts the lineage, so a lost
+    executor does not send recovery back through that join. A parquet
+    table rather than ``DataFrame.checkpoint``: one job (an uncached RDD
+    checkpoint computes its input twice) and columnar reads with pruning."""
+    import uuid
+    spark = df.sparkSession
+    root = checkpoint_dir(spark)
+    if not root:      # no shared folder known (e.g. a Connect session): server-side checkpoint
+        return df.checkpoint(eager=True)
+    path = os.path.join(root, "materialized", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
