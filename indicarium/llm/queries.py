@@ -11,7 +11,13 @@ from indicarium.llm.common import table
 from indicarium.llm.decontamination import report
 from indicarium.llm.packing import pack
 from indicarium.llm.simhash import simhash_components
+from indicarium.llm.substring_dedup import substring_dedup
 from indicarium.llm.token_counts import token_counts
+from indicarium.llm.toxicity import toxicity
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(spark, table(spark, sf_dir, "documents"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +36,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination, op4_token_counts, op6_packing, op7_simhash)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op4_token_counts, op6_packing, op7_simhash, op9_toxicity)}
 
 
 OP2_SQL = r"""
