@@ -14,6 +14,7 @@ from indicarium.llm.simhash import simhash_components
 from indicarium.llm.substring_dedup import substring_dedup
 from indicarium.llm.token_counts import token_counts
 from indicarium.llm.toxicity import toxicity
+from indicarium.llm.warc import pages_through_warc
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_through_warc(spark, table(spark, sf_dir, "pages"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -41,7 +46,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op4_token_counts, op6_packing, op7_simhash, op9_toxicity)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op6_packing, op7_simhash, op9_toxicity)}
 
 
 OP2_SQL = r"""
@@ -71,5 +76,17 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
 """
 
 
+OP3_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+     q AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+                  max(page_id) OVER (PARTITION BY payload) AS best
+           FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN best END AS refers_to
+FROM q
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL}
+    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL}
