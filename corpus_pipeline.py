@@ -9,8 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from indicarium.llm.common import staged, table
 from indicarium.llm.decontamination import remove_contaminated
+from indicarium.llm.line_dedup import drop_templates
 from indicarium.llm.packing import pack
 from indicarium.llm.simhash import keep_one_each
+from indicarium.llm.toxicity import remove_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores 0.7 or more go; it learns from the labels of this stage's documents."""
+    return remove_toxic(spark, docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates go from all documents but the first; every document stays."""
+    return drop_templates(spark, docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,6 +41,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("packing", packing),

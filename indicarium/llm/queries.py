@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from indicarium.llm.common import table
 from indicarium.llm.decontamination import report
+from indicarium.llm.line_dedup import line_dedup
 from indicarium.llm.packing import pack
 from indicarium.llm.simhash import simhash_components
 from indicarium.llm.substring_dedup import substring_dedup
@@ -45,8 +46,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op6_packing, op7_simhash, op9_toxicity)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op6_packing, op7_simhash, op9_toxicity, op10_line_dedup)}
 
 
 OP2_SQL = r"""
@@ -88,5 +93,29 @@ FROM q
 """
 
 
+OP10_SQL = r"""
+WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+     l AS (SELECT doc_id, pos, list_transform(regexp_split_to_array(trim(line, concat(' ', chr(9), chr(13), chr(12), chr(11))), '[ \t\r\f\x0B]+'),
+                                             lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS words
+           FROM (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM d)),
+     k AS (SELECT doc_id, pos, words, len(words) AS n, words[1:4] AS head FROM l WHERE len(words) >= 4),
+     tok AS (SELECT n, head, p, token, count(*) AS c
+             FROM (SELECT n, head, unnest(range(n)) AS p, unnest(words) AS token FROM k) GROUP BY ALL),
+     tpl AS (SELECT n, head, list(CASE WHEN 2 * c > total THEN token END ORDER BY p) AS template
+             FROM (SELECT n, head, p, sum(c) AS total, max(c) AS c, arg_max(token, c) AS token FROM tok GROUP BY n, head, p) GROUP BY n, head),
+     f AS (SELECT doc_id, pos, n, head FROM k JOIN tpl USING (n, head)
+           WHERE len(list_filter(list_zip(words, template), lambda z: z[1] = z[2])) >= 0.5 * n),
+     r AS (SELECT n, head, min(doc_id) AS first FROM f GROUP BY n, head HAVING count(DISTINCT doc_id) >= 10),
+     x AS (SELECT DISTINCT doc_id, pos FROM f JOIN r USING (n, head) WHERE doc_id <> first),
+     o AS (SELECT d.doc_id, d.text, i.pos, i.line, x.pos IS NOT NULL AS gone
+           FROM d JOIN (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM d) i USING (doc_id)
+                LEFT JOIN x ON x.doc_id = i.doc_id AND x.pos = i.pos)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+FROM o GROUP BY doc_id
+UNION ALL
+SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL}
+    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL, "op10_line_dedup": OP10_SQL}
