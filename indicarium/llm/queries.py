@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from indicarium.llm.common import table
 from indicarium.llm.decontamination import report
+from indicarium.llm.embedding_dedup import embedding_components
 from indicarium.llm.line_dedup import line_dedup
 from indicarium.llm.packing import pack
 from indicarium.llm.simhash import simhash_components
@@ -42,6 +43,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,7 +56,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op6_packing, op7_simhash, op9_toxicity, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op6_packing, op7_simhash, op8_embedding_dedup, op9_toxicity, op10_line_dedup)}
 
 
 OP2_SQL = r"""
