@@ -14,6 +14,7 @@ from indicarium.llm.line_dedup import line_dedup
 from indicarium.llm.packing import pack
 from indicarium.llm.simhash import simhash_components
 from indicarium.llm.substring_dedup import substring_dedup
+from indicarium.llm.suffix_dedup import suffix_dedup
 from indicarium.llm.token_counts import token_counts
 from indicarium.llm.toxicity import toxicity
 from indicarium.llm.warc import pages_through_warc
@@ -35,6 +36,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(spark, table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -56,7 +61,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op6_packing, op7_simhash, op8_embedding_dedup, op9_toxicity, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op5_suffix_dedup, op6_packing, op7_simhash, op8_embedding_dedup, op9_toxicity, op10_line_dedup)}
 
 
 OP2_SQL = r"""
