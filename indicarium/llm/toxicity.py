@@ -41,7 +41,7 @@ class Model:
     bias: float
 
     def score(self, z: float) -> float:
-        return float(sigmoid(np.float64(z + self.bias)))
+        return float(sigmoid(np.float64(z + self.bias))) if self.weights else 0.0
 
 
 def words(text: bytes) -> set[bytes]:
