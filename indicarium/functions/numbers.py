@@ -41,7 +41,7 @@ def cast_by_tag(value: ColumnOrName, tag: ColumnOrName | str) -> Column:
     text of the typed value (so one column can carry every tag)."""
     v = _c(value)
     t = F.lit(tag) if isinstance(tag, str) and tag in SPARK_TYPE_OF_TAG else _c(tag)
-    return (F.when(t == "int", v.try_cast("double").try_cast("bigint").cast("string"))
+    return (F.when(t == "int", F.coalesce(v.try_cast("bigint"), v.try_cast("double").try_cast("bigint")).cast("string"))
              .when(t == "float", v.try_cast("double").cast("string"))
              .when(t == "bool", v.try_cast("boolean").cast("string"))
              .otherwise(v.cast("string")))

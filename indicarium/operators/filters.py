@@ -16,11 +16,10 @@ def in_list(df: DataFrame, col: str, values) -> DataFrame:
     return df.filter(F.col(col).isin(*values))
 
 
-def in_catalogue(df: DataFrame, col: str, catalogue: DataFrame, cat_col: str,
-                 max_rows: int = 1_000_000) -> DataFrame:
+def in_catalogue(df: DataFrame, col: str, catalogue: DataFrame, cat_col: str) -> DataFrame:
     """D1 (catalogue-driven): keep rows whose ``col`` appears in a catalogue."""
     cat = catalogue.select(F.col(cat_col).alias("__k")).distinct()
-    return df.join(bounded_broadcast(cat, max_rows), F.col(col) == F.col("__k"), "left_semi")
+    return df.join(bounded_broadcast(cat), F.col(col) == F.col("__k"), "left_semi")
 
 
 def in_lists(df: DataFrame, lists: dict[str, list]) -> DataFrame:
@@ -34,16 +33,6 @@ def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.dropna(how="any", subset=subset)
 
 
-def only_years(df: DataFrame, years, year_col: str = "ano") -> DataFrame:
-    """Keep the listed years."""
-    return df.filter(F.col(year_col).isin(*list(years)))
-
-
-def only_new_keys(df: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
-    """Keep rows whose keys were not loaded before (anti join)."""
-    return df.join(loaded.select(*keys).distinct(), keys, "left_anti")
-
-
 def schema_drift_guard(df: DataFrame, min_columns: int = 4) -> bool:
     """A table with too few columns is skipped (driver-side check of
     the schema only)."""

@@ -1,10 +1,8 @@
 """Joins (2.F): key resolution against dimensions, catalogue joins,
 zero fill and request filtering.
 
-Broadcast is used only behind a proven row bound: ``bounded_broadcast``
-counts at most ``max_rows + 1`` rows of the small side (a bounded job) and
-broadcasts only when the bound holds; otherwise the join stays a shuffle
-join and AQE may still convert it at runtime from real sizes.
+Only frames that the driver built carry a broadcast hint; for every other
+side Spark and AQE decide from sizes in bytes.
 """
 
 from __future__ import annotations
@@ -18,28 +16,12 @@ from indicarium import schema as S
 from indicarium.functions.numbers import seven_digit
 from indicarium.functions.text import name_key, text_key
 
-# a dimension of a few narrow columns this long is still a few tens of MB
-DIM_MAX_ROWS = 1_000_000
-
-
-def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose row count is proven small.
-
-    A frame built on the driver (a literal catalogue or request) already
-    lives in driver memory, so its size needs no job to prove."""
-    try:
-        local = df.isLocal()
-    except Exception:  # noqa: BLE001 - not answerable: count instead
-        local = False
-    if local:
-        return F.broadcast(df)
-    return F.broadcast(df) if row_bound_holds(df, max_rows) else df
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a frame built on the driver (a literal catalogue or
+    request), which lives in driver memory already. Any other side gets no
+    hint: Spark decides from its size in bytes, in the plan or, by AQE, from
+    what the shuffle wrote."""
+    return F.broadcast(df) if df.isLocal() else df
 
 
 def municipality_code6(municipalities: DataFrame) -> DataFrame:
@@ -50,20 +32,18 @@ def municipality_code6(municipalities: DataFrame) -> DataFrame:
                                  code.alias("__code7"))
 
 
-def upgrade_city_code(df: DataFrame, code_col: str, municipalities: DataFrame,
-                      max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+def upgrade_city_code(df: DataFrame, code_col: str, municipalities: DataFrame) -> DataFrame:
     """codes that already have seven digits pass through; others are
     six-digit codes upgraded by a left join on the first six digits of
     the reference list (unmatched -> null). Checked per row."""
-    dim = bounded_broadcast(municipality_code6(municipalities), max_rows)
+    dim = bounded_broadcast(municipality_code6(municipalities))
     code = F.col(code_col).cast("bigint")
     joined = df.join(dim, code == F.col("__code6"), "left")
     return (joined.withColumn(code_col, F.when(seven_digit(code), code).otherwise(F.col("__code7")))
                   .drop("__code6", "__code7"))
 
 
-def resolve_by_name_state(df: DataFrame, name_col: str, uf_col: str, municipalities: DataFrame,
-                          max_rows: int = DIM_MAX_ROWS, fold: bool = False) -> DataFrame:
+def resolve_by_name_state(df: DataFrame, name_col: str, uf_col: str, municipalities: DataFrame, fold: bool = False) -> DataFrame:
     """inner equi-join on (lower/no-space name, state); unmatched rows
     drop, duplicate (name, state) pairs in the reference list fan out.
     Accents are compared as written (as the source does) unless ``fold``,
@@ -72,14 +52,14 @@ def resolve_by_name_state(df: DataFrame, name_col: str, uf_col: str, municipalit
     dim = municipalities.select(key("nome_municipio").alias("__nk"),
                                 F.col("sigla_uf").alias("__uf"), S.CITY_CODE_COL)
     keyed = df.withColumn("__nk_l", key(name_col))
-    out = keyed.join(bounded_broadcast(dim, max_rows),
+    out = keyed.join(bounded_broadcast(dim),
                      (F.col("__nk_l") == F.col("__nk")) & (F.col(uf_col) == F.col("__uf")), "inner")
     return out.drop("__nk_l", "__nk", "__uf")
 
 
 def unique_lookup(df: DataFrame, keys: dict[str, Column], lookup: DataFrame,
                   lookup_keys: dict[str, Column], value: Column, out_col: str,
-                  missing=-1, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+                  missing=-1) -> DataFrame:
     """resolve each row to the lookup value when its key matches
     exactly one lookup row; no match or several matches give ``missing``.
     The lookup is reduced to one row per key first, so nothing fans out."""
@@ -89,18 +69,11 @@ def unique_lookup(df: DataFrame, keys: dict[str, Column], lookup: DataFrame,
     resolved = F.when(F.col("__n") == 1, F.col("__v"))
     left = df.withColumns({f"__l_{n}": keys[n] for n in names})
     cond = reduce(lambda a, b: a & b, [F.col(f"__l_{n}") == F.col(f"__k_{n}") for n in names])
-    out = left.join(bounded_broadcast(per_key, max_rows), cond, "left")
+    out = left.join(bounded_broadcast(per_key), cond, "left")
     return (out.withColumn(out_col, F.coalesce(resolved, F.lit(missing)))
                .drop(*[f"__l_{n}" for n in names], *[f"__k_{n}" for n in names], "__n", "__v"))
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str, drop_key: bool = True) -> DataFrame:
-    """inner join to a lookup file on an entity name, then drop the
-    name. Duplicate names in the lookup fan out (same as the source)."""
-    out = df.join(lookup, on, "inner")
-    return out.drop(on) if drop_key else out
-
-
 def fanout_sum(df: DataFrame, lookup: DataFrame, on: str, target: str,
                measures: list[str]) -> DataFrame:
     """F4 + G2 without materialising the fan-out: sum the measures per
@@ -113,54 +86,55 @@ def fanout_sum(df: DataFrame, lookup: DataFrame, on: str, target: str,
     return joined.groupBy(target).agg(*[F.sum(F.col(m) * F.col("__copies")).alias(m) for m in measures])
 
 
-def outer_merge(frames: list[DataFrame], key: str, unique_keys: bool = True) -> DataFrame:
+def outer_merge(frames: list[DataFrame], key: str, unique_keys: bool = False) -> DataFrame:
     """N-way full outer merge on one key.
 
+    By default a chain of full outer joins, in which duplicate keys pair up.
     With ``unique_keys`` (each sheet has at most one row per key, as survey
-    sheets keyed by city do) the merge is one union and one aggregate:
-    a single shuffle for any number of sheets, where a chain of full
-    outer joins re-shuffles after every join (the merged key
-    ``coalesce(l.key, r.key)`` carries no partitioning). Each output
-    column has at most one non-null value per key, so taking it is exact.
-    Without ``unique_keys`` the full outer join chain is used (duplicate
-    keys then pair up as a join does)."""
+    sheets keyed by city do) the merge is one union and one aggregate: a
+    single shuffle for any number of sheets. The same aggregate counts the
+    rows of each sheet; a key that a sheet holds twice is an error, and so are
+    sheets that share another column's name."""
     if not unique_keys:
         return reduce(lambda a, b: a.join(b, key, "full_outer"), frames)
-    cols = []
-    for f in frames:
-        cols += [c for c in f.columns if c != key and c not in cols]
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return merged.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+    cols = [c for f in frames for c in f.columns if c != key]
+    if len(set(cols)) < len(cols):
+        raise ValueError(f"sheets share column names: {sorted({c for c in cols if cols.count(c) > 1})}")
+    sheets = [f.withColumn("__sheet", F.lit(i)) for i, f in enumerate(frames)]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sheets)
+    out = merged.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols],
+                                  F.count(F.lit(1)).alias("__rows"), F.collect_set("__sheet").alias("__sheets"))
+    twice = F.raise_error(F.concat(F.lit("a sheet holds this key twice: "), F.col(key).cast("string")))
+    checked = F.when(F.col("__rows") > F.size("__sheets"), twice).otherwise(F.lit(True))
+    return out.where(checked.cast("boolean")).select(key, *cols)
 
 
 def to_surrogate(df: DataFrame, dim: DataFrame, natural: str = S.CITY_CODE_COL,
-                 surrogate: str = "municipio_id", max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+                 surrogate: str = "municipio_id") -> DataFrame:
     """replace a natural key with the dimension's surrogate key (left
     join; unmatched -> null)."""
     d = dim.select(F.col(natural).alias("__nat"), F.col(surrogate).alias("__sur"))
-    out = df.join(bounded_broadcast(d, max_rows), F.col(natural) == F.col("__nat"), "left")
+    out = df.join(bounded_broadcast(d), F.col(natural) == F.col("__nat"), "left")
     return out.withColumn(surrogate, F.col("__sur")).drop("__nat", "__sur", natural)
 
 
-def indicator_lookup(df: DataFrame, name_col: str, indicator_dim: DataFrame,
-                     max_rows: int = DIM_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
+def indicator_lookup(df: DataFrame, name_col: str, indicator_dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """attach (dado_id, topico, anos_serie_historica) by indicator name,
     case- and space-insensitive. Returns (matched rows, unmatched names)."""
     dim = indicator_dim.select(name_key("nome_dado").alias("__nk"), "dado_id", "topico",
                                "anos_serie_historica")
     keyed = df.withColumn("__nk_l", name_key(name_col))
-    dimb = bounded_broadcast(dim, max_rows)
+    dimb = bounded_broadcast(dim)
     matched = keyed.join(dimb, F.col("__nk_l") == F.col("__nk"), "inner").drop("__nk_l", "__nk")
     unmatched = (keyed.select(F.col(name_col), F.col("__nk_l")).distinct()
                       .join(dimb, F.col("__nk_l") == F.col("__nk"), "left_anti").drop("__nk_l"))
     return matched, unmatched
 
 
-def catalogue_join(df: DataFrame, catalogue: DataFrame, keys: list[str], how: str = "inner",
-                   max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+def catalogue_join(df: DataFrame, catalogue: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """F8: attach catalogue attributes (topic, type) by (year, code) or
     (variable, classification)."""
-    return df.join(bounded_broadcast(catalogue, max_rows), keys, how)
+    return df.join(bounded_broadcast(catalogue), keys, how)
 
 
 def zero_fill_sum(df: DataFrame, keys: list[str], keep: Column, measure: str,

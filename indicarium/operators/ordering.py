@@ -3,6 +3,8 @@ partitioned by a key; single-winner choices use ``max_by`` aggregates."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +19,7 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def fill_missing_year(df: DataFrame, year_col: str, order: str, partition: list[str] | None = None,
-                      out: str | None = None, chunk: int | str | None = "auto",
-                      chunk_rows: int = 1 << 16) -> DataFrame:
+                      out: str | None = None, chunk: int | None = 1 << 16) -> DataFrame:
     """A missing year is the last known year + 1; the last known year
     stays the same across consecutive gaps. A leading gap has no
     predecessor and stays null.
@@ -31,11 +32,9 @@ def fill_missing_year(df: DataFrame, year_col: str, order: str, partition: list[
        window over one small row per chunk);
     3. inside each chunk a window bounded by the chunk, falling back to
        the carry-in.
-    ``chunk`` is a fixed width in units of the integer ``order`` column,
-    or ``"auto"``: per source the width that gives about ``chunk_rows``
-    rows per chunk, from the source's row count and position range (one
-    small aggregate), so sparse positions still make bounded chunks.
-    ``None`` uses one window per source.
+    ``chunk`` is a width in units of the integer ``order`` column; it does
+    not change the result, only how many rows a task holds. ``None`` uses one
+    window per source. A null source is a source too.
     """
     part = list(partition or [])
     res = out or year_col
@@ -43,41 +42,21 @@ def fill_missing_year(df: DataFrame, year_col: str, order: str, partition: list[
     if not chunk:
         w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(res, F.coalesce(y, F.last(y, ignorenulls=True).over(w) + 1))
-    if chunk == "auto":
-        keyed = _auto_chunks(df, part, o, chunk_rows)
-    else:
-        keyed = df.withColumn("__chunk", F.floor(o / chunk))
+    keyed = df.withColumn("__chunk", F.floor(o / chunk))
     # one row per chunk: its last known year (null when it has none)
     per_chunk = keyed.groupBy(*part, "__chunk").agg(
         F.max_by(y, F.when(y.isNotNull(), o)).alias("__last"))
     wc = Window.partitionBy(*part).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select(*part, "__chunk", F.last("__last", ignorenulls=True).over(wc).alias("__in"))
+    names = [*part, "__chunk"]
+    carry = per_chunk.select(*[F.col(p).alias(f"__s_{p}") for p in names], F.last("__last", ignorenulls=True).over(wc).alias("__in"))
+    same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__s_{p}")) for p in names])
     wl = Window.partitionBy(*part, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = keyed.withColumn("__prev", F.last(y, ignorenulls=True).over(wl))
-    filled = local.join(carry, [*part, "__chunk"], "left")
+    filled = local.join(carry, same, "left").drop(*[f"__s_{p}" for p in names])
     prev = F.coalesce(F.col("__prev"), F.col("__in"))
     return filled.withColumn(res, F.coalesce(y, prev + 1)).drop("__chunk", "__prev", "__in")
 
 
-def _auto_chunks(df: DataFrame, part: list[str], o: Column, chunk_rows: int) -> DataFrame:
-    """``__chunk`` = (position - source minimum) div width, the width set
-    per source so that a chunk holds about ``chunk_rows`` rows."""
-    from functools import reduce
-    from indicarium.operators.joins import bounded_broadcast
-    lo = F.min(o)
-    width = F.greatest(F.lit(1.0), F.ceil((F.max(o) - lo + 1).cast("double") * chunk_rows / F.count(F.lit(1))))
-    if part:
-        stats = df.groupBy(*part).agg(lo.alias("__lo"), width.alias("__w"))
-        stats = stats.select(*[F.col(p).alias(f"__s_{p}") for p in part], "__lo", "__w")
-        # null-safe keys: a null source is a source too
-        cond = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__s_{p}")) for p in part])
-        keyed = df.join(bounded_broadcast(stats), cond).drop(*[f"__s_{p}" for p in part])
-    else:
-        r = df.agg(lo.alias("lo"), width.alias("w")).first()   # one row of scalars
-        keyed = df.withColumns({"__lo": F.lit(r["lo"]), "__w": F.lit(r["w"])})
-    return keyed.withColumn("__chunk", F.floor((o - F.col("__lo")) / F.col("__w"))).drop("__lo", "__w")
-
-
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """Keep-first de-duplication with an explicit total order."""
     w = Window.partitionBy(*keys).orderBy(*order)

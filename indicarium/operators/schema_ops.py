@@ -52,10 +52,6 @@ def _norm_name(name: str, style: str) -> str:
         return name.lower().replace("_", " ")
     if style == "upper":
         return name.upper()
-    if style == "printable":    # Unicode categories L, M, N, P, Z, S only
-        import unicodedata
-        cleaned = re.sub(r'["\n\t\r]', "", name).strip()
-        return "".join(ch for ch in cleaned if unicodedata.category(ch)[0] in "LMNPZS")
     raise ValueError(f"unknown style {style}")
 
 

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from indicarium import schema as S
 
@@ -30,6 +31,17 @@ def _rules(max_year: Column | None = None) -> dict[str, Column]:
     }
 
 
+#: Columns of the fact contract whose type is fixed; a value may be of any type.
+FACT_TYPES = {S.YEAR_COL: T.IntegralType, S.CITY_CODE_COL: T.IntegralType, S.DATA_ID_COL: T.StringType, S.DTYPE_COL: T.StringType}
+
+
+def require_types(df: DataFrame) -> None:
+    """K1: years and codes are whole numbers, names and tags are text."""
+    wrong = [f"{c}: {df.schema[c].dataType.simpleString()}" for c, t in FACT_TYPES.items() if not isinstance(df.schema[c].dataType, t)]
+    if wrong:
+        raise ContractError(f"wrong column types: {', '.join(wrong)}")
+
+
 def contract_report(df: DataFrame, group: list[str] | None = None) -> DataFrame:
     """K1/K2: violation counts of the fact contract (types, ranges, enum,
     non-null; code width checked on every row), optionally per group.
@@ -38,6 +50,7 @@ def contract_report(df: DataFrame, group: list[str] | None = None) -> DataFrame:
     extra = [c for c in df.columns if c not in S.FACT_COLUMNS and c not in (group or [])]
     if missing:
         raise ContractError(f"missing fact columns {missing}")
+    require_types(df)
     aggs = [F.count(F.lit(1)).alias("linhas")]
     aggs += [F.sum(F.when(rule, 1).otherwise(0)).cast("bigint").alias(name)
              for name, rule in _rules().items()]
@@ -59,6 +72,7 @@ def enforce_contract(df: DataFrame) -> DataFrame:
     extra = [c for c in df.columns if c not in S.FACT_COLUMNS]
     if extra:
         raise ContractError(f"extra columns {extra}")
+    require_types(df)
     bad = reduce(lambda a, b: a | b, _rules().values())
     # a filter (not a dropped column) so that column pruning cannot remove the check
     guard = F.when(bad, F.raise_error(F.lit("fact contract violated")).cast("boolean")).otherwise(F.lit(True))
@@ -91,6 +105,8 @@ def enforce_fields(df: DataFrame, fields: list[str], what: str = "required field
     return df.filter(guard)
 
 
-def exactly_one(df: DataFrame, keys: list[str]) -> DataFrame:
-    """K5: keys resolving to zero-or-several rows (count != 1)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") != 1)
+def exactly_one(df: DataFrame, keys: list[str], expected: DataFrame) -> DataFrame:
+    """K5: expected keys that resolve to no row or to several (n != 1)."""
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return (expected.select(*keys).distinct().join(found, keys, "left")
+            .withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint")).filter(F.col("n") != 1))

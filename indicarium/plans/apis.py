@@ -187,7 +187,7 @@ def snis_pipeline(raw: DataFrame, catalogue: DataFrame, municipalities: DataFram
     keys = ["Código do Município", "Ano de Referência"]
     df = C.select_by_pattern(df, "-", keep=keys)
     df = H.unpivot_indicators(df, keys, [c for c in df.columns if c not in keys], name_col="cabecalho")
-    df = df.withColumn(S.VALUE_COL, P.null_token(S.VALUE_COL))
+    df = df.withColumn(S.VALUE_COL, P.null_token(S.VALUE_COL, ["-", ""]))
     df = D.drop_nulls(df, [S.VALUE_COL])
     df = df.withColumn(S.VALUE_COL, N.parse_br_number(S.VALUE_COL)).withColumn("codigo", X.code_from_header("cabecalho"))
     df = J.catalogue_join(df, catalogue, ["codigo"])

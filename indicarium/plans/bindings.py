@@ -200,6 +200,11 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+def years_in(df: DataFrame, year_col: str = "ano") -> list[int]:
+    """The data's years, which name the columns of a wide edition (a handful of values, one small job)."""
+    return sorted(r[0] for r in df.select(year_col).where(F.col(year_col).isNotNull()).distinct().collect())
+
+
 def landed_yearly(df: DataFrame, year_col: str = "ano") -> dict[int, DataFrame]:
     """Yearly editions as landed files: ``df`` is written once, partitioned
     by year, into the shared checkpoint folder; each edition then reads
@@ -211,15 +216,12 @@ def landed_yearly(df: DataFrame, year_col: str = "ano") -> dict[int, DataFrame]:
     from indicarium.session import checkpoint_dir
     spark = df.sparkSession
     root = checkpoint_dir(spark)
-    if not root:   # no shared folder (e.g. a Connect session): one filtered read per edition
-        years = [r[0] for r in df.select(year_col).distinct().collect()]
-        return {y: df.filter(F.col(year_col) == y).drop(year_col) for y in sorted(years)}
     path = os.path.join(root, "landed", uuid.uuid4().hex)
     # rebalance by year: files of AQE's advisory size per year folder instead
     # of one small file per (task, year); a large year is split, not funnelled
     df.hint("rebalance", year_col).write.partitionBy(year_col).parquet(path)
     landed = spark.read.parquet(path)
-    years = [r[0] for r in landed.select(year_col).distinct().collect()]
+    years = [r[0] for r in landed.select(year_col).where(F.col(year_col).isNotNull()).distinct().collect()]
     return {y: landed.filter(F.col(year_col) == y).drop(year_col) for y in sorted(years)}
 
 

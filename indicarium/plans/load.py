@@ -12,7 +12,9 @@ are recomputed from what was written, not patched in a second step.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from indicarium.operators import joins as J
 from indicarium.operators import sets as U
 from indicarium.plans import bindings as B
 from indicarium.plans.queries import query
+from indicarium.session import checkpoint_dir, materialize
 from indicarium.sources import sinks
 
 CTE = B.with_ctes
@@ -52,44 +55,42 @@ def load_incremental(facts: DataFrame, indicator_dim: DataFrame, municipality_di
     recomputed year arrays (for the caller to persist) and the unknown
     indicator names.
 
-    The (indicator, year) partition list is catalogue-sized (indicators x
-    years), so it is the only thing brought to the driver; the inserted
-    count is read back from the partitions this load added."""
+    Which pairs are loaded already is decided once, before the write, by an
+    anti join with the store's distinct partition values; the inserted rows
+    are those of pairs that were not there."""
     spark = facts.sparkSession
     rows, unknown = rows_to_load(facts, indicator_dim, municipality_dim)
-    before = _partitions(spark, store)
-    if before:
-        loaded = spark.createDataFrame(sorted(before), "dado_id int, ano int")
-        rows = rows.join(F.broadcast(loaded), ["dado_id", S.YEAR_COL], "left_anti")
+    stored = stored_pairs(spark, store)
+    if stored is not None:
+        stored = materialize(stored)
+        rows = rows.join(stored, ["dado_id", S.YEAR_COL], "left_anti")
     sinks.write_facts(rows, store, ["dado_id", S.YEAR_COL])
-    after = _partitions(spark, store)
-    added = sorted(after - before)
-    inserted = 0
-    if added:
-        new = spark.createDataFrame(added, "dado_id int, ano int")
-        # join on the partition columns: only the added partitions are read
-        inserted = spark.read.parquet(store).join(F.broadcast(new), ["dado_id", S.YEAR_COL], "left_semi").count()
-    # stored years per indicator come from the partition list (no scan)
-    per_ind: dict[int, list[int]] = {}
-    for d, y in sorted(after):
-        per_ind.setdefault(d, []).append(y)
-    years = spark.createDataFrame(list(per_ind.items()), "dado_id int, __stored array<int>")
-    dim = indicator_dim.join(F.broadcast(years), "dado_id", "left").withColumn(
-        "anos_serie_historica", U.years_union("anos_serie_historica", "__stored")).drop("__stored")
+    after, inserted = stored_pairs(spark, store), 0
+    if after is not None:
+        # partition columns alone are read
+        added = spark.read.parquet(store).select("dado_id", S.YEAR_COL)
+        inserted = (added if stored is None else added.join(stored, ["dado_id", S.YEAR_COL], "left_anti")).count()
+    dim = indicator_dim
+    if after is not None:
+        years = after.groupBy("dado_id").agg(F.collect_set(S.YEAR_COL).alias("__stored"))
+        dim = materialize(indicator_dim.join(years, "dado_id", "left").withColumn(
+            "anos_serie_historica", U.years_union("anos_serie_historica", "__stored")).drop("__stored"))
     return {"rows": inserted, "indicator_dim": dim, "unknown": unknown}
 
 
-def _partitions(spark: SparkSession, store: str) -> set[tuple[int, int]]:
-    """(dado_id, ano) partitions present in the store, read from the file
-    paths Spark lists anyway (no job over the data); an empty or missing
-    store has none."""
-    import re
+#: An empty or missing store; any other failure to read it is an error.
+NO_STORE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def stored_pairs(spark: SparkSession, store: str) -> DataFrame | None:
+    """(dado_id, ano) pairs present in the store, None when there is none yet."""
     try:
-        files = spark.read.parquet(store).inputFiles()
-    except Exception:  # noqa: BLE001 - first load: the store does not exist yet
-        return set()
-    rx = re.compile(rf"dado_id=(-?\d+)/{S.YEAR_COL}=(-?\d+)/")
-    return {(int(m.group(1)), int(m.group(2))) for m in map(rx.search, files) if m}
+        facts = spark.read.parquet(store)
+    except AnalysisException as e:
+        if e.getCondition() in NO_STORE:
+            return None
+        raise
+    return facts.select("dado_id", S.YEAR_COL).distinct()
 
 
 # ---------------------------------------------------------------------------
@@ -117,16 +118,42 @@ def _l1_inputs(spark, t: B.Tables):
 , f AS (SELECT codigo_municipio, ano, o_orderpriority AS dado_identificador,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS VARCHAR) AS valor FROM ord GROUP BY 1, 2, 3)
 SELECT CAST(substr(f.dado_identificador, 1, 1) AS INTEGER) AS dado_id, m.municipio_id, f.ano,
-       'float' AS tipo_dado, substr(lower(f.valor), 1, 20) AS valor
+       'float' AS tipo_dado, f.valor
 FROM f LEFT JOIN mun m ON f.codigo_municipio = m.codigo_municipio
 WHERE f.ano NOT IN ({", ".join(map(str, L1_STORED))})""")
 def l1_incremental_load(spark, d):
     facts, dim, mun = _l1_inputs(spark, B.Tables(spark, d))
-    # the registered form reproduces the source's load, text cut included
-    rows, _unknown = rows_to_load(facts, dim, mun, cut_strings=True)
+    rows, _unknown = rows_to_load(facts, dim, mun)
     return rows
 
 
+@query("e15_load_text_cut", CTE(B.MUN_SQL, B.ORD_SQL) + """
+SELECT DISTINCT o_orderpriority, substr(lower(concat(o_orderpriority, ' ', CAST(codigo_municipio AS VARCHAR), ' Valor Total')), 1, 20) AS texto FROM ord""")
+def e15_load_text_cut(spark, d):
+    o = B.order_facts(B.Tables(spark, d))
+    text = F.concat_ws(" ", "o_orderpriority", F.col("codigo_municipio").cast("string"), F.lit("Valor Total"))
+    return o.select("o_orderpriority", text.alias("texto")).withColumn("texto", X.lower_cut("texto")).distinct()
+
+
+@query("l1_load_roundtrip", CTE(B.MUN_SQL, B.ORD_SQL) + f"""
+, f AS (SELECT codigo_municipio, ano, o_orderpriority AS dado_identificador,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS VARCHAR) AS valor FROM ord GROUP BY 1, 2, 3),
+  g AS (SELECT CAST(substr(f.dado_identificador, 1, 1) AS INTEGER) AS dado_id, m.municipio_id, f.ano, f.valor
+        FROM f LEFT JOIN mun m ON f.codigo_municipio = m.codigo_municipio WHERE f.ano NOT IN ({", ".join(map(str, L1_STORED))}))
+SELECT dado_id, municipio_id, ano, valor,
+       array_to_string(list_sort(list_distinct(list_concat([{", ".join(map(str, L1_STORED))}], list(ano) OVER (PARTITION BY dado_id)))), ',') AS anos
+FROM g""")
+def l1_load_roundtrip(spark, d):
+    """A load and a rerun of it, then what the store and the dimension hold."""
+    facts, dim, mun = _l1_inputs(spark, B.Tables(spark, d))
+    store = f"{checkpoint_dir(spark)}/roundtrip-{uuid.uuid4().hex}"
+    out = load_incremental(facts, dim, mun, store)
+    again = load_incremental(facts, out["indicator_dim"], mun, store)
+    years = again["indicator_dim"].select("dado_id", F.array_join(F.transform("anos_serie_historica", lambda y: y.cast("string")), ",").alias("anos"))
+    return (spark.read.parquet(store).join(years, "dado_id")
+            .select("dado_id", "municipio_id", S.YEAR_COL, S.VALUE_COL, "anos"))
+
+
 # ---------------------------------------------------------------------------
 # L2 run audit: one record per source with its data points
 # ---------------------------------------------------------------------------

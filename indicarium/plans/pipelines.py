@@ -38,9 +38,6 @@ def checked(df: DataFrame) -> DataFrame:
     """C12 + K1 inline: fact column order, contract checked while the rows flow."""
     return K.enforce_contract(C.to_fact_order(df))
 
-
-YEARS = list(range(1995, 2002))
-
 # ---------------------------------------------------------------------------
 # P1 DATASUS: 'CODE6 NAME;value' tables per year with totals, ignored-city
 # lines, '...' null tokens and footer notes
@@ -97,7 +94,7 @@ def _datasus_finish(df: DataFrame, municipalities: DataFrame) -> DataFrame:
 
 
 # the Gini-style table: one column per census year
-P1_GINI_NAME, P1_GINI_YEARS = "indice_gini", [1996, 1998, 2000]
+P1_GINI_NAME = "indice_gini"
 # the bucket table: count columns labelled by ranges, summed up to a ceiling
 P1_WEIGHT_NAME, P1_WEIGHT_CEILING = "nascidos_baixo_peso", 199999
 
@@ -110,12 +107,13 @@ def bind_p1_gini(t: B.Tables) -> DataFrame:
     """One line per city, a decimal-comma share per census year ('...'
     when the city has no order that year)."""
     o = B.order_facts(t)
+    years = B.years_in(o)
     per = o.groupBy("o_custkey").agg(*[
-        F.count(F.when(F.col("ano") == y, 1)).alias(f"n{y}") for y in P1_GINI_YEARS], *[
-        F.count(F.when((F.col("ano") == y) & (F.col("o_orderstatus") == "F"), 1)).alias(f"f{y}") for y in P1_GINI_YEARS])
+        F.count(F.when(F.col("ano") == y, 1)).alias(f"n{y}") for y in years], *[
+        F.count(F.when((F.col("ano") == y) & (F.col("o_orderstatus") == "F"), 1)).alias(f"f{y}") for y in years])
     share = {str(y): F.when(F.col(f"n{y}") == 0, F.lit("...")).otherwise(F.replace(
         F.format_string("%.3f", F.round(F.col(f"f{y}") / F.col(f"n{y}"), 3)), F.lit("."), F.lit(",")))
-        for y in P1_GINI_YEARS}
+        for y in years}
     return per.select(_label6(F.col("o_custkey")).alias("Município"), *[v.alias(k) for k, v in share.items()])
 
 
@@ -138,7 +136,13 @@ def bind_p1_weight(t: B.Tables) -> DataFrame:
         for label, _ in BUCKETS])
 
 
-def p1_datasus_all(standard: DataFrame, gini: DataFrame, weight: DataFrame, municipalities: DataFrame) -> DataFrame:
+# fixed values: (ceiling, pattern of the numbers in a range's label, columns that always count)
+LOW_WEIGHT_RANGES = (2499, r"\d{3,4}", [])
+LOW_PRENATAL_RANGES = (6, r"\d{1}", ["Nenhuma"])
+
+
+def p1_datasus_all(standard: DataFrame, gini: DataFrame, weight: DataFrame, municipalities: DataFrame,
+                   ceiling: int, pattern: str) -> DataFrame:
     """The three DATASUS table shapes through one chain: plain yearly
     tables; the Gini table unpivoted (H1); the range table summed up to
     the ceiling (G4), skipped when its schema lost the ranges (D14)."""
@@ -147,7 +151,7 @@ def p1_datasus_all(standard: DataFrame, gini: DataFrame, weight: DataFrame, muni
     gini_long = H.unpivot_years(gini, ["Município"], years, value="Valor")
     parts.append(_datasus_rows(gini_long.select("Município", "Valor", "ano"), P1_GINI_NAME, "float"))
     if D.schema_drift_guard(weight, 4):
-        w = G.bucket_sum(weight, ["Município", "ano"], P1_WEIGHT_CEILING, r"\d{3,6}")
+        w = G.bucket_sum(weight, ["Município", "ano"], ceiling, pattern)
         w = w.select("Município", F.col(S.VALUE_COL).cast("string").alias("Valor"), "ano")
         parts.append(_datasus_rows(w, P1_WEIGHT_NAME, "int"))
     # one code-upgrade join and one contract check for the three tables
@@ -164,32 +168,30 @@ WHERE n > 1
 UNION ALL
 SELECT codigo_municipio, ano, '{P1_GINI_NAME}', 'float',
        round(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) / count(*), 3)
-FROM ord WHERE ano IN ({", ".join(map(str, P1_GINI_YEARS))}) GROUP BY codigo_municipio, ano
+FROM ord GROUP BY codigo_municipio, ano
 UNION ALL
 SELECT codigo_municipio, ano, '{P1_WEIGHT_NAME}', 'int',
        CAST(count(CASE WHEN o_totalprice < 200000 THEN 1 END) AS DOUBLE)
 FROM ord GROUP BY codigo_municipio, ano""")
 def p1(spark, d):
     t = B.Tables(spark, d)
-    return p1_datasus_all(bind_p1(t), bind_p1_gini(t), bind_p1_weight(t), B.municipalities(t))
+    return p1_datasus_all(bind_p1(t), bind_p1_gini(t), bind_p1_weight(t), B.municipalities(t),
+                          P1_WEIGHT_CEILING, r"\d{3,6}")
 
 
 # ---------------------------------------------------------------------------
 # P2 formal jobs: wide 'Cod. Loc.' x year columns, thousands dots
 # ---------------------------------------------------------------------------
-P2_YEARS = [1996, 2000]
-
-
 def bind_p2(t: B.Tables) -> DataFrame:
-    m = B.micro(t)
+    m, years = B.micro(t), B.years_in(B.order_facts(t))
     per = m.groupBy("o_custkey").agg(*[
-        F.sum(F.when(F.col("ano") == y, F.col("l_quantity"))).cast("bigint").alias(str(y)) for y in P2_YEARS])
+        F.sum(F.when(F.col("ano") == y, F.col("l_quantity"))).cast("bigint").alias(str(y)) for y in years])
     dotted = {str(y): F.when(F.col(str(y)).isNull(), F.lit("-")).otherwise(
-        F.translate(F.format_number(F.col(str(y)), 0), ",", ".")) for y in P2_YEARS}
+        F.translate(F.format_number(F.col(str(y)), 0), ",", ".")) for y in years}
     cities = per.select((F.lit(100000) + F.col("o_custkey")).cast("string").alias("Cod. Loc."),
-                        *[dotted[str(y)].alias(str(y)) for y in P2_YEARS])
-    total = per.agg(*[F.sum(str(y)).alias(str(y)) for y in P2_YEARS]).select(
-        F.lit("Total").alias("Cod. Loc."), *[F.col(str(y)).cast("string").alias(str(y)) for y in P2_YEARS])
+                        *[dotted[str(y)].alias(str(y)) for y in years])
+    total = per.agg(*[F.sum(str(y)).alias(str(y)) for y in years]).select(
+        F.lit("Total").alias("Cod. Loc."), *[F.col(str(y)).cast("string").alias(str(y)) for y in years])
     return cities.unionByName(total)
 
 
@@ -202,7 +204,7 @@ def p2_formal_jobs(raw: DataFrame, municipalities: DataFrame) -> DataFrame:
     df = df.withColumn(S.VALUE_COL, P.null_token(N.strip_thousands(S.VALUE_COL), ["-"]))
     df = D.drop_nulls(df, [S.VALUE_COL])
     df = df.withColumn(S.VALUE_COL, F.col(S.VALUE_COL).try_cast("bigint"))
-    df = C.add_metadata(df, dado_identificador="Emprego", tipo_dado="int")
+    df = C.add_metadata(df, dado_identificador="População ocupada com vínculo formal", tipo_dado="int")
     df = df.withColumn(S.CITY_CODE_COL, F.col(S.CITY_CODE_COL).try_cast("bigint"))
     return checked(J.upgrade_city_code(df, S.CITY_CODE_COL, municipalities))
 
@@ -214,8 +216,8 @@ MICRO_SQL = f"""micro AS (
 
 
 @query("p2", CTE(MICRO_SQL) + f"""
-SELECT codigo_municipio, ano, 'Emprego' AS dado_identificador, 'int' AS tipo_dado, CAST(sum(l_quantity) AS BIGINT) AS valor
-FROM micro WHERE ano IN ({", ".join(map(str, P2_YEARS))}) GROUP BY codigo_municipio, ano""")
+SELECT codigo_municipio, ano, 'População ocupada com vínculo formal' AS dado_identificador, 'int' AS tipo_dado, CAST(sum(l_quantity) AS BIGINT) AS valor
+FROM micro GROUP BY codigo_municipio, ano""")
 def p2(spark, d):
     t = B.Tables(spark, d)
     return p2_formal_jobs(bind_p2(t), B.municipalities(t))
@@ -258,15 +260,15 @@ def p3_capag(files: dict[int, DataFrame]) -> DataFrame:
         df = C.resolve_column(df, ["código município completo", "cod.ibge"], S.CITY_CODE_COL)
         df = C.resolve_by_fragment(df, "capag", S.VALUE_COL, tie_break="classificação")
         df = C.keep_columns(df, [S.CITY_CODE_COL, S.VALUE_COL])
-        df = df.withColumn(S.VALUE_COL, P.null_token(S.VALUE_COL))
+        df = df.withColumn(S.VALUE_COL, P.null_token(S.VALUE_COL, S.CAPAG_NULL_TOKENS))
         out[y] = D.drop_nulls(df)
     df = U.union_years(out)
-    df = C.add_metadata(df, dado_identificador="CAPAG", tipo_dado="str")
+    df = C.add_metadata(df, dado_identificador="Capacidade de pagamento dos municípios (CAPAG)", tipo_dado="str")
     return checked(df)
 
 
 @query("p3", CTE(ORD) + f"""
-SELECT codigo_municipio, ano, 'CAPAG' AS dado_identificador, 'str' AS tipo_dado, {P3_GRADE_SQL} AS valor
+SELECT codigo_municipio, ano, 'Capacidade de pagamento dos municípios (CAPAG)' AS dado_identificador, 'str' AS tipo_dado, {P3_GRADE_SQL} AS valor
 FROM ord GROUP BY codigo_municipio, ano HAVING count(*) > 1""")
 def p3(spark, d):
     return p3_capag(bind_p3(B.Tables(spark, d)))
@@ -276,6 +278,16 @@ def p3(spark, d):
 # P4 higher-education places (flagship): microdata -> in-list filter ->
 # zero-fill conditional sum -> metadata -> contract
 # ---------------------------------------------------------------------------
+# fixed values: the census codes that count
+HIGHER_EDUCATION_CODES = {
+    "TP_GRAU_ACADEMICO": [1, 2, 3, 4],
+    "TP_NIVEL_ACADEMICO": [1, 2],
+    "TP_ORGANIZACAO_ACADEMICA": [1, 2, 3, 4, 5],
+    "TP_CATEGORIA_ADMINISTRATIVA": [1, 2, 3, 4, 5, 7],
+    "TP_MODALIDADE_ENSINO": [1],
+}
+
+# the test binding's codes
 P4_LISTS = {
     "TP_GRAU_ACADEMICO": ["A", "R"],
     "TP_NIVEL_ACADEMICO": ["F"],
@@ -295,28 +307,36 @@ def bind_p4(t: B.Tables) -> DataFrame:
                     F.col("l_quantity").alias("QT_VG_TOTAL"), F.col("codigo_municipio").alias("CO_MUNICIPIO"), "ano")
 
 
-def p4_higher_education(raw: DataFrame, lists: dict = P4_LISTS) -> DataFrame:
+def p4_higher_education(raw: DataFrame, lists: dict) -> DataFrame:
     """D7 -> D2 -> F9 -> D11 -> C1 -> G1 -> C11 -> K1 in one aggregate:
     places summed over the courses passing the in-lists; a city whose
-    courses all fail comes back with 0 (no anti join, no union)."""
-    df = D.drop_nulls(raw, ["CO_MUNICIPIO", "ano", "QT_VG_TOTAL"])
-    keep = reduce(lambda a, b: a & b, [F.col(c).isin(*v) for c, v in lists.items()])
+    courses all fail, or hold no number, comes back with 0 (no anti join, no
+    union). Codes are compared as text, whole numbers without their zeros."""
+    df = D.drop_nulls(raw, ["CO_MUNICIPIO", "ano"])
+
+    def code(c):
+        text = F.col(c).cast("string")
+        return F.coalesce(text.try_cast("double").try_cast("bigint").cast("string"), text)
+
+    keep = reduce(lambda a, b: a & b, [code(c).isin(*map(str, v)) for c, v in lists.items()])
+    df = df.withColumn("CO_MUNICIPIO", F.col("CO_MUNICIPIO").try_cast("bigint")).withColumn(
+        "QT_VG_TOTAL", F.coalesce(F.col("QT_VG_TOTAL").try_cast("double"), F.lit(0.0)))
     df = df.filter(P.not_sentinel("CO_MUNICIPIO", 0))
     df = J.zero_fill_sum(df.withColumnRenamed("CO_MUNICIPIO", S.CITY_CODE_COL), [S.CITY_CODE_COL, "ano"],
                          keep, "QT_VG_TOTAL")
     df = df.withColumn(S.VALUE_COL, F.col(S.VALUE_COL).cast("bigint"))
-    df = C.add_metadata(df, dado_identificador="Vagas ensino superior", tipo_dado="int")
+    df = C.add_metadata(df, dado_identificador="Vagas no ensino superior", tipo_dado="int")
     return checked(df)
 
 
 @query("p4", CTE(MICRO_SQL) + """
-SELECT codigo_municipio, ano, 'Vagas ensino superior' AS dado_identificador, 'int' AS tipo_dado,
+SELECT codigo_municipio, ano, 'Vagas no ensino superior' AS dado_identificador, 'int' AS tipo_dado,
        CAST(SUM(CASE WHEN l_returnflag IN ('A', 'R') AND l_linestatus IN ('F') AND o_orderstatus IN ('F', 'P')
                       AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND l_linenumber IN (1, 2, 3, 4)
                      THEN l_quantity ELSE 0 END) AS BIGINT) AS valor
 FROM micro GROUP BY codigo_municipio, ano""")
 def p4(spark, d):
-    return p4_higher_education(bind_p4(B.Tables(spark, d)))
+    return p4_higher_education(bind_p4(B.Tables(spark, d)), P4_LISTS)
 
 
 # ---------------------------------------------------------------------------

@@ -638,19 +638,13 @@ def g7_longest_series(spark, d):
 # ---------------------------------------------------------------------------
 # 2.H reshape
 # ---------------------------------------------------------------------------
-YEARS = list(range(1995, 2002))
-
-
 def _wide_by_year(o: DataFrame) -> DataFrame:
     return o.groupBy("codigo_municipio").agg(*[
-        F.round(F.sum(F.when(F.col("ano") == y, F.col("o_totalprice"))), 2).alias(str(y)) for y in YEARS])
+        F.round(F.sum(F.when(F.col("ano") == y, F.col("o_totalprice"))), 2).alias(str(y)) for y in B.years_in(o)])
 
 
-@query("h1_unpivot_years", CTE(ORD) + f"""
-, w AS (SELECT codigo_municipio, {", ".join(f'round(sum(CASE WHEN ano = {y} THEN o_totalprice END), 2) AS "{y}"' for y in YEARS)}
-        FROM ord GROUP BY 1)
-SELECT codigo_municipio, CAST(ano AS INTEGER) AS ano, valor
-FROM (UNPIVOT w ON {", ".join(f'"{y}"' for y in YEARS)} INTO NAME ano VALUE valor)""")
+@query("h1_unpivot_years", CTE(ORD) + """
+SELECT codigo_municipio, ano, round(sum(o_totalprice), 2) AS valor FROM ord GROUP BY 1, 2""")
 def h1_unpivot_years(spark, d):
     wide = _wide_by_year(B.order_facts(B.Tables(spark, d)))
     return D.drop_nulls(H.unpivot_years(wide, ["codigo_municipio"]), ["valor"])

@@ -15,12 +15,16 @@ import argparse
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indicarium import schema as S
+from indicarium.functions.text import name_key
+from indicarium.operators import validate as K
+from indicarium.operators.joins import request_filter
 from indicarium.plans import bindings as B
-from indicarium.plans.load import load_incremental
+from indicarium.plans.load import NO_STORE, load_incremental
 from indicarium.session import materialize
 
 # source name -> registered pipeline query
@@ -47,20 +51,46 @@ def resolve_request(request: list[str] | None) -> tuple[list[str], list[str]]:
     return list(dict.fromkeys(chosen)), unknown
 
 
-def indicator_dim(facts: DataFrame, topic: str) -> DataFrame:
-    """Indicator dimension rows for the facts' indicator names, with a
-    stable id derived from the name (no driver round trip)."""
-    names = facts.select(F.col(S.DATA_ID_COL).alias("nome_dado")).distinct()
-    return names.select(F.pmod(F.xxhash64("nome_dado"), F.lit(2147483647)).cast("int").alias("dado_id"),
-                        "nome_dado", F.lit(topic).alias("topico"),
-                        F.lit(None).cast("array<int>").alias("anos_serie_historica"))
+DIM_SCHEMA = "dado_id int, nome_dado string, topico string, anos_serie_historica array<int>"
 
 
-def run_etl(spark: SparkSession, sf_dir: str, store: str, request: list[str] | None = None) -> tuple[DataFrame, list[str]]:
-    """Run the requested sources; returns (run log, unknown names)."""
+def read_dimension(spark: SparkSession, path: str) -> DataFrame:
+    """The persisted indicator dimension; empty before the first run."""
+    try:
+        return spark.read.schema(DIM_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in NO_STORE:
+            return spark.createDataFrame([], DIM_SCHEMA)
+        raise
+
+
+def indicator_dim(facts: DataFrame, topic: str, known: DataFrame) -> DataFrame:
+    """The known dimension and a row for each indicator that is new in the
+    facts. Names that differ in case or blanks alone are one indicator. New
+    ids follow the largest known one, in the order of names (a list of
+    indicators, not of facts)."""
+    key = name_key("nome_dado")
+    names = facts.select(F.col(S.DATA_ID_COL).alias("nome_dado")).groupBy(key.alias("__k")).agg(F.min("nome_dado").alias("nome_dado"))
+    new = names.join(known.select(key.alias("__k")), "__k", "left_anti")
+    top = known.agg(F.coalesce(F.max("dado_id"), F.lit(0))).first()[0]
+    rows = new.select((F.row_number().over(Window.orderBy("nome_dado")) + top).cast("int").alias("dado_id"), "nome_dado",
+                      F.lit(topic).alias("topico"), F.lit(None).cast("array<int>").alias("anos_serie_historica"))
+    return materialize(known.unionByName(rows))
+
+
+def run_etl(spark: SparkSession, sf_dir: str, store: str, request: list[str] | dict[str, list[str]] | None = None,
+            dimension: str | None = None) -> tuple[DataFrame, list[str]]:
+    """Run the requested sources; returns (run log, unknown names).
+
+    A request is a list of sources, or a source -> indicators map (an empty
+    list of indicators asks for all). ``dimension`` is the folder of the
+    indicator dimension, by default beside the store; it is read before and
+    written after each source's load."""
     from indicarium.plans.queries import registered
     queries = registered()
-    chosen, unknown = resolve_request(request)
+    chosen, unknown = resolve_request(list(request or []))
+    wanted = {resolve_request([k])[0][0]: v for k, v in request.items() if resolve_request([k])[0]} if isinstance(request, dict) else {}
+    path = dimension or f"{store.rstrip('/')}-indicadores"
     run_id = uuid.uuid4().hex[:12]
     mun = B.municipalities(B.Tables(spark, sf_dir)).select("municipio_id", "codigo_municipio")
     records = []
@@ -69,9 +99,15 @@ def run_etl(spark: SparkSession, sf_dir: str, store: str, request: list[str] | N
         points, status, info = [], "ok", None
         try:
             fn, _ = queries[SOURCES[source]]
+            facts = fn(spark, sf_dir).withColumn(S.VALUE_COL, F.col(S.VALUE_COL).cast("string"))
+            if wanted.get(source):
+                facts, missing = request_filter(facts, S.DATA_ID_COL, wanted[source])
+                unknown += [f"{source}: {r.name}" for r in missing.collect()]
             # computed once: the load and the run log both read this copy
-            facts = materialize(fn(spark, sf_dir).withColumn(S.VALUE_COL, F.col(S.VALUE_COL).cast("string")))
-            out = load_incremental(facts, indicator_dim(facts, source), mun, store)
+            facts = materialize(facts)
+            K.require_rows(facts)
+            out = load_incremental(facts, indicator_dim(facts, source, read_dimension(spark, path)), mun, store)
+            out["indicator_dim"].write.mode("overwrite").parquet(path)
             # per data point: years and rows (one small aggregate)
             for r in facts.groupBy(S.DATA_ID_COL).agg(
                     F.array_sort(F.collect_set(S.YEAR_COL)).alias("years"),
@@ -79,7 +115,7 @@ def run_etl(spark: SparkSession, sf_dir: str, store: str, request: list[str] | N
                 points.append((r[0], list(r[1]), int(r[2])))
             info = f"linhas inseridas: {out['rows']}"
         except Exception as e:  # noqa: BLE001 - one failing source must not stop the others
-            status, info = "erro", str(e)[:500]
+            status, info = "erro", str(e)
         records.append((run_id, source, start, dt.datetime.now(), status, info, points))
     log = spark.createDataFrame(records, S.RUN_LOG_SCHEMA)
     return log, unknown

@@ -26,35 +26,37 @@ MUN, ORD = B.MUN_SQL, B.ORD_SQL
 # columns; the capital district keeps the public network, others the
 # municipal one
 # ---------------------------------------------------------------------------
-P6_YEARS = [1997, 1999, 2001]
-
-
 def bind_p6(t: B.Tables) -> DataFrame:
     o = B.order_facts(t).withColumn("rede", _network(F.col("o_orderstatus")))
+    years = B.years_in(o)
     per = o.groupBy("o_custkey", "rede").agg(*[
-        F.count(F.when(F.col("ano") == y, 1)).alias(f"n{y}") for y in P6_YEARS], *[
+        F.count(F.when(F.col("ano") == y, 1)).alias(f"n{y}") for y in years], *[
         F.count(F.when((F.col("ano") == y) & (F.col("o_orderpriority") == "1-URGENT"), 1)).alias(f"u{y}")
-        for y in P6_YEARS])
+        for y in years])
     uf = J.bounded_broadcast(B.municipalities(t).select("c_custkey", "sigla_uf"))
     per = per.join(uf, F.col("o_custkey") == F.col("c_custkey"))
     cols = {f"IDEB {y} (N x P)": F.when(F.col(f"n{y}") == 0, F.lit("-")).otherwise(
-        F.format_string("%.1f", F.round(F.lit(10.0) * F.col(f"u{y}") / F.col(f"n{y}"), 1))) for y in P6_YEARS}
+        F.format_string("%.1f", F.round(F.lit(10.0) * F.col(f"u{y}") / F.col(f"n{y}"), 1))) for y in years}
     return per.select(F.col("sigla_uf").alias("Sigla da UF"), F.col("rede").alias("Rede"),
                       B.city_code(F.col("o_custkey")).alias("Código do Município"),
                       *[v.alias(k) for k, v in cols.items()], F.lit("x").alias("Nome da Rede"))
 
 
-def p6_ideb(raw: DataFrame, capital_state: str = B.CAPITAL_STATE) -> DataFrame:
+# fixed value: the federal district, whose schools are not municipal
+CAPITAL_DISTRICT = "DF"
+
+
+def p6_ideb(raw: DataFrame, capital_state: str = CAPITAL_DISTRICT) -> DataFrame:
     """D9 -> C9 -> C10 -> H1 -> D6 -> D7 -> E6 -> C11 -> K1."""
     df = raw.filter(P.state_network("Sigla da UF", "Rede", special_state=capital_state))
     df = C.select_by_pattern(df, "IDEB", keep=["Código do Município"])
     df = C.year_named_columns(df)
     df = H.unpivot_years(df, ["Código do Município"])
-    df = df.withColumn(S.VALUE_COL, P.null_token(S.VALUE_COL))
+    df = df.withColumn(S.VALUE_COL, P.null_token(S.VALUE_COL, ["-"]))
     df = D.drop_nulls(df)
     df = df.withColumn(S.VALUE_COL, F.col(S.VALUE_COL).try_cast("double"))
     df = C.rename_columns(df, {"Código do Município": S.CITY_CODE_COL})
-    df = C.add_metadata(df, dado_identificador="IDEB anos finais", tipo_dado="float")
+    df = C.add_metadata(df, dado_identificador="Índice de desenvolvimento da educação básica (IDEB) - anos finais", tipo_dado="float")
     return checked(df)
 
 
@@ -62,13 +64,12 @@ def p6_ideb(raw: DataFrame, capital_state: str = B.CAPITAL_STATE) -> DataFrame:
 , r AS (SELECT o.*, m.sigla_uf,
                CASE o.o_orderstatus WHEN 'F' THEN 'Municipal' WHEN 'O' THEN 'Pública' WHEN 'P' THEN 'Estadual' END AS rede
         FROM ord o JOIN mun m ON o.o_custkey = m.c_custkey)
-SELECT codigo_municipio, ano, 'IDEB anos finais' AS dado_identificador, 'float' AS tipo_dado,
+SELECT codigo_municipio, ano, 'Índice de desenvolvimento da educação básica (IDEB) - anos finais' AS dado_identificador, 'float' AS tipo_dado,
        CAST(printf('%.1f', round(CAST(10.0 AS DOUBLE) * count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) / count(*), 1)) AS DOUBLE) AS valor
-FROM r WHERE ano IN ({", ".join(map(str, P6_YEARS))})
-  AND rede = CASE WHEN sigla_uf = '{B.CAPITAL_STATE}' THEN 'Pública' ELSE 'Municipal' END
+FROM r WHERE rede = CASE WHEN sigla_uf = '{B.CAPITAL_STATE}' THEN 'Pública' ELSE 'Municipal' END
 GROUP BY codigo_municipio, ano, rede""")
 def p6(spark, d):
-    return p6_ideb(bind_p6(B.Tables(spark, d)))
+    return p6_ideb(bind_p6(B.Tables(spark, d)), B.CAPITAL_STATE)
 
 
 # ---------------------------------------------------------------------------
@@ -95,12 +96,12 @@ def p7_idhm(raw: DataFrame, municipalities: DataFrame) -> DataFrame:
     df = raw.select(name.alias("nome"), uf.alias("uf"), "IDHM", "ano")
     df = J.resolve_by_name_state(df, "nome", "uf", municipalities)
     df = C.keep_columns(df, [S.CITY_CODE_COL, "ano", "IDHM"])
-    df = C.add_metadata(df, dado_identificador="IDHM", tipo_dado="float")
+    df = C.add_metadata(df, dado_identificador="Índice de desenvolvimento humano do município (IDH-M)", tipo_dado="float")
     return checked(C.rename_columns(df, {"IDHM": S.VALUE_COL}))
 
 
 @query("p7", CTE(ORD) + """
-SELECT codigo_municipio, ano, 'IDHM' AS dado_identificador, 'float' AS tipo_dado,
+SELECT codigo_municipio, ano, 'Índice de desenvolvimento humano do município (IDH-M)' AS dado_identificador, 'float' AS tipo_dado,
        round(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) / count(*), 3) AS valor
 FROM ord GROUP BY codigo_municipio, ano""")
 def p7(spark, d):
@@ -150,6 +151,7 @@ P9_QUESTIONS = [
     ("MTIP03", "P", "Pedidos parciais", "Gestao"),
 ]
 P9_URGENT = ("MURG01", "Pedidos urgentes", "Prioridade")
+P9_TEXT = ("MFAIXA", "Faixa de pedidos", "Gestao")
 
 
 def bind_p9(t: B.Tables) -> list[DataFrame]:
@@ -164,7 +166,8 @@ def bind_p9(t: B.Tables) -> list[DataFrame]:
     def answer(c):
         return F.when(F.col("n") == 1, F.lit("Recusa")).when(F.col(c) > 0, F.lit("Sim")).otherwise(F.lit("Não"))
 
-    sheet1 = per.select(F.col("codigo_municipio").alias("CodMun"), *[answer(q[0]).alias(q[0].lower()) for q in P9_QUESTIONS])
+    sheet1 = per.select(F.col("codigo_municipio").alias("CodMun"), *[answer(q[0]).alias(q[0].lower()) for q in P9_QUESTIONS],
+                        F.when(F.col("n") > 10, "Acima de dez").otherwise("Ate dez").alias(P9_TEXT[0].lower()))
     sheet2 = per.filter(F.col(P9_URGENT[0]) > 0).select(F.col("codigo_municipio").alias("CodMun"),
                                                        answer(P9_URGENT[0]).alias(P9_URGENT[0].lower()))
     return [sheet1, sheet2]
@@ -173,11 +176,14 @@ def bind_p9(t: B.Tables) -> list[DataFrame]:
 def p9_catalogue(spark) -> DataFrame:
     rows = [(P9_EDITION, c, q, tp, "bool") for c, _, q, tp in P9_QUESTIONS]
     rows.append((P9_EDITION, P9_URGENT[0], P9_URGENT[1], P9_URGENT[2], "bool"))
+    rows.append((P9_EDITION, P9_TEXT[0], P9_TEXT[1], P9_TEXT[2], "str"))
     return spark.createDataFrame(rows, "ano int, codigo string, nome string, topico string, tipo string")
 
 
 def p9_munic(sheets: list[DataFrame], catalogue: DataFrame, edition: int = P9_EDITION) -> DataFrame:
-    """C4 -> F5 -> C5 -> H2 -> F8 -> E10 -> E21 -> K1."""
+    """C4 -> F5 -> C5 -> H2 -> F8 -> E10 -> K1. Facts are named by question
+    code (``munic_lookup_names`` has the names the dimension knows); answers
+    of yes/no questions become 1 and 0, others stay as they are."""
     sheets = [C.rename_columns(s, {"CodMun": "CODMUN"}) for s in sheets]   # C4 per-edition renames
     df = J.outer_merge(sheets, "CODMUN")
     df = C.normalise_column_names(df, "upper")
@@ -185,25 +191,42 @@ def p9_munic(sheets: list[DataFrame], catalogue: DataFrame, edition: int = P9_ED
     df = H.unpivot_indicators(df, ["CODMUN"], codes, name_col="codigo")
     df = df.withColumn("ano", F.lit(edition).cast("int"))
     df = J.catalogue_join(df, catalogue, ["ano", "codigo"])
-    df = df.withColumn(S.VALUE_COL, N.binary_answer(S.VALUE_COL))
+    answer = F.when(F.col("tipo") == "bool", N.binary_answer(S.VALUE_COL).cast("string")).otherwise(F.col(S.VALUE_COL))
+    df = df.withColumn(S.VALUE_COL, answer)
     df = D.drop_nulls(df, [S.VALUE_COL])
-    df = df.select(F.col("CODMUN").alias(S.CITY_CODE_COL), "ano",
-                   X.name_with_code("nome", "codigo").alias(S.DATA_ID_COL),
+    df = df.select(F.col("CODMUN").alias(S.CITY_CODE_COL), "ano", F.col("codigo").alias(S.DATA_ID_COL),
                    F.col("tipo").alias(S.DTYPE_COL), S.VALUE_COL)
     return checked(df)
 
 
+def munic_lookup_names(catalogue: DataFrame) -> DataFrame:
+    """Question code -> the 'name - code' under which the dimension lists it."""
+    return catalogue.select("codigo", X.name_with_code("nome", "codigo").alias("nome_dado")).distinct()
+
+
+@query("e21_munic_names", f"""
+SELECT code AS codigo, concat(q, ' - ', code) AS nome_dado FROM (VALUES
+{", ".join(f"('{c}', '{q}')" for c, q in [*[(c, q) for c, _, q, _ in P9_QUESTIONS], P9_URGENT[:2], P9_TEXT[:2]])}) v(code, q)
+WHERE EXISTS (SELECT 1 FROM orders)""")
+def e21_munic_names(spark, d):
+    names = munic_lookup_names(p9_catalogue(spark))
+    return names.join(B.Tables(spark, d).orders.limit(1).select(F.lit(1).alias("__any")), F.lit(True), "left_semi")
+
+
 def _p9_sql() -> str:
     parts = []
     for code, st, q, _ in P9_QUESTIONS:
-        parts.append(f"""SELECT codigo_municipio, {P9_EDITION} AS ano, '{q} - {code}' AS dado_identificador, 'bool' AS tipo_dado,
+        parts.append(f"""SELECT codigo_municipio, {P9_EDITION} AS ano, '{code}' AS dado_identificador, 'bool' AS tipo_dado,
   CASE WHEN count(*) = 1 THEN 0 WHEN count(CASE WHEN o_orderstatus = '{st}' THEN 1 END) > 0 THEN 1 ELSE 0 END AS valor
 FROM ord GROUP BY codigo_municipio""")
     code, q, _ = P9_URGENT
-    parts.append(f"""SELECT codigo_municipio, {P9_EDITION}, '{q} - {code}', 'bool',
+    parts.append(f"""SELECT codigo_municipio, {P9_EDITION}, '{code}', 'bool',
   CASE WHEN count(*) = 1 THEN 0 ELSE 1 END
 FROM ord GROUP BY codigo_municipio HAVING count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) > 0""")
-    return CTE(ORD) + "SELECT codigo_municipio, CAST(ano AS INTEGER) AS ano, dado_identificador, tipo_dado, CAST(valor AS INTEGER) AS valor FROM (\n" + "\nUNION ALL\n".join(parts) + ")"
+    parts.append(f"""SELECT codigo_municipio, {P9_EDITION}, '{P9_TEXT[0]}', 'str', CASE WHEN count(*) > 10 THEN 'Acima de dez' ELSE 'Ate dez' END
+FROM ord GROUP BY codigo_municipio""")
+    parts[:-1] = [f"SELECT * REPLACE (CAST(valor AS VARCHAR) AS valor) FROM ({p}) x(codigo_municipio, ano, dado_identificador, tipo_dado, valor)" for p in parts[:-1]]
+    return CTE(ORD) + "SELECT codigo_municipio, CAST(ano AS INTEGER) AS ano, dado_identificador, tipo_dado, valor FROM (\n" + "\nUNION ALL\n".join(parts) + ")"
 
 
 @query("p9", _p9_sql())

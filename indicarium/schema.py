@@ -24,6 +24,7 @@ HIGHEST_CITY_CODE = 9999999
 TYPE_TAGS = ["int", "float", "str", "bool", "NULL"]
 
 # null tokens found in the public tables
+CAPAG_NULL_TOKENS = ["n.d.", "N.D.", "n.e.", "N.E."]
 NULL_TOKENS = ["...", "n.d.", "N.D.", "n.e.", "N.E.", "-", "Não Disponível", ""]
 
 # statistical-office special codes: token -> (value, type tag)

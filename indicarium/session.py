@@ -9,8 +9,9 @@ setting is absent (local runs and tests).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,31 +52,28 @@ def materialize(df):
     executor does not send recovery back through that join. A parquet
     table rather than ``DataFrame.checkpoint``: one job (an uncached RDD
     checkpoint computes its input twice) and columnar reads with pruning."""
-    import uuid
     spark = df.sparkSession
-    root = checkpoint_dir(spark)
-    if not root:      # no shared folder known (e.g. a Connect session): server-side checkpoint
-        return df.checkpoint(eager=True)
-    path = os.path.join(root, "materialized", uuid.uuid4().hex)
+    path = f"{checkpoint_dir(spark)}/materialized/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, creating a local one only
-    when the session has none (tests and local runs)."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - a Connect session: the server owns the checkpoint folder
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which outlives the
+    application. A local session that names none gets one of its own; on a
+    cluster, whose executors share no local disk, it must be set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        # only when the session names no shared folder (local runs, tests)
-        configured = tempfile.mkdtemp(prefix="indicarium-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="indicarium-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured.rstrip("/")
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """``shared_folder``, also set as the session's checkpoint folder."""
+    folder = shared_folder(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder

@@ -4,8 +4,6 @@ predicate pushdown to the optimizer."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,69 +14,47 @@ from indicarium.functions.text import printable_clean
 LATIN1 = "ISO-8859-1"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One of the driver's parquet tables.
-
-    A scan that yields fewer splits than the cluster has cores (a small
-    file of one row group) is spread round-robin once, so per-row work
-    (JSON, text folding, regex) uses every core. Large inputs already
-    have more splits than cores and are left untouched (no shuffle)."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if spread and _big_enough(path):
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the scan as is
-            return df
-        if splits < cores:
-            df = df.repartition(cores)
-    return df
-
-
-# below this size a scan is cheap enough in one task; spreading it would
-# only add a shuffle stage (tiny dimensions such as nation or customer)
-SPREAD_MIN_BYTES = int(os.environ.get("INDICARIUM_SPREAD_MIN_BYTES", str(1 << 20)))
-
-
-def _big_enough(path: str) -> bool:
-    if path.startswith("file:"):
-        path = path[5:]
-    if "://" in path or not os.path.exists(path):
-        return True          # remote store: the split count alone decides
-    if os.path.isdir(path):
-        size = sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(path) for f in fs)
-    else:
-        size = os.path.getsize(path)
-    return size >= SPREAD_MIN_BYTES
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's parquet tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def delimited_scan(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";",
                    encoding: str = LATIN1, header: bool = True, columns: list[str] | None = None,
                    **options) -> DataFrame:
-    """A1: delimited text with an explicit schema; ``columns`` prunes."""
+    """A1: delimited text with an explicit schema; ``columns`` prunes. A file
+    whose header does not name the schema's columns in their order is an error."""
     df = (spark.read.schema(schema).option("sep", sep).option("encoding", encoding)
-          .option("header", str(header).lower()).options(**options).csv(path))
+          .option("header", str(header).lower()).option("enforceSchema", str(not header).lower()).options(**options).csv(path))
     return df.select(*columns) if columns else df
 
 
 def preamble_tolerant_scan(spark: SparkSession, path: str, schema: T.StructType, header_value: str,
-                           value_index: int = 1, sep: str = ";", encoding: str = LATIN1) -> DataFrame:
+                           value_index: int = 1, sep: str = ";", encoding: str = LATIN1, body: str = ".*") -> DataFrame:
     """A2: title lines before the header and notes after the table.
 
     Read without a header (every split stays independent): title and
     footer lines have no second field, so they come back with a null
     value and are dropped; the header line is removed by its first cell.
+    ``body`` is a pattern of the first cells of table lines, for files whose
+    title or notes hold the separator.
     """
     df = delimited_scan(spark, path, schema, sep=sep, encoding=encoding, header=False)
     first, value = schema.fieldNames()[0], schema.fieldNames()[value_index]
-    return df.filter(F.col(value).isNotNull() & (F.col(first) != header_value))
+    return df.filter(F.col(value).isNotNull() & (F.col(first) != header_value) & F.col(first).rlike(body))
 
 
 def malformed_skipping_scan(spark: SparkSession, path: str, schema: T.StructType | str,
                             sep: str = ";", encoding: str = LATIN1, header: bool = True) -> DataFrame:
-    """A3: rows that do not fit the schema are skipped."""
-    return delimited_scan(spark, path, schema, sep=sep, encoding=encoding, header=header, mode="DROPMALFORMED")
+    """A3: rows that do not fit the schema are skipped. Every column takes part
+    in the filter, so whole lines are parsed and the columns read later
+    don't change which rows fit."""
+    fields = spark.createDataFrame([], schema).schema.fields
+    kept = T.StructType([*fields, T.StructField("__corrupt", T.StringType())])
+    df = (spark.read.schema(kept).option("sep", sep).option("encoding", encoding).option("header", str(header).lower())
+          .option("columnNameOfCorruptRecord", "__corrupt").csv(path))
+    whole = F.length(F.concat_ws("", *[F.col(f"`{f.name}`").cast("string") for f in fields])) >= 0
+    return df.where(F.col("__corrupt").isNull() & whole).drop("__corrupt")
 
 
 def quoted_clean_scan(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";",
@@ -150,8 +126,7 @@ CATALOGUE_TYPE = T.MapType(T.StringType(), T.MapType(T.StringType(), T.MapType(T
 
 def catalogue_rows(doc: DataFrame, col: str = "catalogo") -> DataFrame:
     """A catalogue document topic -> indicator -> params as rows
-    (topico, nome_dado, params). A document that is not a JSON object
-    parses to null and is reported by the caller."""
+    (topico, nome_dado, params)."""
     t = doc.select(F.explode(F.col(col)).alias("topico", "__inds"))
     return t.select("topico", F.explode("__inds").alias("nome_dado", "params"))
 
@@ -159,7 +134,8 @@ def catalogue_rows(doc: DataFrame, col: str = "catalogo") -> DataFrame:
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """JSON catalogue files (one object per file)."""
     text = spark.read.option("wholetext", "true").text(path)
-    return catalogue_rows(text.select(F.from_json("value", CATALOGUE_TYPE).alias("catalogo")))
+    doc = F.coalesce(F.from_json("value", CATALOGUE_TYPE), F.raise_error(F.lit("a catalogue must be a JSON object")))
+    return catalogue_rows(text.select(doc.alias("catalogo")))
 
 
 def yearly_files_scan(spark: SparkSession, root: str, schema: T.StructType | str, glob: str,
@@ -167,7 +143,8 @@ def yearly_files_scan(spark: SparkSession, root: str, schema: T.StructType | str
                       header: bool = True) -> DataFrame:
     """Recurse a folder, keep files by name glob, year from the path."""
     df = (spark.read.schema(schema).option("sep", sep).option("encoding", encoding)
-          .option("header", str(header).lower()).option("recursiveFileLookup", "true")
+          .option("header", str(header).lower()).option("enforceSchema", str(not header).lower())
+          .option("recursiveFileLookup", "true")
           .option("pathGlobFilter", glob).csv(root))
     return df.withColumn(S.YEAR_COL, F.regexp_extract(F.col("_metadata.file_path"), year_regex, 1).try_cast("int"))
 

@@ -1,21 +1,22 @@
 """L1 as a stream: new fact files landing in a folder are loaded with
-``trigger(availableNow=True)`` and ``foreachBatch``.
+``trigger(availableNow=True)``.
 
-Each micro-batch goes through the same idempotent load as the batch job
-(anti join on loaded (indicator, year) pairs, dynamic partition
-overwrite), and the stream's checkpoint records which files were taken,
-so a restarted or retried run neither skips nor duplicates a file.
+Micro-batches only copy the new files' rows to a staging folder, one
+folder for each batch number, so a retried batch rewrites its own. What is
+loaded already is decided once a run, over everything staged: however the
+files were dealt out over batches, the store gets the same rows. The
+stream's checkpoint records which files were taken; staged rows of a run
+that stopped before its load are loaded by the next one.
 """
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from indicarium.plans.load import load_incremental
-from indicarium.session import checkpoint_dir
+from indicarium.plans.load import NO_STORE, load_incremental
+from indicarium.session import shared_folder
 
 LANDED_FACT_SCHEMA = T.StructType([
     T.StructField("codigo_municipio", T.LongType()),
@@ -30,22 +31,34 @@ def stream_incremental_load(spark: SparkSession, landing: str, store: str, indic
                             municipality_dim: DataFrame, name: str = "carga_incremental",
                             checkpoint: str | None = None, max_files_per_batch: int = 1000) -> dict:
     """Load every fact file present in ``landing`` that was not loaded
-    yet, then stop. A large backlog is taken in micro-batches of at most
-    ``max_files_per_batch`` files, each loaded and committed on its own.
-    Returns the total inserted rows of this run."""
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", name)
-    totals = {"rows": 0, "batches": 0}
+    yet, then stop. ``max_files_per_batch`` bounds what one micro-batch
+    stages; it does not change the result. ``checkpoint`` (by default a
+    folder of the stream's name in the shared folder the session names)
+    keeps the stream's progress and must outlive the application.
+    Returns the inserted rows, the staged batches of this run and the
+    indicator dimension."""
+    root = checkpoint or f"{shared_folder(spark)}/streams/{name}"
+    staged = f"{root}/staged"
+    batches = []
 
-    def load_batch(batch: DataFrame, batch_id: int) -> None:
-        out = load_incremental(batch, indicator_dim, municipality_dim, store)
-        totals["rows"] += int(out["rows"])
-        totals["batches"] += 1
+    def stage(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{staged}/batch={batch_id}")
+        batches.append(batch_id)
 
     stream = (spark.readStream.schema(LANDED_FACT_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_batch).parquet(landing)
-              .writeStream.foreachBatch(load_batch)
-              .option("checkpointLocation", ckpt)
+              .writeStream.foreachBatch(stage)
+              .option("checkpointLocation", f"{root}/progress")
               .trigger(availableNow=True)
               .start())
     stream.awaitTermination()
-    return totals
+    try:
+        facts = spark.read.schema(LANDED_FACT_SCHEMA).parquet(staged)
+    except AnalysisException as e:
+        if e.getCondition() in NO_STORE:
+            return {"rows": 0, "batches": 0, "indicator_dim": indicator_dim}
+        raise
+    out = load_incremental(facts, indicator_dim, municipality_dim, store)
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return {"rows": out["rows"], "batches": len(batches), "indicator_dim": out["indicator_dim"]}

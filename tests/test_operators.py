@@ -62,16 +62,16 @@ def test_chunked_fill_equals_whole_window(spark):
     for width in (5, 128, 10_000):
         got = {(r.s, r.p): r.y for r in I.fill_missing_year(df, "y", "p", ["s"], chunk=width).collect()}
         assert got == whole
-    # automatic widths from each source's density, also with very sparse positions
-    for rows in (3, 40):
-        got = {(r.s, r.p): r.y for r in I.fill_missing_year(df, "y", "p", ["s"], chunk_rows=rows).collect()}
-        assert got == whole
+    # very sparse positions, no partition, a null source
     sparse = df.withColumn("p", F.col("p") * 1_000_003 + F.col("s") * 7)
     whole_sparse = {(r.s, r.p): r.y for r in I.fill_missing_year(sparse, "y", "p", ["s"], chunk=None).collect()}
-    got = {(r.s, r.p): r.y for r in I.fill_missing_year(sparse, "y", "p", ["s"], chunk_rows=10).collect()}
+    got = {(r.s, r.p): r.y for r in I.fill_missing_year(sparse, "y", "p", ["s"], chunk=10_000_000).collect()}
     assert got == whole_sparse
-    glob = {r.p: r.y for r in I.fill_missing_year(df.filter("s = 0"), "y", "p", chunk_rows=10).collect()}
+    glob = {r.p: r.y for r in I.fill_missing_year(df.filter("s = 0"), "y", "p", chunk=10).collect()}
     assert glob == {p: v for (s, p), v in whole.items() if s == 0}
+    null = df.filter("s = 0").withColumn("s", F.lit(None).cast("int"))
+    got = {r.p: r.y for r in I.fill_missing_year(null, "y", "p", ["s"], chunk=5).collect()}
+    assert got == glob
 
 
 def test_year_arrays(spark):
@@ -160,7 +160,13 @@ def test_outer_merge_and_exactly_one(spark):
     b = spark.createDataFrame([(2, "b")], "k int, y string")
     assert sorted(r.k for r in J.outer_merge([a, b], "k").collect()) == [1, 2]
     dup = spark.createDataFrame([(1,), (1,), (2,)], "k int")
-    assert [r.k for r in K.exactly_one(dup, ["k"]).collect()] == [1]
+    asked = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    assert sorted(tuple(r) for r in K.exactly_one(dup, ["k"], asked).collect()) == [(1, 2), (3, 0)]
+    sheet = spark.createDataFrame([(1, "p"), (1, "q")], "k int, z string")
+    assert sorted(tuple(r) for r in J.outer_merge([a, sheet], "k").collect()) == [(1, "a", "p"), (1, "a", "q")]
+    with pytest.raises(Exception):
+        J.outer_merge([a, sheet], "k", unique_keys=True).collect()
+    assert sorted(tuple(r) for r in J.outer_merge([a, b], "k", unique_keys=True).collect()) == [(1, "a", None), (2, None, "b")]
 
 
 def test_checks_and_long_buckets(spark):

@@ -3,13 +3,15 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from indicarium.sources import readers as A
 from indicarium.sources import sinks as B
 from indicarium.plans.load import load_incremental, run_audit
-from indicarium.streaming.incremental import stream_incremental_load
+from indicarium.streaming.incremental import LANDED_FACT_SCHEMA, stream_incremental_load
 
 
 def write(path, text, encoding="utf-8"):
@@ -35,12 +37,12 @@ def test_preamble_tolerant_scan(spark, scratch):
 
 def test_malformed_and_quoted_scans(spark, scratch):
     p = os.path.join(scratch, "rais.csv")
-    write(p, "Município;Total\n100001;12\n100002;13;extra;cols\n100003;x\n")
+    write(p, "Município;Total\n100001;12\n100002;13;extra;cols\n100003;x\n", encoding="latin-1")
     df = A.malformed_skipping_scan(spark, p, "`Município` string, Total int")
     assert sorted(tuple(r) for r in df.collect()) == [("100001", 12)]
     q = os.path.join(scratch, "snis.csv")
     write(q, 'Código;IN001 - Volume\n100001;"1.210,5"\n', encoding="latin-1")
-    df = A.quoted_clean_scan(spark, q, T.StructType([T.StructField("c", T.StringType()), T.StructField("v", T.StringType())]))
+    df = A.quoted_clean_scan(spark, q, T.StructType([T.StructField("Código", T.StringType()), T.StructField("IN001 - Volume", T.StringType())]))
     assert [tuple(r) for r in df.collect()] == [("100001", "1.210,5")]
 
 
@@ -134,6 +136,44 @@ def test_stream_load_takes_each_file_once(spark, scratch):
     assert spark.read.parquet(store).count() == 8
 
 
+def test_one_pair_over_several_files(spark, scratch):
+    """The store is the same however files are dealt out over micro-batches."""
+    ind, mun = _dims(spark)
+    for cap in (1, 2, 1000):
+        landing, store = os.path.join(scratch, f"landing{cap}"), os.path.join(scratch, f"fatos{cap}")
+        for i, code in enumerate((1000011, 1000029, 1000011)):
+            spark.createDataFrame([(code, 2019, "Leitos", "int", str(i))], LANDED_FACT_SCHEMA).coalesce(1).write.parquet(
+                os.path.join(landing, f"lote{i}"))
+        got = stream_incremental_load(spark, os.path.join(landing, "*"), store, ind, mun, checkpoint=os.path.join(scratch, f"c{cap}"),
+                                      max_files_per_batch=cap)
+        assert got["rows"] == 3
+        assert sorted(r.valor for r in spark.read.parquet(store).collect()) == ["0", "1", "2"]
+
+
+def test_an_unreadable_store_is_an_error(spark, scratch):
+    ind, mun = _dims(spark)
+    store = os.path.join(scratch, "fatos")
+    write(os.path.join(store, "dado_id=7", "ano=2019", "part-0.parquet"), "no parquet")
+    with pytest.raises(Exception):
+        load_incremental(_facts(spark, [2019]), ind, mun, store)
+
+
+def test_scans_by_header(spark, scratch):
+    root = os.path.join(scratch, "c")
+    write(os.path.join(root, "2019", "a.csv"), "CO;QT\n1;3\n")
+    write(os.path.join(root, "2020", "a.csv"), "QT;CO\n4;2\n")
+    with pytest.raises(Exception):
+        A.yearly_files_scan(spark, root, "CO long, QT int", "*.csv").collect()
+    p = os.path.join(scratch, "m.csv")
+    write(p, "1;2\nx;2\n3;4;5\n6;y\n")
+    df = A.malformed_skipping_scan(spark, p, "a long, b long", header=False)
+    assert df.count() == len(df.collect()) == df.select("a").count() == df.select("b").count() == 1
+    q = os.path.join(scratch, "bad.json")
+    write(q, "[1]")
+    with pytest.raises(Exception):
+        A.read_catalogue(spark, q).collect()
+
+
 def test_run_audit_and_text(spark):
     src = spark.createDataFrame([("datasus", "Leitos", 2019), ("datasus", "Leitos", 2020), ("capag", "CAPAG", 2021)],
                                 "source string, data_point string, year int")
