@@ -100,7 +100,9 @@ def collection_type(df: DataFrame, keys: list[str], tipo: str, order: str,
     """The type of a collection is the type of its last normal value."""
     t = F.col(tipo) if normal is None else F.when(normal, F.col(tipo))
     o = F.col(order) if normal is None else F.when(normal, F.col(order))
-    return df.groupBy(*keys).agg(F.max_by(t, o).alias(out))
+    # the last position of each type by a hash aggregate; then one row of a few types is chosen
+    last = df.groupBy(*keys, t.alias("__t")).agg(F.max(o).alias("__o"))
+    return last.groupBy(*keys).agg(F.max_by("__t", "__o").alias(out))
 
 
 def row_counts(df: DataFrame, keys: list[str], out: str = "linhas") -> DataFrame:

@@ -348,11 +348,10 @@ def bind_p5(t: B.Tables) -> DataFrame:
     loc = F.when(F.col("o_orderstatus") == "F", "Urbana").otherwise("Rural")
     dep = F.when(F.col("o_orderpriority") < "3", "Municipal").otherwise("Estadual")
     src = o.select("codigo_municipio", "ano", loc.alias("loc"), dep.alias("dep"), "o_orderpriority")
-    cube = src.cube("codigo_municipio", "ano", "loc", "dep").agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).alias("u"),
-        F.grouping_id().alias("gid"))
-    # keep full city-year groups (loc/dep may roll up to 'Total')
-    cube = cube.filter(F.col("codigo_municipio").isNotNull() & F.col("ano").isNotNull())
+    # full city-year groups, in which loc and dep may roll up to 'Total'
+    key, loc, dep = [F.col("codigo_municipio"), F.col("ano")], F.col("loc"), F.col("dep")
+    cube = src.groupingSets([[*key, loc, dep], [*key, loc], [*key, dep], key], *key, loc, dep).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).alias("u"))
     return cube.select(F.col("codigo_municipio").alias("Unnamed: 3"),
                        F.coalesce("loc", F.lit("Total")).alias("Unnamed: 5"),
                        F.coalesce("dep", F.lit("Total")).alias("Unnamed: 6"),

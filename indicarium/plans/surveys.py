@@ -204,13 +204,9 @@ def munic_lookup_names(catalogue: DataFrame) -> DataFrame:
     return catalogue.select("codigo", X.name_with_code("nome", "codigo").alias("nome_dado")).distinct()
 
 
-@query("e21_munic_names", f"""
-SELECT code AS codigo, concat(q, ' - ', code) AS nome_dado FROM (VALUES
-{", ".join(f"('{c}', '{q}')" for c, q in [*[(c, q) for c, _, q, _ in P9_QUESTIONS], P9_URGENT[:2], P9_TEXT[:2]])}) v(code, q)
-WHERE EXISTS (SELECT 1 FROM orders)""")
-def e21_munic_names(spark, d):
-    names = munic_lookup_names(p9_catalogue(spark))
-    return names.join(B.Tables(spark, d).orders.limit(1).select(F.lit(1).alias("__any")), F.lit(True), "left_semi")
+@query("e21_name_with_code", "SELECT p_partkey, concat(p_name, ' - ', p_partkey) AS nome_dado FROM part")
+def e21_name_with_code(spark, d):
+    return B.Tables(spark, d).part.select("p_partkey", X.name_with_code("p_name", F.col("p_partkey").cast("string")).alias("nome_dado"))
 
 
 def _p9_sql() -> str:
