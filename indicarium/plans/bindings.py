@@ -205,24 +205,13 @@ def years_in(df: DataFrame, year_col: str = "ano") -> list[int]:
     return sorted(r[0] for r in df.select(year_col).where(F.col(year_col).isNotNull()).distinct().collect())
 
 
-def landed_yearly(df: DataFrame, year_col: str = "ano") -> dict[int, DataFrame]:
-    """Yearly editions as landed files: ``df`` is written once, partitioned
-    by year, into the shared checkpoint folder; each edition then reads
-    only its own partition (partition pruning). One scan of the source
-    instead of one scan per edition. Only the list of years (a handful of
-    values) reaches the driver."""
-    import os
-    import uuid
-    from indicarium.session import checkpoint_dir
-    spark = df.sparkSession
-    root = checkpoint_dir(spark)
-    path = os.path.join(root, "landed", uuid.uuid4().hex)
-    # rebalance by year: files of AQE's advisory size per year folder instead
-    # of one small file per (task, year); a large year is split, not funnelled
-    df.hint("rebalance", year_col).write.partitionBy(year_col).parquet(path)
-    landed = spark.read.parquet(path)
-    years = [r[0] for r in landed.select(year_col).where(F.col(year_col).isNotNull()).distinct().collect()]
-    return {y: landed.filter(F.col(year_col) == y).drop(year_col) for y in sorted(years)}
+def yearly_editions(df: DataFrame, date_col: str) -> dict[int, DataFrame]:
+    """Yearly editions of one table: each is a range of dates, which the
+    scan gets as a pushed filter. Nothing is written; the list of years is
+    the one thing asked beforehand."""
+    date = F.col(date_col)
+    return {y: df.filter((date >= F.lit(f"{y}-01-01").cast("date")) & (date < F.lit(f"{y + 1}-01-01").cast("date")))
+            for y in years_in(df.select(year_of(date_col).alias("ano")))}
 
 
 def micro(t: Tables) -> DataFrame:

@@ -238,9 +238,9 @@ P3_GRADE_SQL = ("CASE WHEN max(o_totalprice) > 400000 THEN 'A' WHEN max(o_totalp
 def bind_p3(t: B.Tables) -> dict[int, DataFrame]:
     """Yearly CAPAG files; older years name the columns differently and
     newer ones carry two columns with 'capag' in the name."""
-    from indicarium.plans.queries import _landed_orders
+    from indicarium.plans.queries import _yearly_orders
     files = {}
-    for y, frame in _landed_orders(t).items():
+    for y, frame in _yearly_orders(t).items():
         g = frame.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("mx"))
         grade = F.when(F.col("n") == 1, F.lit("n.d.")).otherwise(_grade(F.col("mx")))
         code = B.city_code(F.col("o_custkey"))

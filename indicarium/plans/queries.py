@@ -119,11 +119,10 @@ def _edition(o: DataFrame, year: int) -> tuple[DataFrame, dict, list]:
     return o.select(*cols), renames, drops
 
 
-def _landed_orders(t: B.Tables) -> dict[int, DataFrame]:
-    """orders landed once as one file set per year (the surveys' editions)."""
-    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority",
-                        B.year_of("o_orderdate").alias("ano"))
-    return B.landed_yearly(o)
+def _yearly_orders(t: B.Tables) -> dict[int, DataFrame]:
+    """The surveys' editions: orders of one year each."""
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
+    return {y: e.select(*columns) for y, e in B.yearly_editions(t.orders, "o_orderdate").items()}
 
 
 @query("c4_harmonise", """
@@ -134,7 +133,7 @@ SELECT o_orderkey, CAST(100000 + o_custkey AS BIGINT) AS codigo6, o_totalprice A
 FROM orders""")
 def c4_harmonise(spark, d):
     editions, renames, drops = {}, {}, {}
-    for y, frame in _landed_orders(B.Tables(spark, d)).items():
+    for y, frame in _yearly_orders(B.Tables(spark, d)).items():
         editions[y], renames[y], drops[y] = _edition(frame, y)
     return C.harmonise_editions(editions, renames, drops)
 
@@ -725,7 +724,7 @@ SELECT o_orderkey, codigo_municipio, o_totalprice AS valor,
 FROM ord""")
 def j1_union_years(spark, d):
     frames = {}
-    for y, frame in _landed_orders(B.Tables(spark, d)).items():
+    for y, frame in _yearly_orders(B.Tables(spark, d)).items():
         cols = ["o_orderkey", B.city_code(F.col("o_custkey")).alias("codigo_municipio"),
                 F.col("o_totalprice").alias("valor")]
         if y >= 1999:

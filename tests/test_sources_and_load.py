@@ -186,17 +186,17 @@ def test_run_audit_and_text(spark):
     assert "inicio: 2024-01-01 10:00:00" in text["capag"]
 
 
-def test_materialize_and_landed_editions(spark):
+def test_materialize_and_yearly_editions(spark):
     from indicarium.session import checkpoint_dir, materialize
-    from indicarium.plans.bindings import landed_yearly
+    from indicarium.plans.bindings import yearly_editions
     df = spark.range(100).select((F.col("id") % 7).alias("k"), (1995 + F.col("id") % 3).cast("int").alias("ano"))
     m = materialize(df)
     assert sorted(map(tuple, m.collect())) == sorted(map(tuple, df.collect()))
     root = checkpoint_dir(spark).replace("file:", "")
     assert any(root in f.replace("file:", "") for f in m.inputFiles())
-    eds = landed_yearly(df)
-    assert sorted(eds) == [1995, 1996, 1997]
-    assert sum(e.count() for e in eds.values()) == 100 and eds[1996].columns == ["k"]
+    days = spark.sql("SELECT id, date_add(DATE'1995-12-30', CAST(id * 100 AS INT)) AS d FROM range(10) UNION ALL SELECT 99, NULL")
+    eds = yearly_editions(days, "d")
+    assert sorted(eds) == [1995, 1996, 1997, 1998] and sum(e.count() for e in eds.values()) == 10
 
 
 def test_dimension_readers_and_small_sinks(spark, scratch):
