@@ -69,9 +69,11 @@ def unit_inference(unit: ColumnOrName) -> Column:
 
 def scale_by_unit(raw: ColumnOrName, mult: ColumnOrName, tipo: ColumnOrName) -> Column:
     """Value x multiplier for int/float tags (as DOUBLE); other tags
-    give null (their text is kept as is elsewhere)."""
+    give null (their text is kept as is elsewhere). ``12.0`` is a whole
+    number; a text that is no number of its type gives null."""
     r, m, t = _c(raw), _c(mult), _c(tipo)
-    return (F.when(t == "int", r.try_cast("bigint") * m)
+    whole = F.when(r.try_cast("double") == F.floor(r.try_cast("double")), r.try_cast("double").try_cast("bigint"))
+    return (F.when(t == "int", F.coalesce(r.try_cast("bigint"), whole) * m)
              .when(t == "float", r.try_cast("double") * m))
 
 

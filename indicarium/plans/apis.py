@@ -31,14 +31,17 @@ MUN, ORD, FEED, REL = B.MUN_SQL, B.ORD_SQL, B.FEED_SQL, B.REL_SQL
 # ---------------------------------------------------------------------------
 # variable id -> (indicator, topic)
 P12_CATALOGUE = [("1", "Receita urgente", "Financas"), ("2", "Receita alta", "Financas"),
-                 ("3", "Pessoas atendidas", "Social"), ("4", "Unidades registradas", "Social")]
+                 ("3", "Pessoas atendidas", "Social"), ("4", "Unidades registradas", "Social"),
+                 ("5", "Situacao informada", "Social")]
 
 
 def p12_aggregates(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     """A5 rows -> H3 -> E9 -> E7 -> E8 -> G5 -> F8 -> H5 -> K1.
 
     Results of one variable are added by key (city, year), null when any
-    of them is null; the type comes from the unit text (one per variable)."""
+    of them is null; the type comes from the unit text (one per variable).
+    A text that is no number fails the job; text-typed variables are
+    ``p12_texts``."""
     # K4: every data point must carry its variable, unit, locality and year
     rows = K.enforce_fields(rows, ["variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL],
                             "API answer missing a required field")
@@ -46,6 +49,9 @@ def p12_aggregates(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     u = N.unit_inference("unidade")
     value = F.when(s["tipo_dado"].isNotNull(), s["valor"].cast("double")).otherwise(
         N.scale_by_unit("raw", u["multiplicador"], u["tipo_dado"]).cast("double"))
+    rows = rows.filter(u["tipo_dado"] != "str")
+    bad = s["tipo_dado"].isNull() & F.col("raw").isNotNull() & value.isNull()
+    value = F.when(bad, F.raise_error(F.concat(F.lit("not a number: "), F.col("raw"))).cast("double")).otherwise(value)
     typed = rows.select("variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL, value.alias("v"))
     summed = G.null_poison_sum(typed, ["variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL], "v")
     summed = summed.withColumn(S.DTYPE_COL, N.unit_inference("unidade")["tipo_dado"])
@@ -54,6 +60,21 @@ def p12_aggregates(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     return checked(fact)
 
 
+def p12_texts(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """A5 rows -> E9 -> G5 -> F8 -> H5 -> K1 for variables whose unit tells no
+    number: their texts stay, results of one key (city, year) joined in
+    order; a key with a null among them has no value."""
+    rows = rows.filter(N.unit_inference("unidade")["tipo_dado"] == "str")
+    s = N.special_code("raw")
+    text = F.when(s["tipo_dado"].isNotNull(), s["valor"].cast("string")).otherwise(F.col("raw"))
+    keys = ["variavel_id", S.CITY_CODE_COL, S.YEAR_COL]
+    all_ = rows.select(*keys, "resultado", text.alias("v")).groupBy(*keys).agg(
+        F.when(F.count("v") == F.count(F.lit(1)), F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("resultado", "v"))), lambda r: r["v"]), "; ")).alias(S.VALUE_COL))
+    named = J.catalogue_join(all_, catalogue, ["variavel_id"]).withColumn(S.DTYPE_COL, F.lit("str"))
+    return checked(H.rows_to_fact(named, S.CITY_CODE_COL, S.YEAR_COL, "nome", S.DTYPE_COL, S.VALUE_COL))
+
+
 def p12_catalogue(spark) -> DataFrame:
     return spark.createDataFrame(P12_CATALOGUE, "variavel_id string, nome string, topico string")
 
@@ -67,7 +88,7 @@ P12_CAT_SQL = "cat AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}
 t AS (SELECT variavel_id, unidade, tipo, codigo_municipio, ano,
              CASE WHEN raw = '-' THEN CAST(0 AS DOUBLE) WHEN raw IN ('..', '...', 'X') THEN NULL
                   WHEN tipo = 'int' THEN CAST(TRY_CAST(raw AS BIGINT) * mult AS DOUBLE)
-                  WHEN tipo = 'float' THEN TRY_CAST(raw AS DOUBLE) * mult END AS v FROM u),
+                  WHEN tipo = 'float' THEN TRY_CAST(raw AS DOUBLE) * mult END AS v FROM u WHERE tipo <> 'str'),
 g AS (SELECT variavel_id, codigo_municipio, ano, any_value(tipo) AS tipo_dado,
              CASE WHEN count(v) = count(*) THEN sum(v) END AS valor
       FROM t GROUP BY variavel_id, unidade, codigo_municipio, ano)
@@ -79,6 +100,16 @@ def p12(spark, d):
     return p12_aggregates(rows, p12_catalogue(spark))
 
 
+@query("p12_text", CTE(ORD, FEED, P12_CAT_SQL) + f"""
+, u AS (SELECT *, CASE WHEN raw = '-' THEN '0' WHEN raw IN ('..', '...', 'X') THEN NULL ELSE raw END AS v FROM feed WHERE {TYPE_SQL} = 'str')
+SELECT codigo_municipio, ano, c.nome AS dado_identificador, 'str' AS tipo_dado, string_agg(v, '; ' ORDER BY v) AS valor
+FROM u JOIN cat c USING (variavel_id) GROUP BY codigo_municipio, ano, c.nome HAVING count(v) = count(*)""")
+def p12_text(spark, d):
+    docs = _api_documents(B.Tables(spark, d))
+    rows = A.flatten_api(docs.select(F.from_json("payload", A.API_SCHEMA).alias("doc")), doc="doc")
+    return p12_texts(rows, p12_catalogue(spark))
+
+
 # ---------------------------------------------------------------------------
 # P13 homicide-rate API: flat JSON records, '0' means "no data"
 # ---------------------------------------------------------------------------

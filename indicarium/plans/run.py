@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,11 +28,11 @@ from indicarium.plans import bindings as B
 from indicarium.plans.load import NO_STORE, load_incremental
 from indicarium.session import materialize
 
-# source name -> registered pipeline query
+# source name -> registered pipeline query, or queries
 SOURCES = {
     "datasus": "p1", "empregos_formais": "p2", "capag": "p3", "ensino_superior": "p4",
     "distorcao_idade_serie": "p5", "ideb": "p6", "idhm": "p7", "rede_de_cidades": "p8", "munic": "p9",
-    "pib_municipal": "p10", "equipamentos_escolares": "p11", "agregados": "p12", "homicidios": "p13",
+    "pib_municipal": "p10", "equipamentos_escolares": "p11", "agregados": ("p12", "p12_text"), "homicidios": "p13",
     "banda_larga": "p14", "saneamento_e_rais": "p15",
 }
 
@@ -98,8 +99,10 @@ def run_etl(spark: SparkSession, sf_dir: str, store: str, request: list[str] | d
         start = dt.datetime.now()
         points, status, info = [], "ok", None
         try:
-            fn, _ = queries[SOURCES[source]]
-            facts = fn(spark, sf_dir).withColumn(S.VALUE_COL, F.col(S.VALUE_COL).cast("string"))
+            names = SOURCES[source]
+            parts = [queries[n][0](spark, sf_dir).withColumn(S.VALUE_COL, F.col(S.VALUE_COL).cast("string"))
+                     for n in ([names] if isinstance(names, str) else names)]
+            facts = reduce(lambda a, b: a.unionByName(b), parts)
             if wanted.get(source):
                 facts, missing = request_filter(facts, S.DATA_ID_COL, wanted[source])
                 unknown += [f"{source}: {r.name}" for r in missing.collect()]
