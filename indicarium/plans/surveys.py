@@ -231,9 +231,10 @@ def p9(spark, d):
 
 
 # ---------------------------------------------------------------------------
-# P10 municipal GDP: long multi-line headers, GDP in R$ 1,000
+# P10 municipal GDP: long multi-line headers, agriculture's share in R$ 1,000
 # ---------------------------------------------------------------------------
-GDP_HEADER = "Produto Interno Bruto, \na preços correntes\n(R$ 1.000)"
+# fixed values: the published headers
+AGRI_HEADER = "Valor adicionado bruto da Agropecuária, \na preços correntes\n(R$ 1.000)"
 GDP_PC_HEADER = "Produto Interno Bruto per capita, \na preços correntes\n(R$ 1,00)"
 P10_FIRST, P10_LAST = 1996, 2000
 
@@ -243,7 +244,7 @@ def bind_p10(t: B.Tables) -> DataFrame:
     per = o.groupBy("codigo_municipio", "ano").agg(
         F.count(F.lit(1)).alias("n"), F.floor(F.sum(F.col("o_totalprice").cast("decimal(18,2)"))).cast("bigint").alias("s"))
     return per.select(F.col("ano").alias("Ano"), F.col("codigo_municipio").alias("Código do Município"),
-                      F.floor(F.col("s") / 1000).cast("bigint").cast("string").alias(GDP_HEADER),
+                      F.floor(F.col("s") / 1000).cast("bigint").cast("string").alias(AGRI_HEADER),
                       F.floor(F.col("s") / F.col("n")).cast("bigint").cast("string").alias(GDP_PC_HEADER),
                       F.lit("x").alias("Nome da Grande Região"))
 
@@ -252,13 +253,13 @@ def p10_gdp(raw: DataFrame, first: int = P10_FIRST, last: int = P10_LAST) -> Dat
     """D12 -> C5 -> C1 -> C3 -> D7 -> E6 -> H2 -> E8 -> C11 -> K1."""
     df = raw.filter(F.col("Ano").between(first, last))
     df = C.normalise_column_names(df, "compact")
-    gdp = C._norm_name(GDP_HEADER, "compact")
+    agri = C._norm_name(AGRI_HEADER, "compact")
     pc = C._norm_name(GDP_PC_HEADER, "compact")
-    df = C.keep_columns(df, ["ano", "códigodomunicípio", f"`{gdp}`", f"`{pc}`"])
-    df = C.rename_columns(df, {"códigodomunicípio": S.CITY_CODE_COL, gdp: "PIB", pc: "PIB per capita"})
+    df = C.keep_columns(df, ["ano", "códigodomunicípio", f"`{agri}`", f"`{pc}`"])
+    df = C.rename_columns(df, {"códigodomunicípio": S.CITY_CODE_COL, agri: "PIB Agropecuária", pc: "PIB per capita"})
     df = D.drop_nulls(df)
-    df = H.unpivot_indicators(df, [S.CITY_CODE_COL, "ano"], ["PIB", "PIB per capita"], value_type="double")
-    mult = F.when(F.col(S.DATA_ID_COL) == "PIB", F.lit(1000)).otherwise(F.lit(1))
+    df = H.unpivot_indicators(df, [S.CITY_CODE_COL, "ano"], ["PIB Agropecuária", "PIB per capita"], value_type="double")
+    mult = F.when(F.col(S.DATA_ID_COL) == "PIB Agropecuária", F.lit(1000)).otherwise(F.lit(1))
     df = df.withColumn(S.VALUE_COL, N.scale_by_unit(S.VALUE_COL, mult, F.lit("float")))
     return checked(C.add_metadata(df, tipo_dado="float"))
 
@@ -266,7 +267,7 @@ def p10_gdp(raw: DataFrame, first: int = P10_FIRST, last: int = P10_LAST) -> Dat
 @query("p10", CTE(ORD) + f"""
 , per AS (SELECT codigo_municipio, ano, count(*) AS n, CAST(floor(sum(CAST(o_totalprice AS DECIMAL(18,2)))) AS BIGINT) AS s
           FROM ord WHERE ano BETWEEN {P10_FIRST} AND {P10_LAST} GROUP BY 1, 2)
-SELECT codigo_municipio, ano, 'PIB' AS dado_identificador, 'float' AS tipo_dado, CAST(s // 1000 AS DOUBLE) * 1000 AS valor FROM per
+SELECT codigo_municipio, ano, 'PIB Agropecuária' AS dado_identificador, 'float' AS tipo_dado, CAST(s // 1000 AS DOUBLE) * 1000 AS valor FROM per
 UNION ALL
 SELECT codigo_municipio, ano, 'PIB per capita', 'float', CAST(s // n AS DOUBLE) FROM per""")
 def p10(spark, d):
