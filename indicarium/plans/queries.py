@@ -793,5 +793,5 @@ def m1_links(spark, d):
 
 def registered() -> dict[str, tuple[QueryFn, str | None]]:
     # pipelines and load/audit register themselves on import
-    from indicarium.plans import pipelines, surveys, apis, load, operator_queries, roundtrip_queries, scan_queries  # noqa: F401
+    from indicarium.plans import pipelines, surveys, apis, load, catalogue_pipelines, operator_queries, roundtrip_queries, scan_queries  # noqa: F401
     return REGISTRY

@@ -30,10 +30,10 @@ from indicarium.session import materialize
 
 # source name -> registered pipeline query, or queries
 SOURCES = {
-    "datasus": "p1", "empregos_formais": "p2", "capag": "p3", "ensino_superior": "p4",
+    "datasus": ("p1", "p1_catalogue"), "empregos_formais": "p2", "capag": "p3", "ensino_superior": "p4",
     "distorcao_idade_serie": "p5", "ideb": "p6", "idhm": "p7", "rede_de_cidades": "p8", "munic": "p9",
     "pib_municipal": "p10", "equipamentos_escolares": "p11", "agregados": ("p12", "p12_text"), "homicidios": "p13",
-    "banda_larga": "p14", "saneamento_e_rais": "p15",
+    "banda_larga": "p14", "saneamento_e_rais": ("p15", "p15_snis_catalogue", "p15_rais_catalogue"),
 }
 
 
