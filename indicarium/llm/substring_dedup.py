@@ -23,7 +23,8 @@ from indicarium.llm.common import content_key, dropped, in_arrow, small_batches,
 
 MIN_WORDS = 8
 
-_SENTENCE_END = re.compile(rb"[.!?]+\s+")
+#: A stop, closing quotes, brackets and the like, blanks.
+_SENTENCE_END = re.compile(rb"[.!?][^\s0-9A-Za-z\x80-\xff]*\s+")
 
 
 def units(text: bytes, min_words: int = MIN_WORDS) -> list[tuple[int, int, bytes]]:
