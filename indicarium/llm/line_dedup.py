@@ -4,7 +4,7 @@ A line descends a tree of fixed depth: its number of tokens, then its first
 ``depth`` tokens, tokens with a digit standing for any value. In a leaf,
 a position at which over half of the lines have the same token is fixed and
 the others vary; that is the leaf's template. A line follows it when at
-least ``similarity`` of its tokens are the fixed ones. Templates that
+least ``similarity`` of its tokens are fixed ones without a digit. Templates that
 lines of ``min_docs`` documents follow recur: their lines are dropped from all
 documents but the first.
 """
@@ -18,6 +18,9 @@ from indicarium.llm.common import content_key, staged
 
 DEPTH, SIMILARITY, MIN_TOKENS, MIN_DOCS = 4, 0.5, 4, 10
 
+#: Stands for any token with a digit.
+VARIABLE = "<*>"
+
 _BLANKS = " \t\r\f\x0b"
 
 
@@ -26,7 +29,7 @@ def tokens(line: Column) -> Column:
 
 
 def masked(words: Column) -> Column:
-    return F.transform(words, lambda t: F.when(t.rlike("[0-9]"), "<*>").otherwise(t))
+    return F.transform(words, lambda t: F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t))
 
 
 def _lines(text: Column) -> Column:
@@ -63,7 +66,7 @@ def _templates(lines: DataFrame) -> DataFrame:
 def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS) -> DataFrame:
     """__k1, __k2 (a document's content key), drop: numbers of the lines to leave out."""
     lines = _candidates(docs, depth, min_tokens, min_docs)
-    same = F.aggregate(F.zip_with("words", "template", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))), F.lit(0), lambda s, x: s + x)
+    same = F.aggregate(F.zip_with("words", "template", lambda a, b: F.coalesce(((a == b) & (b != VARIABLE)).cast("int"), F.lit(0))), F.lit(0), lambda s, x: s + x)
     follow = staged(lines.join(_templates(lines), ["n", "head"]).where(same >= similarity * F.col("n")).select("__k1", "__k2", "doc_id", "at", "n", "head"), "template-lines")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__k1", "__k2")
     first = follow.groupBy("n", "head", "__k1", "__k2").agg(F.first("doc_id").alias("doc_id")).groupBy("n", "head").agg(F.count(F.lit(1)).alias("docs"), F.min(rank).alias("first")).where(F.col("docs") >= min_docs)

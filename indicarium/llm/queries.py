@@ -114,7 +114,7 @@ WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
      tpl AS (SELECT n, head, list(CASE WHEN 2 * c > total THEN token END ORDER BY p) AS template
              FROM (SELECT n, head, p, sum(c) AS total, max(c) AS c, arg_max(token, c) AS token FROM tok GROUP BY n, head, p) GROUP BY n, head),
      f AS (SELECT doc_id, pos, n, head FROM k JOIN tpl USING (n, head)
-           WHERE len(list_filter(list_zip(words, template), lambda z: z[1] = z[2])) >= 0.5 * n),
+           WHERE len(list_filter(list_zip(words, template), lambda z: z[1] = z[2] AND z[2] <> '<*>')) >= 0.5 * n),
      r AS (SELECT n, head, min(doc_id) AS first FROM f GROUP BY n, head HAVING count(DISTINCT doc_id) >= 10),
      x AS (SELECT DISTINCT doc_id, pos FROM f JOIN r USING (n, head) WHERE doc_id <> first),
      o AS (SELECT d.doc_id, d.text, i.pos, i.line, x.pos IS NOT NULL AS gone
