@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from indicarium.llm.common import dropped, in_arrow, scratch, shipped, small_batches, staged, utf8
 
 #: Uncompressed bytes of one archive file, about.
-FILE_BYTES = 4 << 20
+FILE_BYTES = 32 << 20
 #: Shorter payloads are never revisits.
 MIN_REVISIT = 1000
 
