@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import numpy as np
@@ -87,8 +88,8 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
     return in_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
 
 
-def fullest(left: Counter, room: int) -> Counter:
-    """The multiset of ``left`` whose sum is closest to ``room``, not above it.
+def fullest(left: dict[int, int], room: int, order: list[int]) -> Counter:
+    """The multiset of ``left`` (length -> count, lengths in ``order``) whose sum is closest to ``room``, not above it.
 
     ``reach`` has a bit for each sum. Counts are split into powers of two, so a
     length that is there n times takes log n steps; from the bits before each
@@ -96,15 +97,14 @@ def fullest(left: Counter, room: int) -> Counter:
     """
     reach, steps = 1, []
     mask = (1 << (room + 1)) - 1
-    for length in sorted(left, reverse=True):
+    for i in range(bisect_right(order, room) - 1, -1, -1):
+        length = order[i]
         n, k = min(left[length], room // length), 1
         while n > 0:
             k = min(k, n)
             steps.append((length, k, reach))
             reach = (reach | reach << length * k) & mask
             n, k = n - k, 2 * k
-            if reach >> room:
-                break
         if reach >> room:
             break
     at, used = reach.bit_length() - 1, Counter()
@@ -115,23 +115,24 @@ def fullest(left: Counter, room: int) -> Counter:
     return used
 
 
-def plan(lengths: Counter, window: int = WINDOW) -> list[tuple[dict[int, int], int]]:
+def plan(lengths: dict[int, int], window: int = WINDOW) -> list[tuple[dict[int, int], int]]:
     """(lengths with counts in a window, number of such windows) until every length is used up.
 
     The longest remaining length is always taken, so that no rest of long ones piles up.
     """
-    left, out = Counter(lengths), []
-    while left:
-        longest = max(left)
+    left, order, out = dict(lengths), sorted(lengths), []
+    while order:
+        longest = order[-1]
         left[longest] -= 1
-        used = fullest(+left, window - longest)
-        used[longest] += 1
+        used = fullest(left, window - longest, order)
         left[longest] += 1
+        used[longest] += 1
         times = min(left[n] // k for n, k in used.items())
         out.append((dict(used), times))
         for n, k in used.items():
             left[n] -= k * times
-        left = +left
+            if not left[n]:
+                del order[bisect_left(order, n)]
     return out
 
 
