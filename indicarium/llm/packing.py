@@ -14,6 +14,7 @@ import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,42 +28,86 @@ WINDOW = 4096
 END_ID = 2
 #: Pieces that are packed together, at most; memory of a task, not a limit on the input.
 BLOCK = 1 << 16
-#: Distinct white-space-free strings whose ids a worker remembers.
-MEMORY = 1 << 18
+#: Distinct strings (and distinct parts of such) whose ids a worker remembers.
+MEMORY = 1 << 19
+#: Parts of letters that are encoded as one text.
+JOINED = 4096
 
 #: str.split() takes these for white space, the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f]")
+#: Marks that make a token run of their own behind letters (an apostrophe may belong to them).
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Below this character, letters are composed and have one lower-case letter each, but for this one.
+_LATIN, _DOTTED = "\u0250", "\u0130"
 
-_WORDS: dict[str, tuple[object, dict[str, bytes]]] = {}
+_ENCODERS: dict[str, "Encoder"] = {}
 
 
-def _encoder(path: str) -> tuple[object, dict[str, bytes]]:
-    if path not in _WORDS:
+class Encoder:
+    """Ids of texts as little-endian unsigned 32-bit numbers; each distinct string is encoded once.
+
+    The tokenizer drops white space and no token spans it, so a text's ids are
+    those of its white-space-free strings. One of Latin letters and marks behind
+    them is further the ids of its lower-case letters, then of its marks.
+    Letters are one token run, whose last id alone ends a word, so that
+    many of them are encoded as one text.
+    """
+
+    def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        _WORDS.clear()
-        _WORDS[path] = (Tokenizer.from_file(path), {})
-    return _WORDS[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def plain(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def letters(self, parts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for at in range(0, len(parts), JOINED):
+            some = parts[at : at + JOINED]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(some):
+                raise ValueError("this tokenizer does not end each word with one id")
+            data, starts = ids.tobytes(), np.concatenate([[0], stops[:-1]])
+            out += [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), stops.tolist())]
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        split, other = [], []
+        for w in words:
+            core = w.rstrip(_MARKS)
+            if core.isalpha() and max(core) < _LATIN and _DOTTED not in core:
+                split.append((w, core.lower(), w[len(core) :]))
+            else:
+                other.append(w)
+        if len(self.parts) > MEMORY:
+            self.parts = {"": b""}
+        for new, ids in ((dict.fromkeys(c for _, c, _ in split), self.letters), (dict.fromkeys(m for _, _, m in split), self.plain)):
+            missing = [x for x in new if x not in self.parts]
+            self.parts.update(zip(missing, ids(missing)))
+        self.words.update((w, self.parts[c] + self.parts[m]) for w, c, m in split)
+        self.words.update(zip(other, self.plain(other)))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [None if _ODD.search(t) else t.split() for t in texts]
+        if len(self.words) > MEMORY:
+            self.words.clear()
+        self.learn(list(set(chain.from_iterable(s for s in split if s)) - self.words.keys()))
+        ids = self.words.__getitem__
+        return [self.plain([t])[0] if s is None else b"".join(map(ids, s)) for t, s in zip(texts, split)]
 
 
 def encode(texts: list[str], path: str) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit numbers.
-
-    The tokenizer drops white space and no token spans it, so a text's ids are
-    those of its white-space-free strings; each distinct one is encoded once.
-    """
-    tokenizer, known = _encoder(path)
-    split = [None if _ODD.search(t) else t.split() for t in texts]
-    new = list(dict.fromkeys(w for s in split if s for w in s if w not in known))
-    if len(known) + len(new) > MEMORY:
-        known.clear()
-        new = list(dict.fromkeys(w for s in split if s for w in s))
-    known.update(zip(new, _encode(tokenizer, new)))
-    return [_encode(tokenizer, [t])[0] if s is None else b"".join([known[w] for w in s]) for t, s in zip(texts, split)]
-
-
-def _encode(tokenizer, texts: list[str]) -> list[bytes]:
-    return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path].encode(texts)
 
 
 def cut(ids: bytes, window: int = WINDOW) -> list[tuple[int, int, int]]:
