@@ -11,6 +11,7 @@ positions.
 from __future__ import annotations
 
 import re
+import uuid
 
 import ahocorasick
 import numpy as np
@@ -27,7 +28,8 @@ _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 #: Bytes of benchmark text in one automaton, at most.
 BLOCK_BYTES = 32 << 20
 
-_AUTOMATA: dict[int, ahocorasick.Automaton] = {}
+#: The automaton that a worker built last, by the name of its scan.
+_AUTOMATA: dict[str, ahocorasick.Automaton] = {}
 
 
 def words(text: bytes) -> list[bytes]:
@@ -114,8 +116,9 @@ def _scanned(docs: DataFrame, shared, size: int, first: bool, last: bool) -> Dat
     schema = StructType([f for f in docs.schema if f.name != "__found"]).add("__found", _parse_datatype_string(found))
     kind = to_arrow_schema(schema)
 
+    key = uuid.uuid4().hex
+
     def run(batches):
-        key = shared.id if hasattr(shared, "id") else id(shared)
         if key not in _AUTOMATA:
             _AUTOMATA.clear()
             _AUTOMATA[key] = automaton(shared.value, size)
