@@ -36,7 +36,11 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts the lineage and survives lost executors."""
+    """``df`` written to the shared folder and read again: cuts the lineage and survives lost executors.
+
+    Also for a key's totals before they are joined to its rows: AQE splits a
+    hot key of a join only between two shuffles, not above an aggregation.
+    """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

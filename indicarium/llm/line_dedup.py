@@ -46,7 +46,8 @@ def _candidates(docs: DataFrame, depth: int, min_tokens: int, min_docs: int) ->
     rows = _keyed(docs.select("doc_id", "text"))
     leaf = F.transform(_lines(F.col("text")), lambda line: F.transform(F.array(tokens(line)), lambda t: F.when(F.size(t) >= min_tokens, F.xxhash64(F.size(t), masked(F.slice(t, 1, depth)))))[0])
     leaves = staged(rows.select("__k1", "__k2", leaf.alias("leaves")), "leaves")
-    busy = leaves.select(F.explode(F.array_distinct("leaves")).alias("leaf")).where("leaf is not null").groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
+    busy = leaves.select(F.explode(F.array_distinct("leaves")).alias("leaf")).where("leaf is not null").groupBy("leaf").count().where(F.col("count") >= min_docs)
+    busy = staged(busy.select("leaf"), "busy-leaves")
     at = leaves.select("__k1", "__k2", F.posexplode("leaves").alias("at", "leaf")).where("leaf is not null").join(busy, "leaf", "left_semi")
     at = at.groupBy("__k1", "__k2").agg(F.collect_set("at").alias("at"))
     found = rows.join(at, ["__k1", "__k2"]).withColumn("lines", _lines(F.col("text"))).select("__k1", "__k2", "doc_id", "lines", F.explode("at").alias("at"))
@@ -67,10 +68,10 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMIL
     """__k1, __k2 (a document's content key), drop: numbers of the lines to leave out."""
     lines = _candidates(docs, depth, min_tokens, min_docs)
     same = F.aggregate(F.zip_with("words", "template", lambda a, b: F.coalesce(((a == b) & (b != VARIABLE)).cast("int"), F.lit(0))), F.lit(0), lambda s, x: s + x)
-    follow = staged(lines.join(_templates(lines), ["n", "head"]).where(same >= similarity * F.col("n")).select("__k1", "__k2", "doc_id", "at", "n", "head"), "template-lines")
+    follow = staged(lines.join(staged(_templates(lines), "templates"), ["n", "head"]).where(same >= similarity * F.col("n")).select("__k1", "__k2", "doc_id", "at", "n", "head"), "template-lines")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__k1", "__k2")
     first = follow.groupBy("n", "head", "__k1", "__k2").agg(F.first("doc_id").alias("doc_id")).groupBy("n", "head").agg(F.count(F.lit(1)).alias("docs"), F.min(rank).alias("first")).where(F.col("docs") >= min_docs)
-    late = follow.join(first.drop("docs"), ["n", "head"]).where((F.col("__k1") != F.col("first.__k1")) | (F.col("__k2") != F.col("first.__k2")))
+    late = follow.join(staged(first.drop("docs"), "first-lines"), ["n", "head"]).where((F.col("__k1") != F.col("first.__k1")) | (F.col("__k2") != F.col("first.__k2")))
     return late.groupBy("__k1", "__k2").agg(F.collect_set("at").alias("drop"))
 
 
