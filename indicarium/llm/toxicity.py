@@ -26,6 +26,8 @@ from indicarium.llm.common import in_arrow, small_batches, staged, utf8
 
 #: Documents that the classifier is fitted on, at most.
 MAX_TOXIC, MAX_UNLABELLED = 8192, 16384
+#: Tasks that the sample's texts are dealt out over.
+SAMPLE_TASKS = 64
 #: Features of the classifier, and the toxic documents that must hold one.
 N_FEATURES, MIN_TOXIC = 512, 3
 THRESHOLD = 0.7
@@ -96,6 +98,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, n_features: int
     # MAX_TOXIC + MAX_UNLABELLED ids at most
     chosen = staged(toxic.union(unlabelled).groupBy("doc_id").agg(F.max("p").alias("p"), F.max("u").alias("u")), "toxicity-ids")
     sample = staged(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "p", "u").agg(F.min("text").alias("text")), "toxicity-sample")
+    sample = sample.repartition(SAMPLE_TASKS, "doc_id")
     n_p, n_u = sample.agg(F.sum(F.col("p").cast("long")), F.sum(F.col("u").cast("long"))).first()
     if not n_p or not prior:
         return Model({}, -np.inf)
