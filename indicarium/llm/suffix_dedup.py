@@ -299,9 +299,9 @@ def _solved(distinct: DataFrame, length: int, block: int, widths: tuple[int, ...
     pieces = staged(_split(large, widths[0], length), "pieces")
     same = pieces.groupBy("g2", "d2").agg(F.sum("many").alias("many"), F.first("n2").alias("n2"), F.first("anchor").alias("anchor"), F.first("data").alias("data"))
     same = staged(same, "distinct-pieces")
-    kinds = same.groupBy("g2").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    kinds = staged(same.groupBy("g2").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "kinds")
     rest = staged(same.join(kinds, "g2").select(F.col("g2").alias("g"), F.col("d2").alias("d"), "anchor", "data", "many", "kinds"), "open-pieces")
-    runs = _marks(same.select(F.col("g2").alias("g"), F.col("d2").alias("d"), "many", F.col("n2").alias("n")), _solved(rest, length, block, widths[1:]))
+    runs = staged(_marks(same.select(F.col("g2").alias("g"), F.col("d2").alias("d"), "many", F.col("n2").alias("n")), _solved(rest, length, block, widths[1:])), "repeated-pieces")
     back = pieces.where("many = 1").select("g", "d", "first", "g2", "d2").join(runs.select(F.col("g").alias("g2"), F.col("d").alias("d2"), "runs"), ["g2", "d2"])
     shifted = F.transform("runs", lambda r: F.struct((r["first"] + F.col("first")).alias("first"), (r["end"] + F.col("first")).alias("end")))
     return out.union(back.groupBy("g", "d").agg(F.flatten(F.collect_list(shifted)).alias("runs")))
@@ -320,12 +320,12 @@ def repeated_runs(rows: DataFrame, length: int = LENGTH, block: int = BLOCK, wid
     a skewed key that AQE splits in the joins.
     """
     every = staged(cut_segments(rows, length), "segments")
-    again = every.groupBy("g").count().where("count > 1").select("g")
+    again = staged(every.groupBy("g").count().where("count > 1").select("g"), "repeated-anchors")
     shared = staged(every.join(again, "g", "left_semi"), "shared-segments")
     dropped(every)
     place = F.min(F.struct("k1", "k2", "start", "n", "anchor")).alias("place")
     distinct = staged(shared.groupBy("g", "d").agg(F.count(F.lit(1)).alias("many"), place).select("g", "d", "many", "place.*"), "distinct-segments")
-    kinds = distinct.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    kinds = staged(distinct.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "kinds")
     texts = staged(_fetched(rows, distinct.join(kinds, "g"), length).dropDuplicates(["g", "d"]), "segment-texts")
     marks = staged(_marks(distinct, _solved(texts, length, block, widths)), "repeated-segments")
     found = shared.select("k1", "k2", "start", "g", "d").join(marks, ["g", "d"]).select("k1", "k2", "start", F.explode("runs").alias("r"))
