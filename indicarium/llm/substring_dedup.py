@@ -78,12 +78,12 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     a skewed key that AQE splits in the joins; no task gathers its units.
     """
     every = staged(hashed_units(docs, min_words), "units")
-    again = every.groupBy("h1").count().where("count > 1").select("h1")
+    again = staged(every.groupBy("h1").count().where("count > 1").select("h1"), "repeated-hashes")
     shared = staged(every.join(again, "h1", "left_semi"), "shared-units")
     dropped(every)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k", "start")
     first = shared.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    late = shared.join(first, ["h1", "h2"]).where(rank != F.col("first"))
+    late = shared.join(staged(first, "first-units"), ["h1", "h2"]).where(rank != F.col("first"))
     return late.groupBy("doc_id", "k").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
