@@ -35,6 +35,9 @@ P12_CATALOGUE = [("1", "Receita urgente", "Financas"), ("2", "Receita alta", "Fi
                  ("5", "Situacao informada", "Social")]
 
 
+P12_REQUIRED = ["variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL]
+
+
 def p12_aggregates(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     """A5 rows -> H3 -> E9 -> E7 -> E8 -> G5 -> F8 -> H5 -> K1.
 
@@ -43,13 +46,13 @@ def p12_aggregates(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     A text that is no number fails the job; text-typed variables are
     ``p12_texts``."""
     # K4: every data point must carry its variable, unit, locality and year
-    rows = K.enforce_fields(rows, ["variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL],
-                            "API answer missing a required field")
+    rows = K.enforce_fields(rows, P12_REQUIRED, "API answer missing a required field")
     s = N.special_code("raw")
     u = N.unit_inference("unidade")
     value = F.when(s["tipo_dado"].isNotNull(), s["valor"].cast("double")).otherwise(
         N.scale_by_unit("raw", u["multiplicador"], u["tipo_dado"]).cast("double"))
-    rows = rows.filter(u["tipo_dado"] != "str")
+    # a row without a required field stays until the check above has seen it
+    rows = rows.filter((u["tipo_dado"] != "str") | F.greatest(*[F.col(c).isNull() for c in P12_REQUIRED]))
     bad = s["tipo_dado"].isNull() & F.col("raw").isNotNull() & value.isNull()
     value = F.when(bad, F.raise_error(F.concat(F.lit("not a number: "), F.col("raw"))).cast("double")).otherwise(value)
     typed = rows.select("variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL, value.alias("v"))
