@@ -102,20 +102,20 @@ def fit(x: np.ndarray, n: int) -> Quantiser:
     return out
 
 
-def _unit(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors in double precision as given, and of unit length."""
-    x = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+def _unit(raw: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of the stored kind in double precision, as given and of unit length."""
+    x = np.frombuffer(b"".join(raw), kind).astype(np.float64).reshape(len(raw), -1)
     return x, x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def linked(queries: dict, index: dict, centre: int, model: Quantiser, threshold: float) -> tuple[dict[str, int], list[tuple[str, str]]]:
+def linked(queries: dict, index: dict, centre: int, model: Quantiser, threshold: float, kind: str = "f8") -> tuple[dict[str, int], list[tuple[str, str]]]:
     """Links between looked-up vectors and those of one list: counts by node, and a spanning forest.
 
     A link counts for the vector that looks. It also counts for the one that
     was found, if that one doesn't look into the other's list itself.
     """
-    q_raw, q = _unit(queries["vec"])
-    x_raw, x = _unit(index["vec"])
+    q_raw, q = _unit(queries["vec"], kind)
+    x_raw, x = _unit(index["vec"], kind)
     reach = np.sqrt(2 - 2 * threshold) + 1e-4
     code = np.frombuffer(b"".join(index["code"]), np.uint8).reshape(len(x), -1)
     error = np.array(index["error"], np.float32)
@@ -165,9 +165,12 @@ def embedding_components(spark: SparkSession, vectors: DataFrame, threshold: flo
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("many"), F.min("embedding").alias("embedding"))
     nodes = staged(nodes, "nodes")
     n = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(max(1, min(SAMPLE, (64 << 20) // (8 * most.dims)))).select("embedding").collect()
-    model = fit(_unit([np.array(r.embedding, np.float64).tobytes() for r in sample])[1], n)
-    found = _links(spark, nodes, model, threshold, margin)
+    # single-precision vectors are carried as such; all arithmetic is in double precision
+    kind = "f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "f8"
+    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(max(1, min(SAMPLE, (32 << 20) // (8 * most.dims)))).select("embedding")
+    raw = in_arrow(sample, lambda batch: {"vec": _stored(batch.column("embedding"), kind)}, "vec binary").collect()
+    model = fit(_unit([bytes(r.vec) for r in raw], kind)[1], n)
+    found = _links(spark, nodes, model, threshold, margin, kind)
     degree = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = components(found.where("b is not null").select("a", "b"))
     named = nodes.select("node", "least", "many").join(degree, "node", "left").join(roots, "node", "left")
@@ -177,14 +180,18 @@ def embedding_components(spark: SparkSession, vectors: DataFrame, threshold: flo
     return members.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")).union(alone)
 
 
-def _links(spark: SparkSession, nodes: DataFrame, model: Quantiser, threshold: float, margin: float) -> DataFrame:
+def _stored(column: pa.Array, kind: str) -> list[bytes]:
+    return [np.array(v, kind).tobytes() for v in column.to_pylist()]
+
+
+def _links(spark: SparkSession, nodes: DataFrame, model: Quantiser, threshold: float, margin: float, kind: str) -> DataFrame:
     """Rows (a, null, n): n links counted for node a; rows (a, b, 0): a link of a spanning forest."""
     shared = spark.sparkContext.broadcast(model)
     reach = margin * float(np.sqrt(2 - 2 * threshold))
 
     def coded(batch: pa.RecordBatch) -> dict:
-        raw = [np.array(v, np.float64).tobytes() for v in batch.column("embedding").to_pylist()]
-        x = _unit(raw)[1]
+        raw = _stored(batch.column("embedding"), kind)
+        x = _unit(raw, kind)[1]
         home = shared.value.near(x)[1]
         code, error = shared.value.codes(x, home)
         probes = shared.value.probes(x, reach)
@@ -209,7 +216,7 @@ def _links(spark: SparkSession, nodes: DataFrame, model: Quantiser, threshold: f
     def run(batch: pa.RecordBatch) -> dict:
         a, b, n = [], [], []
         for cell, q, x in zip(batch.column("cell").to_pylist(), batch.column("queries"), batch.column("index")):
-            counts, forest = linked(columns(q.values), columns(x.values), cell, shared.value, threshold)
+            counts, forest = linked(columns(q.values), columns(x.values), cell, shared.value, threshold, kind)
             a += [*counts, *(p for p, _ in forest)]
             b += [None] * len(counts) + [q for _, q in forest]
             n += [*counts.values(), *[0] * len(forest)]
