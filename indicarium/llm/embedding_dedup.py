@@ -9,13 +9,15 @@ compared by exact cosine in double precision.
 
 Centres and codebooks are fitted on a bounded sample (``SAMPLE`` vectors);
 every vector is indexed and looked up. Equal vectors are one node with a
-count. Lists are dealt out in blocks of ``BLOCK``, so that a list that holds
+count. Lists lie together on shelves, and a vector is sent to a shelf once,
+however many of its lists it looks into. Long lists are dealt out in blocks of ``BLOCK``, so that a list that holds
 a third of all vectors is many tasks; a task returns a count for each vector
 and a spanning forest of the links it found, never the pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,10 +34,13 @@ THRESHOLD = 0.9
 SAMPLE = 1 << 16
 #: Vectors a list is meant to hold, and lists, at most (a list may hold any number).
 PER_LIST, LISTS = 256, 1 << 12
-#: Share of the link radius within which a list's border must lie to be looked into; 1 proves that no link is lost.
-MARGIN = 0.35
+#: Share of the link radius within which a list's border must lie to be looked into. A link that crosses a border has an
+#: end within half its length of it, so from 0.5 on no link is lost; what is above that is for rounding.
+MARGIN = 0.5 + 1e-3
 SUBSPACES, CODES = 8, 256
 BLOCK = 2048
+#: Lists lie together on shelves: so many at least, and of so many vectors at most (a longer list has one of its own).
+SHELVES, PER_SHELF = 16, 8192
 
 
 @dataclass
@@ -143,6 +148,36 @@ def linked(queries: dict, index: dict, centre: int, model: Quantiser, threshold:
     return {names[n]: int(counts[n]) for n in np.flatnonzero(counts)}, [(names[n], names[root[n]]) for n in np.flatnonzero(root != np.arange(len(root)))]
 
 
+def shelves(sizes: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """The shelf of each list, and the blocks that the shelf's vectors are dealt out in."""
+    room = max(1, min(PER_SHELF, sum(sizes.values()) // SHELVES))
+    out: dict[int, tuple[int, int]] = {}
+    at, used = 0, 0
+    for cell in sorted(sizes):
+        if used and used + sizes[cell] > room:
+            at, used = at + 1, 0
+        used += sizes[cell]
+        out[cell] = (at, -(-used // BLOCK) if used > room else 1)
+    return out
+
+
+def by_list(cells: list[bytes], home: list[int]) -> Iterator[tuple[int, list[int], list[int]]]:
+    """Each list that both sides name: its number, the looking rows, the rows it holds."""
+    look: dict[int, list[int]] = {}
+    held: dict[int, list[int]] = {}
+    for i, c in enumerate(cells):
+        for cell in np.frombuffer(c, np.int32).tolist():
+            look.setdefault(cell, []).append(i)
+    for j, cell in enumerate(home):
+        held.setdefault(cell, []).append(j)
+    for cell in sorted(look.keys() & held.keys()):
+        yield cell, look[cell], held[cell]
+
+
+def picked(rows: dict, at: list[int]) -> dict:
+    return {name: [column[i] for i in at] for name, column in rows.items()}
+
+
 def embedding_components(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """Per vector: vec_id, n_links, component_id (smallest vec_id reachable, itself included), kept.
 
@@ -200,14 +235,31 @@ def _links(spark: SparkSession, nodes: DataFrame, model: Quantiser, threshold: f
 
     index = staged(in_arrow(nodes, coded, "node string, many long, vec binary, home int, code binary, error float, probes array<int>, looks binary"), "index")
     # a row for each list, LISTS at most
-    sizes = index.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
-    found = index.join(F.broadcast(sizes), "home").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")))
-    held = found.groupBy(F.col("home").alias("cell"), "block").agg(F.collect_list(F.struct("node", "many", "vec", "code", "error", "looks")).alias("index")).drop("block")
-    look = index.select("node", "many", "vec", "home", F.explode("probes").alias("cell"))
-    looks = look.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
-    look = look.join(F.broadcast(looks), "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")))
-    look = look.groupBy("cell", "block").agg(F.collect_list(F.struct("node", "many", "vec", "home")).alias("queries")).drop("block")
-    pairs = look.join(held, "cell")
+    on = shelves({r.home: r["count"] for r in index.groupBy("home").count().collect()})
+    shelf = F.broadcast(spark.createDataFrame([(cell, *at) for cell, at in on.items()], "cell int, shelf int, n_blocks int"))
+    found = index.join(shelf, index["home"] == shelf["cell"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")))
+    held = found.groupBy("shelf", "block").agg(F.collect_list(F.struct("home", "node", "many", "vec", "code", "error", "looks")).alias("index")).drop("block")
+    place = spark.sparkContext.broadcast({cell: at for cell, (at, _) in on.items()})
+
+    def sent(batch: pa.RecordBatch) -> dict:
+        row, to, cells = [], [], []
+        for i, probes in enumerate(batch.column("probes").to_pylist()):
+            by: dict[int, list[int]] = {}
+            for cell in probes:
+                if cell in place.value:  # an empty list is on no shelf
+                    by.setdefault(place.value[cell], []).append(cell)
+            row += [i] * len(by)
+            to += by
+            cells += [np.array(c, np.int32).tobytes() for c in by.values()]
+        at = pa.array(row, pa.int64())
+        return {c: batch.column(c).take(at) for c in ("node", "many", "vec", "home")} | {"shelf": to, "cells": cells}
+
+    look = in_arrow(index.select("node", "many", "vec", "home", "probes"), sent, "node string, many long, vec binary, home int, shelf int, cells binary")
+    look = staged(look, "look-ups")
+    looks = look.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
+    look = look.join(F.broadcast(looks), "shelf").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")))
+    look = look.groupBy("shelf", "block").agg(F.collect_list(F.struct("node", "many", "vec", "home", "cells")).alias("queries")).drop("block")
+    pairs = look.join(held, "shelf")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
     def columns(rows: pa.StructArray) -> dict:
@@ -215,11 +267,13 @@ def _links(spark: SparkSession, nodes: DataFrame, model: Quantiser, threshold: f
 
     def run(batch: pa.RecordBatch) -> dict:
         a, b, n = [], [], []
-        for cell, q, x in zip(batch.column("cell").to_pylist(), batch.column("queries"), batch.column("index")):
-            counts, forest = linked(columns(q.values), columns(x.values), cell, shared.value, threshold, kind)
-            a += [*counts, *(p for p, _ in forest)]
-            b += [None] * len(counts) + [q for _, q in forest]
-            n += [*counts.values(), *[0] * len(forest)]
+        for q, x in zip(batch.column("queries"), batch.column("index")):
+            q, x = columns(q.values), columns(x.values)
+            for cell, i, j in by_list(q.pop("cells"), x.pop("home")):
+                counts, forest = linked(picked(q, i), picked(x, j), cell, shared.value, threshold, kind)
+                a += [*counts, *(p for p, _ in forest)]
+                b += [None] * len(counts) + [q for _, q in forest]
+                n += [*counts.values(), *[0] * len(forest)]
         return {"a": a, "b": b, "n": n}
 
     return staged(in_arrow(pairs, run, "a string, b string, n long"), "embedding-links")

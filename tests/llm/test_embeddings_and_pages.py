@@ -47,6 +47,21 @@ def test_embedding_recall_and_blocks(spark, monkeypatch):
     assert all(found[i] <= n for i, n in enumerate(links)) and sum(found.values()) >= 0.97 * links.sum()
 
 
+def test_embedding_groups_that_own_centres(spark, monkeypatch):
+    """Two tight groups at cosine 0.93, each with a centre of its own: the query's margin finds every link between them."""
+    monkeypatch.setattr(embedding_dedup, "PER_LIST", 50)
+    r = np.random.default_rng(3)
+    e = np.linalg.qr(r.normal(size=(32, 2)))[0].T
+    ends = [e[0], 0.93 * e[0] + np.sqrt(1 - 0.93**2) * e[1]]
+    x = np.concatenate([r.normal(size=(400, 32)), *(end + r.normal(size=(150, 32)) * 0.002 for end in ends)])
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {g.vec_id: g for g in embedding_dedup.embedding_components(spark, df).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    links = (u @ u.T >= 0.9).sum(1) - 1
+    assert [got[i].n_links for i in range(len(x))] == links.tolist() and (links[400:] >= 299).all()
+    assert {got[i].component_id for i in range(400, 700)} == {400}
+
+
 def test_embedding_tables_without_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.embedding_components(spark, empty).count() == 0
