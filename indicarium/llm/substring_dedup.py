@@ -1,11 +1,17 @@
-"""Substring dedup by hashing of lines and their sentences.
+"""Substring dedup by hashing of lines, their sentences, runs of short ones and paragraphs.
 
 Units are lines and, where a line has several, its sentences, each of
 ``min_words`` words at least; so a passage that was pasted into a line is
-found as well. A unit is normalised (lower case, single blanks) and hashed
+found as well. A shorter line or sentence makes a unit with as many of those
+behind it as it takes to reach the minimum, and one with as many before it;
+so each line of a repeated passage of the minimum's length is found, however
+the passage is broken into lines. A paragraph (lines up to a blank one) is a unit
+too. In scripts without spaces some characters count as one word. A unit is
+normalised (lower case, single blanks) and hashed
 to 128 bits. Of each digest's occurrences that of lowest rank stays:
 smallest doc_id (null last), then content key, then offset. The others'
-byte spans in the original texts are removed.
+byte spans in the original texts are removed, except those that overlap
+the one that stays.
 """
 
 from __future__ import annotations
@@ -23,30 +29,73 @@ from indicarium.llm.common import content_key, dropped, in_arrow, small_batches,
 
 MIN_WORDS = 8
 
-#: A stop, closing quotes, brackets and the like, blanks.
-_SENTENCE_END = re.compile(rb"[.!?][^\s0-9A-Za-z\x80-\xff]*\s+")
+#: A stop, closing quotes, brackets and the like, blanks; stops of other scripts need no blank behind them.
+_SENTENCE_END = re.compile(rb"[.!?][^\s0-9A-Za-z\x80-\xff]*\s+|(?:%s)(?:%s|[\"')\]])*\s*" % tuple("|".join(marks).encode() for marks in ("。！？｡．।॥؟۔။។", "」』）】》〉”’")))
+
+#: Characters of scripts without spaces, and how many of them count as one word.
+_DENSE = [(re.compile("[\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"), 2),
+          (re.compile("[\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df]"), 5)]
+
+
+def normalised(text: bytes) -> tuple[bytes, int]:
+    """The text in lower case with single blanks, and its length in words."""
+    lower = text.decode("utf-8", "replace").lower()
+    words = lower.encode().split()
+    size = len(words)
+    if not lower.isascii() and any(r.search(lower) for r, _ in _DENSE):
+        size = sum(max(1, sum(len(r.findall(w.decode())) // n for r, n in _DENSE)) for w in words)
+    return b" ".join(words), size
 
 
 def units(text: bytes, min_words: int = MIN_WORDS) -> list[tuple[int, int, bytes]]:
     """(start, end, normalised text) of each unit; a line's end includes its newline, a sentence's the blanks after it."""
-    out, start = [], 0
+    out, pieces, paragraph, start = [], [], [], 0
     for line in text.splitlines(keepends=True):
         end = start + len(line)
-        words = line.decode("utf-8", "replace").lower().encode().split()
-        if len(words) >= min_words:
-            out.append((start, end, b" ".join(words)))
+        unit, size = normalised(line)
+        if unit:
+            paragraph.append((start, end, unit, size))
+        else:
+            out += _paragraph(paragraph, min_words)
+            paragraph = []
+        if size >= min_words:
+            out.append((start, end, unit))
             ends = [m.end() for m in _SENTENCE_END.finditer(line)]
             if ends and ends[-1] != len(line):
                 ends.append(len(line))
             if len(ends) > 1:
                 at = 0
                 for e in ends:
-                    words = line[at:e].decode("utf-8", "replace").lower().encode().split()
-                    if len(words) >= min_words:
-                        out.append((start + at, start + e, b" ".join(words)))
+                    part, n = normalised(line[at:e])
+                    if n >= min_words:
+                        out.append((start + at, start + e, part))
+                    if part:
+                        pieces.append((start + at, start + e, part, n))
                     at = e
+            else:
+                pieces.append((start, end, unit, size))
+        elif unit:
+            pieces.append((start, end, unit, size))
         start = end
-    return out
+    out += _paragraph(paragraph, min_words)
+    runs = {}
+    for i, piece in enumerate(pieces):
+        if piece[3] < min_words:
+            for step in (1, -1):
+                j, n = i, piece[3]
+                while n < min_words and 0 <= j + step < len(pieces):
+                    j += step
+                    n += pieces[j][3]
+                if n >= min_words:
+                    runs[min(i, j), max(i, j)] = None
+    return out + [(pieces[i][0], pieces[j][1], b" ".join(p[2] for p in pieces[i : j + 1])) for i, j in runs]
+
+
+def _paragraph(lines: list[tuple[int, int, bytes, int]], min_words: int) -> list[tuple[int, int, bytes]]:
+    """The unit of several lines without a blank one, where they have the length together."""
+    if len(lines) < 2 or sum(n for *_, n in lines) < min_words:
+        return []
+    return [(lines[0][0], lines[-1][1], b" ".join(unit for _, _, unit, _ in lines))]
 
 
 def _key(docs: DataFrame) -> DataFrame:
@@ -81,9 +130,11 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     again = staged(every.groupBy("h1").count().where("count > 1").select("h1"), "repeated-hashes")
     shared = staged(every.join(again, "h1", "left_semi"), "shared-units")
     dropped(every)
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k", "start")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k", "start", "end")
     first = shared.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    late = shared.join(staged(first, "first-units"), ["h1", "h2"]).where(rank != F.col("first"))
+    # of units that overlap the first one in its own document, that one stays whole
+    same_doc = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("k") == F.col("first.k"))
+    late = shared.join(staged(first, "first-units"), ["h1", "h2"]).where(~(same_doc & (F.col("start") < F.col("first.end"))))
     return late.groupBy("doc_id", "k").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 

@@ -59,6 +59,23 @@ def test_substring_dedup(spark, frame, odd_texts, prose):
     assert all(r.n_removed == 0 for r in got if r.doc_id in (1, 20, 40))
 
 
+def test_substring_dedup_of_short_lines(spark, frame, prose):
+    """Verse, wrapped text, scripts without spaces and short sentences of a repeated passage go from all but the first document."""
+    words = prose(5, 60, 1).split(" ")
+    verse = "".join(" ".join(words[i : i + 3]) + ("\n\n" if i % 12 == 9 else "\n") for i in range(0, 60, 3))
+    wrap = lambda n: "".join(" ".join(words[i : i + n]) + "\n" for i in range(0, 60, n))
+    chinese = "天地玄黄宇宙洪荒日月盈昃辰宿列张。寒来暑往秋收冬藏闰余成岁律吕调阳。云腾致雨露结为霜金生丽水玉出昆冈。\n"
+    mixed = "Short one here. " + prose(6, 20, 1) + ". No more. " + prose(8, 20, 1) + ". The end.\n"
+    rest = {name: (f"x{name}1 y z\n" * 2, f"{name}2 q r\n") for name in "abcdefg"}
+    docs = [("a", verse), ("b", verse), ("c", chinese), ("d", chinese), ("e", mixed), ("f", mixed), ("g", "0\n" * 100)]
+    data = [(i, rest[n][0] + "\n" + t + "\n" + rest[n][1]) for i, (n, t) in enumerate(docs)]
+    data += [(10, wrap(5)), (11, "\n" + wrap(4)), (12, "木" * 9 + "石" * 9), (13, "木" * 9 + "石" * 9)]
+    got = {r.doc_id: r.text for r in substring_dedup.substring_dedup(spark, frame(data)).collect()}
+    assert all(got[i] == data[i][1] for i in (0, 2, 4)) and got[12] == data[9][1]
+    assert [got[i].split() for i in (1, 3, 5)] == [(rest[n][0] + rest[n][1]).split() for n in "bdf"]
+    assert got[6].count("0\n") == 8 and got[11].strip() == got[13] == ""
+
+
 # 2
 
 
