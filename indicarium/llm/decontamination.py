@@ -2,7 +2,8 @@
 
 The benchmark is bounded by ``block_bytes``: it is packed into as many
 blocks as that asks for, each with an automaton of its own, and every
-document passes all of them. One block is the usual case. A document's
+document passes all of them; a text longer than a block is cut into parts that
+overlap by a window less a word. One block is the usual case. A document's
 normalised text is scanned once per block; word numbers, and for texts
 with hits byte offsets in the original, are mapped back from the match
 positions.
@@ -19,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicarium.llm.common import small_batches, staged, utf8
+from indicarium.llm.common import in_arrow, small_batches, staged, utf8
 
 #: Words are runs of digits, lower-case a-z and bytes of other than ASCII characters.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
-#: Bytes of benchmark text in one automaton, at most.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark text in one automaton, at most; its windows hold ``size`` times that, about a trie node a byte.
+BLOCK_BYTES = 1 << 19
 
 #: The automaton that a worker built last, by the name of its scan.
 _AUTOMATA: dict[str, ahocorasick.Automaton] = {}
@@ -42,6 +43,23 @@ def windows(text: bytes, size: int) -> set[bytes]:
     return {b" ".join(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
+def parts(text: bytes, size: int, limit: int) -> list[bytes]:
+    """The text's words in parts of ``limit`` bytes at most, or one window, that have the text's windows between them."""
+    w = words(text)
+    out, first = [], 0
+    while w:
+        end = min(first + size, len(w))
+        used = sum(map(len, w[first:end])) + end - first
+        while end < len(w) and used + len(w[end]) + 1 <= limit:
+            used += len(w[end]) + 1
+            end += 1
+        out.append(b" ".join(w[first:end]))
+        if end == len(w):
+            break
+        first = end - size + 1
+    return out
+
+
 def automaton(items: list[tuple[str, bytes]], size: int) -> ahocorasick.Automaton:
     """Every window, between blanks, with its number of words and the items that hold it."""
     held: dict[bytes, set[str]] = {}
@@ -96,18 +114,33 @@ def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFram
     small_batches(spark)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("binary").alias("text")).where("text is not null")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = -(-total // block_bytes) or 1
+    blocks = [items] if total <= block_bytes else _blocks(items, size, block_bytes)
     columns = docs.columns
     out = docs
-    for b in range(n_blocks):
-        part = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b)
+    for b, part in enumerate(blocks):
         shared = spark.sparkContext.broadcast([(r.item, bytes(r.text)) for r in part.collect()])
-        out = _scanned(out, shared, size, first=b == 0, last=b == n_blocks - 1)
-        if b < n_blocks - 1:
+        out = _scanned(out, shared, size, first=b == 0, last=b == len(blocks) - 1)
+        if b < len(blocks) - 1:
             out = staged(out, "decontamination")
     return out.select(*columns, "__found")
 
 
+def _blocks(items: DataFrame, size: int, block_bytes: int) -> list[DataFrame]:
+    """The benchmark in blocks of ``block_bytes`` of text at most."""
+    def cut(batch: pa.RecordBatch) -> dict:
+        made = [(i, p) for i, t in enumerate(utf8(batch.column("text"))) for p in parts(t, size, block_bytes)]
+        return {"item": batch.column("item").take(pa.array([i for i, _ in made], pa.int64())), "text": [p for _, p in made]}
+
+    cuts = staged(in_arrow(items, cut, "item string, text binary").withColumn("at", F.monotonically_increasing_id()), "benchmark-parts")
+    ends, used = [], 0
+    for r in cuts.select("at", F.length("text").alias("n")).orderBy("at").toLocalIterator():
+        if not ends or used + r.n > block_bytes:
+            ends.append(r.at)
+            used = 0
+        used += r.n
+    return [cuts.where((F.col("at") >= a) & (F.col("at") < b) if b is not None else F.col("at") >= a) for a, b in zip(ends, [*ends[1:], None])] or [items]
+
+
 def _scanned(docs: DataFrame, shared, size: int, first: bool, last: bool) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string

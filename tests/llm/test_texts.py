@@ -117,6 +117,22 @@ def test_decontamination(spark, frame, odd_texts, prose, block_bytes):
     assert decontamination.report(spark, docs, empty).where("contaminated").count() == 0
 
 
+def test_blocks_of_the_benchmark_bound_the_automata(spark, frame, prose):
+    """No automaton gets more text than a block's, not even of one long item, and its parts have the item's windows."""
+    long = prose(72, 400).encode()
+    made = decontamination.parts(long, 13, 300)
+    assert max(map(len, made)) <= 300 and set().union(*(decontamination.windows(p, 13) for p in made)) == decontamination.windows(long, 13)
+    assert decontamination.parts(b"a b", 13, 1) == [b"a b"] and decontamination.parts(b" .", 13, 9) == []
+    assert 13 * decontamination.BLOCK_BYTES <= 16 << 20
+    bench = spark.createDataFrame([(1, long.decode()), (2, "Short, item"), (3, prose(73, 30))], "item_id long, text string")
+    items = bench.selectExpr("cast(item_id as string) item", "cast(text as binary) text")
+    blocks = [b.collect() for b in decontamination._blocks(items, 13, 600)]
+    assert len(blocks) > 3 and max(sum(len(r.text) for r in b) for b in blocks) <= 600
+    docs = frame([(1, prose(74, 30) + " " + long.decode()[700:1100]), (2, prose(75, 30)), (3, "a short item"), (4, prose(73, 30))])
+    got = [sorted(map(tuple, decontamination.find_contamination(spark, docs, bench, 13, n).select("doc_id", "__found").collect())) for n in (600, 1 << 20)]
+    assert got[0] == got[1]
+
+
 # 4
 
 
