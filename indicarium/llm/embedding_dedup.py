@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -182,8 +183,8 @@ def embedding_components(spark: SparkSession, vectors: DataFrame, threshold: flo
     """Per vector: vec_id, n_links, component_id (smallest vec_id reachable, itself included), kept.
 
     Vectors that are null, zero, or hold null or non-finite components link with
-    nothing, and so do vectors of another length than the most frequent (of
-    equally frequent ones the longest). Repeated rows link with each other. A null vec_id is a
+    nothing; vectors link with those of their own length, and an index is made
+    for each length. Repeated rows link with each other. A null vec_id is a
     member of its component but never its name. An empty table gives no row.
     """
     shipped(spark)
@@ -192,20 +193,19 @@ def embedding_components(spark: SparkSession, vectors: DataFrame, threshold: flo
     fit_for_use = F.coalesce(finite & F.exists("embedding", lambda e: e != 0), F.lit(False))
     node = F.concat(F.lower(F.hex(F.xxhash64("embedding"))), F.lit("-"), F.lower(F.hex(F.xxhash64(F.lit(7), F.reverse("embedding"), F.size("embedding")))))
     rows = rows.withColumn("dims", F.when(fit_for_use, F.size("embedding")))
-    most = rows.where("dims is not null").groupBy("dims").count().orderBy(F.desc("count"), F.desc("dims")).first()
-    rows = rows.withColumn("node", F.when(F.col("dims") == (most.dims if most else -1), node))
+    rows = rows.withColumn("node", F.when(F.col("dims").isNotNull(), F.concat(node, F.lit("-"), F.col("dims").cast("string"))))
     alone = rows.where("node is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if most is None:
-        return alone
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("many"), F.min("embedding").alias("embedding"))
-    nodes = staged(nodes, "nodes")
-    n = nodes.count()
+    nodes = staged(nodes.withColumn("dims", F.size("embedding")), "nodes")
+    # a row for each length that vectors have
+    lengths = {r.dims: r["count"] for r in nodes.groupBy("dims").count().orderBy("dims").collect()}
+    if not lengths:
+        return alone
     # single-precision vectors are carried as such; all arithmetic is in double precision
     kind = "f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "f8"
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(max(1, min(SAMPLE, (32 << 20) // (8 * most.dims)))).select("embedding")
-    raw = in_arrow(sample, lambda batch: {"vec": _stored(batch.column("embedding"), kind)}, "vec binary").collect()
-    model = fit(_unit([bytes(r.vec) for r in raw], kind)[1], n)
-    found = _links(spark, nodes, model, threshold, margin, kind)
+    # a node that is alone in its length has no other to link with
+    found = [_links_of_length(spark, nodes.where(F.col("dims") == d).drop("dims"), d, n, threshold, margin, kind) for d, n in lengths.items() if n > 1]
+    found = reduce(DataFrame.union, found or [spark.createDataFrame([], "a string, b string, n long")])
     degree = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = components(found.where("b is not null").select("a", "b"))
     named = nodes.select("node", "least", "many").join(degree, "node", "left").join(roots, "node", "left")
@@ -219,6 +219,14 @@ def _stored(column: pa.Array, kind: str) -> list[bytes]:
     return [np.array(v, kind).tobytes() for v in column.to_pylist()]
 
 
+def _links_of_length(spark: SparkSession, nodes: DataFrame, dims: int, n: int, threshold: float, margin: float, kind: str) -> DataFrame:
+    """``_links`` of the ``n`` nodes that have ``dims`` components, by an index of their own."""
+    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(max(1, min(SAMPLE, (32 << 20) // (8 * dims)))).select("embedding")
+    raw = in_arrow(sample, lambda batch: {"vec": _stored(batch.column("embedding"), kind)}, "vec binary").collect()
+    model = fit(_unit([bytes(r.vec) for r in raw], kind)[1], n)
+    return _links(spark, nodes, model, threshold, margin, kind)
+
+
 def _links(spark: SparkSession, nodes: DataFrame, model: Quantiser, threshold: float, margin: float, kind: str) -> DataFrame:
     """Rows (a, null, n): n links counted for node a; rows (a, b, 0): a link of a spanning forest."""
     shared = spark.sparkContext.broadcast(model)

@@ -62,6 +62,17 @@ def test_embedding_groups_that_own_centres(spark, monkeypatch):
     assert {got[i].component_id for i in range(400, 700)} == {400}
 
 
+def test_embedding_lengths(spark):
+    """Vectors of each length link among themselves, and with no other length."""
+    r = np.random.default_rng(4)
+    x = {d: r.normal(size=(n, d)) for d, n in ((8, 30), (5, 9), (1, 2), (3, 1))}
+    data = [v for d in x for v in (*x[d], *(x[d] * 2), *(x[d][:3] + 1e-3))]
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    got = {g.vec_id: g.n_links for g in embedding_dedup.embedding_components(spark, df).collect()}
+    near = lambda a, b: len(a) == len(b) and a @ b >= 0.9 * np.sqrt((a @ a) * (b @ b)) - 1e-12
+    assert [got[i] for i in range(len(data))] == [sum(near(a, b) for b in data) - 1 for a in data]
+
+
 def test_embedding_tables_without_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.embedding_components(spark, empty).count() == 0
