@@ -6,7 +6,10 @@ or not, are the unlabelled. The risk of a logistic model is
 hidden in the unlabelled part are subtracted by the class prior, and where
 that turns negative the step goes the other way, as in the published
 estimator. Features are a document's words and their first 3 to 6
-characters, those that tell positives from unlabelled best.
+characters, those that tell positives from unlabelled best. Of long words,
+which may be joined ones, all strings of 3 to 6 characters count as such
+beginnings, and of words in other than Latin letters, which may be whole
+sentences, all of 2 to 6.
 
 Both samples are bounded (``MAX_TOXIC``, ``MAX_UNLABELLED``: the documents
 of lowest hashed doc_id); the prior is the rate over all labelled rows, and
@@ -15,6 +18,7 @@ scores cover all documents and whole texts.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +38,11 @@ THRESHOLD = 0.7
 #: Words whose features a worker remembers.
 MEMORY = 1 << 18
 
+#: Characters that a word has at most before it counts as long.
+LONG = 12
+#: Letters of other than Latin script (and not quotes, dashes and the like).
+_OTHER_LETTERS = re.compile("[\u0370-\u1dff\u1f00-\u1fff\u2c00-\u2c5f\u2c80-\u2dff\u3005-\u3007\u3041-\ua71f\ua800-\uab2f\uab70-\ufaff\ufb13-\ufdff\ufe70-\ufefc\uff66-\uffdc\U00010000-\U0001cfff\U0001e000-\U0001efff\U00020000-\U0003ffff]")
+
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
@@ -52,6 +61,9 @@ def words(text: bytes) -> set[bytes]:
 
 def grams(word: bytes) -> set[str]:
     w = word.decode("utf-8", "replace")
+    other = not word.isascii() and _OTHER_LETTERS.search(w)
+    if other or len(w) > LONG:
+        return {w + "$", *(w[i : i + k] for k in range(2 if other else 3, 7) for i in range(len(w) - k + 1))}
     return {w + "$", *(w[:k] for k in (3, 4, 5, 6) if len(w) >= k)}
 
 

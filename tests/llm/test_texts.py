@@ -329,6 +329,19 @@ def test_toxicity(spark, frame, odd_texts, prose):
     assert toxicity.toxicity(spark, docs, marks.limit(0)).where("score <> 0").count() == 0
 
 
+def test_toxicity_inside_words(spark, frame, prose):
+    """Toxic parts behind the beginning of a joined word or of a sentence without spaces are seen."""
+    r = random.Random(9)
+    joined = lambda bad: "".join(r.choices("abcdefghij", k=9)) + ("vileworm" if bad else "mildbird") + "".join(r.choices("abcdefghij", k=4))
+    signs = lambda bad: "".join(r.choices("天地玄黄宇宙洪荒日月盈昃", k=9)) + ("毒虫" if bad else "花鸟") + "".join(r.choices("天地玄黄宇宙洪荒日月盈昃", k=4))
+    for part in (joined, signs):
+        data = [(i, f"{prose(i, 20)} {part(i % 5 == 0)}") for i in range(400)]
+        labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id long, toxic int")
+        held = [g for g in toxicity.toxicity(spark, frame(data), labels).collect() if g.held_out]
+        assert sum(g.predicted == int(g.doc_id % 5 == 0) for g in held) >= 0.95 * len(held)
+    assert toxicity.grams("Élan".encode()) == {"Élan$", "Éla", "Élan"} and toxicity.grams("“x”".encode()) == {"“x”$", "“x”"}
+
+
 def test_held_out_labels_do_not_matter(spark, frame, prose):
     data = [(i, prose(i, 40) + (" vileworm" if i % 5 == 0 else "")) for i in range(200)]
     labels = [(i, int(i % 5 == 0)) for i in range(200)]
