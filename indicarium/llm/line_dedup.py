@@ -64,11 +64,21 @@ def _templates(lines: DataFrame) -> DataFrame:
     return fixed.groupBy("n", "head").agg(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["token"]).alias("template"))
 
 
-def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """__k1, __k2 (a document's content key), drop: numbers of the lines to leave out."""
+def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, behind_head: bool = False) -> DataFrame:
+    """__k1, __k2 (a document's content key), drop: numbers of the lines to leave out.
+
+    With ``behind_head`` a line must also be as similar in the tokens behind its
+    first ``depth``, which all lines of a leaf share.
+    """
     lines = _candidates(docs, depth, min_tokens, min_docs)
-    same = F.aggregate(F.zip_with("words", "template", lambda a, b: F.coalesce(((a == b) & (b != VARIABLE)).cast("int"), F.lit(0))), F.lit(0), lambda s, x: s + x)
-    follow = staged(lines.join(staged(_templates(lines), "templates"), ["n", "head"]).where(same >= similarity * F.col("n")).select("__k1", "__k2", "doc_id", "at", "n", "head"), "template-lines")
+    equal = F.zip_with("words", "template", lambda a, b: F.coalesce(((a == b) & (b != VARIABLE)).cast("int"), F.lit(0)))
+    total = lambda flags: F.aggregate(flags, F.lit(0), lambda s, x: s + x)
+    alike = total(equal) >= similarity * F.col("n")
+    if behind_head:
+        # equal there as masked: a digit on both sides is no difference
+        rest = F.slice(F.zip_with("words", "template", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))), depth + 1, F.greatest(F.col("n") - depth, F.lit(0)))
+        alike = alike & (total(rest) >= similarity * (F.col("n") - depth))
+    follow = staged(lines.join(staged(_templates(lines), "templates"), ["n", "head"]).where(alike).select("__k1", "__k2", "doc_id", "at", "n", "head"), "template-lines")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__k1", "__k2")
     first = follow.groupBy("n", "head", "__k1", "__k2").agg(F.first("doc_id").alias("doc_id")).groupBy("n", "head").agg(F.count(F.lit(1)).alias("docs"), F.min(rank).alias("first")).where(F.col("docs") >= min_docs)
     late = follow.join(staged(first.drop("docs"), "first-lines"), ["n", "head"]).where((F.col("__k1") != F.col("first.__k1")) | (F.col("__k2") != F.col("first.__k2")))
@@ -99,8 +109,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, **limits) -> DataFrame:
 
 
 def drop_templates(spark: SparkSession, docs: DataFrame, **limits) -> DataFrame:
-    """The documents with their columns, ``text`` without the dropped lines and ``n_chars`` counted anew where lines went."""
-    out = without_templates(spark, docs, **limits)
+    """The documents with their columns, ``text`` without the dropped lines and ``n_chars`` counted anew where lines went.
+
+    Lines must be similar behind their heads too; ``line_dedup`` counts the head
+    with the rest, as its SQL does.
+    """
+    out = without_templates(spark, docs, behind_head=True, **limits)
     new = {"text": F.col("__kept")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -388,6 +388,14 @@ def test_line_dedup(spark, frame, odd_texts, prose):
     assert out.where("n_chars <> length(text)").count() == 0
 
 
+def test_lines_that_share_only_a_head_stay(spark, frame):
+    """In the pipeline short lines of one opening with other words behind it are no template; lines equal behind it are."""
+    ends = ["river", "stone", "cloud", "field", "hill", "bird", "tree", "leaf", "root", "seed", "wind", "sun"]
+    data = [(i, f"We went to the {w} yesterday{w}\nAll rights reserved by the owner\nPage of the book 1{i} 2{i}") for i, w in enumerate(ends)]
+    got = {r.doc_id: r.text for r in line_dedup.drop_templates(spark, frame(data)).collect()}
+    assert all(got[i] == (t if i == 0 else t.split("\n")[0]) for i, t in data)
+
+
 def test_empty_tables(spark, frame):
     docs = frame([], extra=True)
     bench = spark.createDataFrame([], "item_id long, text string")
