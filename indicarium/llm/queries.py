@@ -11,6 +11,7 @@ from indicarium.llm.common import table
 from indicarium.llm.decontamination import report
 from indicarium.llm.embedding_dedup import embedding_components
 from indicarium.llm.line_dedup import line_dedup
+from indicarium.llm.line_quality import quality_report
 from indicarium.llm.packing import pack
 from indicarium.llm.simhash import simhash_components
 from indicarium.llm.substring_dedup import substring_dedup
@@ -60,8 +61,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(spark, table(spark, sf_dir, "documents")).drop("text")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op5_suffix_dedup, op6_packing, op7_simhash, op8_embedding_dedup, op9_toxicity, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op5_suffix_dedup, op6_packing, op7_simhash, op8_embedding_dedup, op9_toxicity, op10_line_dedup, op13_quality_rules)}
 
 
 OP2_SQL = r"""
