@@ -9,7 +9,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF0001
+from tables import SF0001
 
 FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|Exchange SinglePartition")
 

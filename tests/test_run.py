@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import SF0001
+from tables import SF0001
 from indicarium.plans.pipelines import HIGHER_EDUCATION_CODES, P4_LISTS, p4_higher_education
 from indicarium.plans.run import SOURCES, indicator_dim, read_dimension, resolve_request, run_etl
 
