@@ -38,7 +38,7 @@ _BLANKS = " \t\n\x0b\f\r"
 _MARK = r"[!-/:-@\[-`{-~]"
 _SYMBOL = "[#*$%&|<>]"
 _SENTENCE_MARK = "[.,;:!?\u2026\u3002\uff0c\uff01\uff1f\u060c\u061f\u0964]"
-_SEPARATOR = "(?:^|[ \\t])(?:[|>/*\u00b7\u2022\u00bb\u203a\u2192-]{1,2})(?=[ \\t\\r]|$)"
+_SEPARATOR = "(?:^|[ \\t\\x0b\\f\\r])[|>/*·•»›→-]{1,2}(?=[ \\t\\x0b\\f\\r]|\\z)"
 
 #: Page furniture, lower case; a line of up to ``FURNITURE_WORDS`` words that holds one of them fails.
 FURNITURE = ["cookie", "javascript", "privacy policy", "terms of use", "terms of service", "all rights reserved", "click here",

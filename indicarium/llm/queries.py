@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from indicarium.llm.common import table
 from indicarium.llm.decontamination import report
 from indicarium.llm.embedding_dedup import embedding_components
+from indicarium.llm.lexical_search import lexical_search
 from indicarium.llm.line_dedup import line_dedup
-from indicarium.llm.line_quality import quality_report
+from indicarium.llm.line_quality import FURNITURE, quality_report
 from indicarium.llm.packing import pack
 from indicarium.llm.simhash import simhash_components
+from indicarium.llm.spelling_variants import spelling_variants
 from indicarium.llm.substring_dedup import substring_dedup
 from indicarium.llm.suffix_dedup import suffix_dedup
 from indicarium.llm.token_counts import token_counts
@@ -61,12 +63,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(spark, table(spark, sf_dir, "documents")).drop("text")
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op5_suffix_dedup, op6_packing, op7_simhash, op8_embedding_dedup, op9_toxicity, op10_line_dedup, op13_quality_rules)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_warc, op4_token_counts, op5_suffix_dedup, op6_packing, op7_simhash, op8_embedding_dedup, op9_toxicity, op10_line_dedup, op11_lexical_search, op12_spelling_variants, op13_quality_rules)}
 
 
 OP2_SQL = r"""
@@ -132,5 +142,58 @@ SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
 
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+                                 lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w
+           FROM documents),
+     b AS (SELECT row_number() OVER () AS i, item_id,
+                  list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+                                               lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS w
+           FROM benchmark),
+     c AS (SELECT count(*) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+     q AS (SELECT i, item_id, unnest(w) AS t FROM b),
+     tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+     wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY t, nd),
+     s AS (SELECT i, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(d.w) * nd) // l)))) AS BIGINT) AS score
+           FROM (SELECT i, t FROM q) JOIN tf USING (t) JOIN wt USING (t) JOIN (SELECT r, w FROM d) d USING (r), c GROUP BY i, r),
+     k AS (SELECT i, r, score, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank
+           FROM s JOIN (SELECT r, doc_id FROM d) USING (r) WHERE score > 0)
+SELECT b.item_id, k.rank, d.doc_id, k.score FROM k JOIN b USING (i) JOIN d USING (r) WHERE k.rank <= 10
+"""
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+     ln AS (SELECT r, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM d),
+     lw AS (SELECT r, pos, line, list_filter(regexp_split_to_array(line, '[ \t\x0B\f\r]+'), lambda x: x <> '') AS w FROM ln),
+     m AS (SELECT r, pos, line, len(w) AS n, CAST(length(array_to_string(w, '')) AS BIGINT) AS chars, lower(line) AS low,
+                  row_number() OVER (PARTITION BY r, line ORDER BY pos) > 1 AS late,
+                  len(regexp_extract_all(line, '[!-/:-@\[-`{-~]')) AS marks,
+                  len(list_filter(w, lambda x: regexp_full_match(x, '[|>/*\x{b7}\x{2022}\x{bb}\x{203a}\x{2192}-]{1,2}'))) AS seps
+           FROM lw WHERE len(w) > 0),
+     f AS (SELECT r, chars, late,
+                  marks * 100 > chars * 15 OR (n >= 20 AND NOT regexp_matches(line, '[.,;:!?\x{2026}\x{3002}\x{ff0c}\x{ff01}\x{ff1f}\x{60c}\x{61f}\x{964}]')) AS punctuation,
+                  seps >= 3 AND n <= 5 * seps AS navigation,
+                  late OR (n <= 30 AND len(list_filter([@FURNITURE@], lambda x: contains(low, x))) > 0) AS boilerplate
+           FROM m),
+     l AS (SELECT r, count(*) AS n_lines, count(*) FILTER (late) AS n_dup_lines, count(*) FILTER (punctuation) AS n_punctuation,
+                  count(*) FILTER (navigation) AS n_navigation, count(*) FILTER (boilerplate) AS n_boilerplate,
+                  CAST(coalesce(sum(chars) FILTER (punctuation OR navigation OR boilerplate), 0) AS BIGINT) AS lost_chars
+           FROM f GROUP BY r),
+     w AS (SELECT r, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM d),
+     win AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i:i + 7]) AS c
+             FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+     rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM win WHERE c > 1) GROUP BY r),
+     q AS (SELECT doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(array_to_string(w.w, '')) AS BIGINT) AS word_chars,
+                  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                  coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_punctuation, 0) AS n_punctuation,
+                  coalesce(n_navigation, 0) AS n_navigation, coalesce(n_boilerplate, 0) AS n_boilerplate, coalesce(lost_chars, 0) AS lost_chars
+           FROM d JOIN w USING (r) LEFT JOIN l USING (r) LEFT JOIN rep USING (r)),
+     v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM q)
+SELECT *, NOT base_failed AND 100 * lost_chars <= 50 * word_chars AS kept FROM v
+""".replace("@FURNITURE@", ", ".join(f"'{x}'" for x in FURNITURE))
+
+
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL, "op10_line_dedup": OP10_SQL, "op11_lexical_search": OP11_SQL, "op13_quality_rules": OP13_SQL}
