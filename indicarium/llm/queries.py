@@ -154,8 +154,8 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id,
      c AS (SELECT count(*) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
      q AS (SELECT i, item_id, unnest(w) AS t FROM b),
      tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
-     wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY t, nd),
-     s AS (SELECT i, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(d.w) * nd) // l)))) AS BIGINT) AS score
+     wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, c GROUP BY t, nd),
+     s AS (SELECT i, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(d.w) * nd) // l)))) AS BIGINT) AS score
            FROM (SELECT i, t FROM q) JOIN tf USING (t) JOIN wt USING (t) JOIN (SELECT r, w FROM d) d USING (r), c GROUP BY i, r),
      k AS (SELECT i, r, score, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank
            FROM s JOIN (SELECT r, doc_id FROM d) USING (r) WHERE score > 0)
