@@ -164,7 +164,7 @@ def base(text):
 
 def quality_docs(prose):
     line = "the rain and the river and the stone and the field, said one.\n"
-    return [(20, line * 3 + prose(8, 200)), (21, line * 40), (22, "\n\n" + prose(9, 90) + "\n \n"), (23, "Home | News | Sport | Mail | Shop | About\n" * 2 + prose(1, 120)), (24, "A!! B!! C!! D!! " * 12),
+    return [(20, line * 3 + prose(8, 200)), (21, line * 40), (22, "\n\n" + prose(9, 90, lines=6) + "\n \n"), (23, "Home | News | Sport | Mail | Shop | About\n" * 2 + prose(1, 120)), (24, "A!! B!! C!! D!! " * 12),
             (25, " ".join("word" + chr(97 + i % 26) + chr(97 + i // 26) for i in range(60))), (26, prose(5, 40) + "\nWe use cookies. All rights reserved.\n" + prose(6, 40) + "\n» a · b » c · d › e"), (27, prose(2, 9)), (28, prose(2, 40) + " " + prose(2, 40)),
             (29, "#*$ %& |<> " * 30), (30, prose(7, 6000, lines=400) * 2), (31, "x " * 50000), (32, "İİ ÀÉ 漢字 。\x0bq\x0cr\rs\x1ct " * 8)]
 
