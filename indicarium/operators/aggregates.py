@@ -103,8 +103,3 @@ def collection_type(df: DataFrame, keys: list[str], tipo: str, order: str,
     # the last position of each type by a hash aggregate; then one row of a few types is chosen
     last = df.groupBy(*keys, t.alias("__t")).agg(F.max(o).alias("__o"))
     return last.groupBy(*keys).agg(F.max_by("__t", "__o").alias(out))
-
-
-def row_counts(df: DataFrame, keys: list[str], out: str = "linhas") -> DataFrame:
-    """Row counts per key."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicarium.operators.joins import bounded_broadcast
 
 
 def in_list(df: DataFrame, col: str, values) -> DataFrame:
@@ -19,7 +18,7 @@ def in_list(df: DataFrame, col: str, values) -> DataFrame:
 def in_catalogue(df: DataFrame, col: str, catalogue: DataFrame, cat_col: str) -> DataFrame:
     """D1 (catalogue-driven): keep rows whose ``col`` appears in a catalogue."""
     cat = catalogue.select(F.col(cat_col).alias("__k")).distinct()
-    return df.join(bounded_broadcast(cat), F.col(col) == F.col("__k"), "left_semi")
+    return df.join(cat, F.col(col) == F.col("__k"), "left_semi")
 
 
 def in_lists(df: DataFrame, lists: dict[str, list]) -> DataFrame:

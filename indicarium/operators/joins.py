@@ -1,27 +1,33 @@
 """Joins (2.F): key resolution against dimensions, catalogue joins,
 zero fill and request filtering.
 
-Only frames that the driver built carry a broadcast hint; for every other
-side Spark and AQE decide from sizes in bytes.
+Only frames that the driver built carry a broadcast hint (``literal_frame``); for
+every other side Spark and AQE decide from sizes in bytes.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicarium import schema as S
 from indicarium.functions.numbers import seven_digit
 from indicarium.functions.text import name_key, text_key
 
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a frame built on the driver (a literal catalogue or
-    request), which lives in driver memory already. Any other side gets no
-    hint: Spark decides from its size in bytes, in the plan or, by AQE, from
-    what the shuffle wrote."""
-    return F.broadcast(df) if df.isLocal() else df
+
+#: Rows of a driver-built frame up to which it carries a broadcast hint.
+LITERAL_ROWS = 20_000
+
+
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of rows that the driver holds (a catalogue, a request, years of
+    partitions), hinted to be broadcast: joins with it shuffle nothing. Its
+    size is known here and nowhere later, so the hint is given here, up to
+    ``LITERAL_ROWS``; a larger one is an ordinary side of a join."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= LITERAL_ROWS else df
 
 
 def municipality_code6(municipalities: DataFrame) -> DataFrame:
@@ -36,7 +42,7 @@ def upgrade_city_code(df: DataFrame, code_col: str, municipalities: DataFrame) -
     """codes that already have seven digits pass through; others are
     six-digit codes upgraded by a left join on the first six digits of
     the reference list (unmatched -> null). Checked per row."""
-    dim = bounded_broadcast(municipality_code6(municipalities))
+    dim = municipality_code6(municipalities)
     code = F.col(code_col).cast("bigint")
     joined = df.join(dim, code == F.col("__code6"), "left")
     return (joined.withColumn(code_col, F.when(seven_digit(code), code).otherwise(F.col("__code7")))
@@ -52,7 +58,7 @@ def resolve_by_name_state(df: DataFrame, name_col: str, uf_col: str, municipalit
     dim = municipalities.select(key("nome_municipio").alias("__nk"),
                                 F.col("sigla_uf").alias("__uf"), S.CITY_CODE_COL)
     keyed = df.withColumn("__nk_l", key(name_col))
-    out = keyed.join(bounded_broadcast(dim),
+    out = keyed.join(dim,
                      (F.col("__nk_l") == F.col("__nk")) & (F.col(uf_col) == F.col("__uf")), "inner")
     return out.drop("__nk_l", "__nk", "__uf")
 
@@ -69,7 +75,7 @@ def unique_lookup(df: DataFrame, keys: dict[str, Column], lookup: DataFrame,
     resolved = F.when(F.col("__n") == 1, F.col("__v"))
     left = df.withColumns({f"__l_{n}": keys[n] for n in names})
     cond = reduce(lambda a, b: a & b, [F.col(f"__l_{n}") == F.col(f"__k_{n}") for n in names])
-    out = left.join(bounded_broadcast(per_key), cond, "left")
+    out = left.join(per_key, cond, "left")
     return (out.withColumn(out_col, F.coalesce(resolved, F.lit(missing)))
                .drop(*[f"__l_{n}" for n in names], *[f"__k_{n}" for n in names], "__n", "__v"))
 
@@ -114,7 +120,7 @@ def to_surrogate(df: DataFrame, dim: DataFrame, natural: str = S.CITY_CODE_COL,
     """replace a natural key with the dimension's surrogate key (left
     join; unmatched -> null)."""
     d = dim.select(F.col(natural).alias("__nat"), F.col(surrogate).alias("__sur"))
-    out = df.join(bounded_broadcast(d), F.col(natural) == F.col("__nat"), "left")
+    out = df.join(d, F.col(natural) == F.col("__nat"), "left")
     return out.withColumn(surrogate, F.col("__sur")).drop("__nat", "__sur", natural)
 
 
@@ -124,17 +130,17 @@ def indicator_lookup(df: DataFrame, name_col: str, indicator_dim: DataFrame) ->
     dim = indicator_dim.select(name_key("nome_dado").alias("__nk"), "dado_id", "topico",
                                "anos_serie_historica")
     keyed = df.withColumn("__nk_l", name_key(name_col))
-    dimb = bounded_broadcast(dim)
-    matched = keyed.join(dimb, F.col("__nk_l") == F.col("__nk"), "inner").drop("__nk_l", "__nk")
+    matched = keyed.join(dim, F.col("__nk_l") == F.col("__nk"), "inner").drop("__nk_l", "__nk")
     unmatched = (keyed.select(F.col(name_col), F.col("__nk_l")).distinct()
-                      .join(dimb, F.col("__nk_l") == F.col("__nk"), "left_anti").drop("__nk_l"))
+                      .join(dim, F.col("__nk_l") == F.col("__nk"), "left_anti").drop("__nk_l"))
     return matched, unmatched
 
 
 def catalogue_join(df: DataFrame, catalogue: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """F8: attach catalogue attributes (topic, type) by (year, code) or
-    (variable, classification)."""
-    return df.join(bounded_broadcast(catalogue), keys, how)
+    (variable, classification). A catalogue that the driver built comes with
+    its hint (``literal_frame``), through the selections made of it."""
+    return df.join(catalogue, keys, how)
 
 
 def zero_fill_sum(df: DataFrame, keys: list[str], keep: Column, measure: str,
@@ -157,9 +163,9 @@ def request_filter(df: DataFrame, col: str, request: list[str] | None,
     empty = spark.createDataFrame([], "name string")
     if not req or all_token in norm:
         return df, empty
-    req_df = spark.createDataFrame(list(zip(req, norm)), "name string, __rk string")
+    req_df = literal_frame(spark, list(zip(req, norm)), "name string, __rk string")
     keyed = df.withColumn("__dk", name_key(col))
-    kept = keyed.join(F.broadcast(req_df.select("__rk")), F.col("__dk") == F.col("__rk"),
+    kept = keyed.join(req_df.select("__rk"), F.col("__dk") == F.col("__rk"),
                       "left_semi").drop("__dk")
     present = keyed.select("__dk").distinct()
     unknown = req_df.join(present, F.col("__rk") == F.col("__dk"), "left_anti").select("name")

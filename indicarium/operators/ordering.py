@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicarium import schema as S
+from indicarium.session import materialize
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -19,22 +20,24 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def fill_missing_year(df: DataFrame, year_col: str, order: str, partition: list[str] | None = None,
-                      out: str | None = None, chunk: int | None = 1 << 16) -> DataFrame:
+                      out: str | None = None, chunk: int | None = 1 << 20) -> DataFrame:
     """A missing year is the last known year + 1; the last known year
     stays the same across consecutive gaps. A leading gap has no
     predecessor and stays null.
 
     A window over a whole source would put a hot source (a third of all
     rows) in one task. With chunking the fill is a parallel prefix scan:
-    1. per (source, chunk) the last known year (an aggregate, partial on
+    1. the rows are dealt out by ranges of (source, order) and written, each
+       with its range: about ``chunk`` rows by rank, whatever the units and
+       gaps of ``order`` are (Spark samples the bounds);
+    2. per (source, range) the last known year (an aggregate, partial on
        the map side);
-    2. per chunk the carry-in: the last known year of earlier chunks (a
-       window over one small row per chunk);
-    3. inside each chunk a window bounded by the chunk, falling back to
-       the carry-in.
-    ``chunk`` is a width in units of the integer ``order`` column; it does
-    not change the result, only how many rows a task holds. ``None`` uses one
-    window per source. A null source is a source too.
+    3. per range the carry-in: the last known year of earlier ranges (a
+       window over one small row for each range that a source reaches into);
+    4. inside each (source, range) a window, falling back to the carry-in.
+    ``chunk`` does not change the result, only how many rows a task holds.
+    ``None`` uses one window per source. A null source is a source too. Rows
+    of one source with equal ``order`` are in one range and in no order.
     """
     part = list(partition or [])
     res = out or year_col
@@ -42,19 +45,21 @@ def fill_missing_year(df: DataFrame, year_col: str, order: str, partition: list[
     if not chunk:
         w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(res, F.coalesce(y, F.last(y, ignorenulls=True).over(w) + 1))
-    keyed = df.withColumn("__chunk", F.floor(o / chunk))
-    # one row per chunk: its last known year (null when it has none)
-    per_chunk = keyed.groupBy(*part, "__chunk").agg(
+    ranges = df.select(order).count() // chunk + 2
+    # written, as ranges are sampled anew whenever the plan runs
+    keyed = materialize(df.repartitionByRange(ranges, *part, order).withColumn("__range", F.spark_partition_id()))
+    # one row per (source, range): its last known year (null when it has none)
+    per_range = keyed.groupBy(*part, "__range").agg(
         F.max_by(y, F.when(y.isNotNull(), o)).alias("__last"))
-    wc = Window.partitionBy(*part).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    names = [*part, "__chunk"]
-    carry = per_chunk.select(*[F.col(p).alias(f"__s_{p}") for p in names], F.last("__last", ignorenulls=True).over(wc).alias("__in"))
+    wc = Window.partitionBy(*part).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    names = [*part, "__range"]
+    carry = per_range.select(*[F.col(p).alias(f"__s_{p}") for p in names], F.last("__last", ignorenulls=True).over(wc).alias("__in"))
     same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__s_{p}")) for p in names])
-    wl = Window.partitionBy(*part, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    wl = Window.partitionBy(*part, "__range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = keyed.withColumn("__prev", F.last(y, ignorenulls=True).over(wl))
     filled = local.join(carry, same, "left").drop(*[f"__s_{p}" for p in names])
     prev = F.coalesce(F.col("__prev"), F.col("__in"))
-    return filled.withColumn(res, F.coalesce(y, prev + 1)).drop("__chunk", "__prev", "__in")
+    return filled.withColumn(res, F.coalesce(y, prev + 1)).drop("__range", "__prev", "__in")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:

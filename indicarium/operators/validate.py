@@ -66,6 +66,13 @@ def assert_contract(df: DataFrame) -> None:
         raise ContractError(f"fact contract violated: {bad}")
 
 
+def _in_place(test: Column) -> Column:
+    """The test, tied to its place in the plan. A filter that raises must not be
+    moved below a filter or join before it: it would fail on rows that those
+    take out. Spark moves no expression that depends on the row's place."""
+    return test & (F.monotonically_increasing_id() >= 0)
+
+
 def enforce_contract(df: DataFrame) -> DataFrame:
     """K1 inline: the same rules as a lazy check; a broken row fails the
     job when the data is written, without a separate pass."""
@@ -75,7 +82,7 @@ def enforce_contract(df: DataFrame) -> DataFrame:
     require_types(df)
     bad = reduce(lambda a, b: a | b, _rules().values())
     # a filter (not a dropped column) so that column pruning cannot remove the check
-    guard = F.when(bad, F.raise_error(F.lit("fact contract violated")).cast("boolean")).otherwise(F.lit(True))
+    guard = F.when(_in_place(bad), F.raise_error(F.lit("fact contract violated")).cast("boolean")).otherwise(F.lit(True))
     return df.filter(guard).select(*S.FACT_COLUMNS)
 
 
@@ -85,9 +92,9 @@ def require_rows(df: DataFrame) -> None:
         raise ContractError("empty load")
 
 
-def require_columns(df: DataFrame, columns: list[str]) -> None:
-    """K3: fail on a column-count / name mismatch."""
-    if list(df.columns) != list(columns):
+def require_columns(df: DataFrame, columns: list[str], ordered: bool = True) -> None:
+    """K3: fail on a column-count / name mismatch (``ordered``: or another order)."""
+    if (list if ordered else sorted)(df.columns) != (list if ordered else sorted)(columns):
         raise ContractError(f"columns {df.columns} != {columns}")
 
 
@@ -101,7 +108,7 @@ def enforce_fields(df: DataFrame, fields: list[str], what: str = "required field
     """K4 inline: fail the job on a row missing any required field (checked
     while the rows flow, no extra pass)."""
     any_null = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in fields])
-    guard = F.when(any_null, F.raise_error(F.lit(what)).cast("boolean")).otherwise(F.lit(True))
+    guard = F.when(_in_place(any_null), F.raise_error(F.lit(what)).cast("boolean")).otherwise(F.lit(True))
     return df.filter(guard)
 
 

@@ -38,27 +38,30 @@ P12_CATALOGUE = [("1", "Receita urgente", "Financas"), ("2", "Receita alta", "Fi
 P12_REQUIRED = ["variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL]
 
 
-def p12_aggregates(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
+def p12_aggregates(rows: DataFrame, catalogue: DataFrame, by: list[str] | None = None) -> DataFrame:
     """A5 rows -> H3 -> E9 -> E7 -> E8 -> G5 -> F8 -> H5 -> K1.
 
     Results of one variable are added by key (city, year), null when any
     of them is null; the type comes from the unit text (one per variable).
+    ``by`` names what tells variables apart, in the rows and in the catalogue.
     A text that is no number fails the job; text-typed variables are
     ``p12_texts``."""
+    by = by or ["variavel_id"]
+    required = list(dict.fromkeys([*by, *P12_REQUIRED]))
     # K4: every data point must carry its variable, unit, locality and year
-    rows = K.enforce_fields(rows, P12_REQUIRED, "API answer missing a required field")
+    rows = K.enforce_fields(rows, required, "API answer missing a required field")
     s = N.special_code("raw")
     u = N.unit_inference("unidade")
     value = F.when(s["tipo_dado"].isNotNull(), s["valor"].cast("double")).otherwise(
         N.scale_by_unit("raw", u["multiplicador"], u["tipo_dado"]).cast("double"))
     # a row without a required field stays until the check above has seen it
-    rows = rows.filter((u["tipo_dado"] != "str") | F.greatest(*[F.col(c).isNull() for c in P12_REQUIRED]))
+    rows = rows.filter((u["tipo_dado"] != "str") | F.greatest(*[F.col(c).isNull() for c in required]))
     bad = s["tipo_dado"].isNull() & F.col("raw").isNotNull() & value.isNull()
     value = F.when(bad, F.raise_error(F.concat(F.lit("not a number: "), F.col("raw"))).cast("double")).otherwise(value)
-    typed = rows.select("variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL, value.alias("v"))
-    summed = G.null_poison_sum(typed, ["variavel_id", "unidade", S.CITY_CODE_COL, S.YEAR_COL], "v")
+    typed = rows.select(*by, "unidade", S.CITY_CODE_COL, S.YEAR_COL, value.alias("v"))
+    summed = G.null_poison_sum(typed, [*by, "unidade", S.CITY_CODE_COL, S.YEAR_COL], "v")
     summed = summed.withColumn(S.DTYPE_COL, N.unit_inference("unidade")["tipo_dado"])
-    named = J.catalogue_join(summed, catalogue, ["variavel_id"])
+    named = J.catalogue_join(summed, catalogue, by)
     fact = H.rows_to_fact(named, S.CITY_CODE_COL, S.YEAR_COL, "nome", S.DTYPE_COL, S.VALUE_COL)
     return checked(fact)
 
@@ -79,7 +82,7 @@ def p12_texts(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def p12_catalogue(spark) -> DataFrame:
-    return spark.createDataFrame(P12_CATALOGUE, "variavel_id string, nome string, topico string")
+    return J.literal_frame(spark, P12_CATALOGUE, "variavel_id string, nome string, topico string")
 
 
 P12_CAT_SQL = "cat AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in P12_CATALOGUE) + \
@@ -253,7 +256,7 @@ def rais_pipeline(raw: DataFrame, municipalities: DataFrame) -> DataFrame:
 
 
 def p15_sanitation_jobs(snis_raw: DataFrame, rais_raw: DataFrame, municipalities: DataFrame, spark) -> DataFrame:
-    cat = spark.createDataFrame(SNIS_CATALOGUE, "codigo string, nome string, tipo string")
+    cat = J.literal_frame(spark, SNIS_CATALOGUE, "codigo string, nome string, tipo string")
     snis = snis_pipeline(snis_raw, cat, municipalities)
     rais = rais_pipeline(rais_raw, municipalities)
     return checked(C.to_fact_order(snis).unionByName(C.to_fact_order(rais)))

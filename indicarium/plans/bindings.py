@@ -214,6 +214,15 @@ def yearly_editions(df: DataFrame, date_col: str) -> dict[int, DataFrame]:
             for y in years_in(df.select(year_of(date_col).alias("ano")))}
 
 
+def layout_editions(df: DataFrame, date_col: str, starts: list[int]) -> list[DataFrame]:
+    """The editions of one table by layout: those before the first year of
+    ``starts``, then those from each of them on, with their year. Each is one
+    range of dates, a pushed filter of one scan, however many editions it has."""
+    date, first = F.col(date_col), [F.lit(f"{y}-01-01").cast("date") for y in starts]
+    ranges = [date < first[0], *[(date >= a) & (date < b) for a, b in zip(first, first[1:])], date >= first[-1]]
+    return [df.where(r).withColumn("ano", year_of(date_col)) for r in ranges]
+
+
 def micro(t: Tables) -> DataFrame:
     """Microdata: line items with their order's municipality and year."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",

@@ -1,14 +1,16 @@
-"""P1 and P15 over all of their indicators, which catalogue files list.
+"""P1, P9, P12 and P15 over all of their indicators, which catalogue files list.
 
 The files in ``indicarium/catalogues`` hold fixed values: topic, indicator
 name as the dimension lists it, and parameters. They go through A7 like any
 catalogue; their indicators reach tables by a join (F8), so one plan serves
-any number of them.
+any number of them. The municipal survey's two files (some 200 questions) are
+parameters of P9: they belong to the survey, not to this library.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,19 +25,22 @@ from indicarium.operators import joins as J
 from indicarium.operators import reshape as H
 from indicarium.operators import schema_ops as C
 from indicarium.plans import bindings as B
+from indicarium.plans.apis import p12_aggregates
 from indicarium.plans.pipelines import MICRO_SQL, checked
 from indicarium.plans.queries import query
+from indicarium.plans.surveys import p9_munic
+from indicarium.session import checkpoint_dir
 from indicarium.sources import readers as A
 
 CTE = B.with_ctes
 FOLDER = Path(__file__).resolve().parents[1] / "catalogues"
 
 
-def catalogue(spark: SparkSession, name: str) -> DataFrame:
-    """topico, nome_dado, codigo and tipo of a catalogue file of the package."""
-    text = spark.createDataFrame([((FOLDER / f"{name}.json").read_text(encoding="utf-8"),)], "value string")
+def catalogue(spark: SparkSession, name: str, params: tuple[str, ...] = ("codigo", "tipo")) -> DataFrame:
+    """topico, nome_dado and the parameters (codigo, tipo) of a catalogue file of the package."""
+    text = J.literal_frame(spark, [((FOLDER / f"{name}.json").read_text(encoding="utf-8"),)], "value string")
     rows = A.catalogue_rows(text.select(F.from_json("value", A.CATALOGUE_TYPE).alias("catalogo")))
-    return rows.select("topico", "nome_dado", F.col("params.codigo").alias("codigo"), F.col("params.tipo").alias("tipo"))
+    return rows.select("topico", "nome_dado", *[F.col(f"params.{p}").alias(p) for p in params])
 
 
 def listed(name: str) -> list[tuple[str, str, str]]:
@@ -128,3 +133,64 @@ def p15_rais_catalogue(spark, d):
     cities = per.select("indicador", (F.lit(100000) + F.col("o_custkey")).cast("string").alias("Município"), F.col("n").cast("string").alias("Total"), "ano")
     total = per.groupBy("indicador", "ano").agg(F.sum("n").cast("string").alias("Total")).select("indicador", F.lit("Total").alias("Município"), "Total", "ano")
     return rais_by_catalogue(cities.unionByName(total), catalogue(spark, "rais"), B.municipalities(t))
+
+
+# ---------------------------------------------------------------------------
+# What tells an indicator of the aggregates API apart is table, variable and classification
+# ---------------------------------------------------------------------------
+P12_KEYS = ("agregado", "variavel", "classificacao")
+
+
+def _p12_listed() -> list[tuple[str, ...]]:
+    doc = json.loads((FOLDER / "agregados.json").read_text(encoding="utf-8"))
+    return [(n, *(str(p[k]) for k in P12_KEYS)) for inds in doc.values() for n, p in inds.items()]
+
+
+def p12_by_catalogue(rows: DataFrame, indicators: DataFrame) -> DataFrame:
+    """API rows (with the table and classification that were asked for) of any number of indicators, as ``p12_aggregates``."""
+    return p12_aggregates(rows, indicators.withColumnRenamed("nome_dado", "nome").withColumnRenamed("variavel", "variavel_id"), ["agregado", "variavel_id", "classificacao"])
+
+
+@query("p12_catalogue", CTE(B.ORD_SQL) + f"""
+, cat AS (SELECT * FROM (VALUES {", ".join("(" + str(i) + ", '" + r[0] + "')" for i, r in enumerate(_p12_listed()))}) v(i, nome)),
+t AS (SELECT c.nome, codigo_municipio, ano, {B.api_raw_sql('o_orderkey', 'o_totalprice')} AS raw FROM ord JOIN cat c ON o_orderkey % {len(_p12_listed())} = c.i),
+v AS (SELECT *, CASE WHEN raw = '-' THEN 0 WHEN raw IN ('..', '...', 'X') THEN NULL ELSE CAST(raw AS DOUBLE) END AS v FROM t)
+SELECT codigo_municipio, ano, nome AS dado_identificador, 'int' AS tipo_dado, sum(v) AS valor FROM v GROUP BY 1, 2, 3 HAVING count(v) = count(*)""")
+def p12_catalogue_query(spark, d):
+    o = B.order_facts(B.Tables(spark, d))
+    which = (F.col("o_orderkey") % len(_p12_listed())).cast("int")
+    asked = [F.array(*[F.lit(r[k]) for r in _p12_listed()])[which].alias(n) for k, n in ((1, "agregado"), (2, "variavel_id"), (3, "classificacao"))]
+    rows = o.select(*asked, F.lit("unidades").alias("unidade"), S.CITY_CODE_COL, S.YEAR_COL, B.api_raw(F.col("o_orderkey"), F.col("o_totalprice")).alias("raw"))
+    return p12_by_catalogue(rows, catalogue(spark, "agregados", P12_KEYS))
+
+
+# ---------------------------------------------------------------------------
+# The survey's questions come from its two files
+# ---------------------------------------------------------------------------
+P9_YEAR = 2018
+
+P9_SQL = CTE(B.MUN_SQL) + f"""
+, q AS (SELECT DISTINCT p_type AS nome FROM part),
+a AS (SELECT m.codigo_municipio, concat('C', upper(substr(md5(q.nome), 1, 7))) AS codigo, CASE WHEN length(q.nome) % 2 = 0 THEN 'bool' ELSE 'str' END AS tipo,
+             (m.c_custkey + length(q.nome)) % 4 AS r FROM mun m, q)
+SELECT codigo_municipio, CAST({P9_YEAR} AS INTEGER) AS ano, codigo AS dado_identificador, tipo AS tipo_dado,
+       CASE WHEN tipo = 'bool' THEN CASE r WHEN 0 THEN '1' ELSE '0' END ELSE CASE r WHEN 0 THEN 'Sim' WHEN 1 THEN 'Não' ELSE 'Recusa' END END AS valor
+FROM a WHERE r < 3"""
+
+
+@query("p9_catalogue", P9_SQL)
+def p9_catalogue_query(spark, d):
+    """A survey of a question for each type of ``part``, catalogued in the survey's two files; a code of another year is another's."""
+    t, root = B.Tables(spark, d), f"{checkpoint_dir(spark)}/landed/munic-{uuid.uuid4().hex}"
+    asked = t.part.select(F.col("p_type").alias("nome")).distinct().select(
+        "nome", F.concat(F.lit("C"), F.upper(F.substring(F.md5("nome"), 1, 7))).alias("codigo"), F.when(F.length("nome") % 2 == 0, "bool").otherwise("str").alias("tipo"))
+    # the files list questions; one document each
+    listed = asked.agg(F.map_from_entries(F.collect_list(F.struct("nome", F.create_map(F.lit("categoria"), F.lit("Gestão"), F.lit("tipo"), F.col("tipo"))))).alias("m"),
+                       F.map_from_entries(F.collect_list(F.struct("nome", "codigo"))).alias("c"), F.map_from_entries(F.collect_list(F.struct("nome", F.lit("OUTRO")))).alias("o"))
+    listed.select(F.to_json("m")).write.text(f"{root}/informacao")
+    listed.select(F.to_json(F.create_map(F.lit(str(P9_YEAR)), F.col("c"), F.lit("2020"), F.col("o")))).write.text(f"{root}/codigos")
+    questions = [(r.nome, r.codigo) for r in asked.collect()]  # the columns of the sheet
+    # every fourth answer is missing
+    answer = lambda q: F.element_at(F.array(F.lit("Sim"), F.lit("Não"), F.lit("Recusa"), F.lit(None)), ((F.col("c_custkey") + len(q)) % 4 + 1).cast("int"))
+    sheet = B.municipalities(t).select(F.col("codigo_municipio").alias("CodMun"), *[answer(q).alias(c.lower()) for q, c in questions])
+    return p9_munic([sheet], A.read_survey_catalogue(spark, f"{root}/informacao", f"{root}/codigos"), P9_YEAR)

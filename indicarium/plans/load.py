@@ -1,35 +1,42 @@
 """Incremental load (L1) and run audit (L2) as Spark jobs.
 
-The fact store is a parquet folder partitioned by (dado_id, ano). A load
-keeps only the (indicator, year) pairs not loaded before, swaps natural
-keys for surrogate keys, and overwrites exactly those partitions
-(dynamic partition overwrite). Re-running a load, or retrying it after
-an executor loss, rewrites the same partitions with the same rows, so
-the store never holds duplicates. The indicator dimension's year arrays
-are recomputed from what was written, not patched in a second step.
+The fact store is a versioned folder (``sources.versions``) whose loads are
+partitioned by (dado_id, ano). A load writes its rows beside the store's, counts
+them while it writes, takes out of the partitions that the store already has
+what is there by key (late rows are merged, stored ones are not written twice),
+and commits: one step makes all of it visible, or none. A load that is killed
+leaves the store at its last version, and the next one starts over.
+The indicator dimension's year arrays come from the commits, not from a scan.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from indicarium import schema as S
 from indicarium.functions import text as X
 from indicarium.operators import joins as J
 from indicarium.operators import sets as U
+from indicarium.operators import validate as K
 from indicarium.plans import bindings as B
 from indicarium.plans.queries import query
-from indicarium.session import checkpoint_dir, materialize
+from indicarium.session import checkpoint_dir
 from indicarium.sources import sinks
+from indicarium.sources import versions as V
 
 CTE = B.with_ctes
 
 
+LOADED_SCHEMA = f"dado_id int, municipio_id int, {S.YEAR_COL} int, {S.DTYPE_COL} string, {S.VALUE_COL} string, load string"
+#: What says that a row is in the store.
+LOADED_KEY = ["dado_id", S.YEAR_COL, "municipio_id"]
+
+
 def rows_to_load(facts: DataFrame, indicator_dim: DataFrame, municipality_dim: DataFrame,
                  cut_strings: bool = False) -> tuple[DataFrame, DataFrame]:
     """L1 plan: F7 -> J5/D12 -> F6 -> C12 (-> E15 when ``cut_strings``).
@@ -48,49 +55,103 @@ def rows_to_load(facts: DataFrame, indicator_dim: DataFrame, municipality_dim: D
     return out, unknown
 
 
+def read_store(spark: SparkSession, store: str, version: int | None = None) -> DataFrame | None:
+    """The rows of the store's last version, or of an earlier one; None while it has none."""
+    loads = [x for c in V.committed(spark, store) if version is None or c["version"] <= version for x in c["loads"]]
+    return V.read_loads(spark, store, loads, LOADED_SCHEMA).drop("load") if loads else None
+
+
+def stored_years(commits: list[dict]) -> dict[int, list[int]]:
+    """Indicator id -> years in the store, from its commits."""
+    years: dict[int, set[int]] = {}
+    for c in commits:
+        for i, ys in c["years"]:
+            years.setdefault(i, set()).update(ys)
+    return {i: sorted(ys) for i, ys in years.items()}
+
+
+def _years_frame(spark: SparkSession, years: dict[int, list[int]]) -> DataFrame:
+    return J.literal_frame(spark, list(years.items()), "dado_id int, __stored array<int>")
+
+
+def _in_pairs(years: dict[int, list[int]]) -> Column:
+    """Rows of the (indicator, year) pairs: a filter on the partition columns alone."""
+    return reduce(lambda a, b: a | b, [(F.col("dado_id") == i) & F.col(S.YEAR_COL).isin(ys) for i, ys in years.items()], F.lit(False))
+
+
+def with_stored_years(indicator_dim: DataFrame, years: dict[int, list[int]]) -> DataFrame:
+    """The indicator dimension with the store's years added to its arrays."""
+    joined = indicator_dim.join(_years_frame(indicator_dim.sparkSession, years), "dado_id", "left")
+    return joined.withColumn("anos_serie_historica", F.when(F.col("__stored").isNull(), F.col("anos_serie_historica")).otherwise(
+        U.years_union("anos_serie_historica", "__stored"))).drop("__stored")
+
+
+def _write_counted(rows: DataFrame, store: str, load: str, stored: dict[int, list[int]]) -> dict:
+    """Write a load's folder; what it holds is counted by the job that writes it."""
+    seen = Observation()
+    one = F.lit(1)
+    sinks.write_facts(rows, V.load_path(store, load), ["dado_id", S.YEAR_COL], observe=(seen, [
+        F.count(one).alias("rows"), F.count_if(_in_pairs(stored)).alias("touched"), F.count_if(F.col("municipio_id").isNull()).alias("unmatched"),
+        F.collect_set(F.struct("dado_id", S.YEAR_COL)).alias("pairs")]))
+    got = seen.get
+    years: dict[int, list[int]] = {}
+    for i, y in sorted(tuple(p) for p in got.get("pairs") or []):
+        years.setdefault(i, []).append(y)
+    return {"rows": got.get("rows") or 0, "touched": got.get("touched") or 0, "unmatched": got.get("unmatched") or 0, "years": years}
+
+
+def _write_late(spark: SparkSession, store: str, load: str, late: str, loads: list[str], touched: dict[int, list[int]]) -> dict:
+    """Of a load's rows in partitions that the store has, write those whose key is not there, and drop the load's own copy."""
+    where = _in_pairs(touched)
+    fresh = V.read_loads(spark, store, [load], LOADED_SCHEMA).where(where).drop("load")
+    known = V.read_loads(spark, store, loads, LOADED_SCHEMA).where(where).select(*[F.col(c).alias(f"__{c}") for c in LOADED_KEY])
+    # a city that was not found has a null id: null equals null here, or a rerun would add it again
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in LOADED_KEY])
+    out = _write_counted(fresh.join(known, same, "left_anti"), store, late, {})
+    V.drop_partitions(spark, store, load, [f"dado_id={i}/{S.YEAR_COL}={y}" for i, ys in touched.items() for y in ys])
+    return out
+
+
 def load_incremental(facts: DataFrame, indicator_dim: DataFrame, municipality_dim: DataFrame,
                      store: str) -> dict:
-    """L1: write the new (indicator, year) partitions of ``facts`` into
-    ``store``. Returns the inserted row count, the indicator dimension with
-    recomputed year arrays (for the caller to persist) and the unknown
-    indicator names.
-
-    Which pairs are loaded already is decided once, before the write, by an
-    anti join with the store's distinct partition values; the inserted rows
-    are those of pairs that were not there."""
+    """L1: one version of ``store`` with the rows of ``facts`` that it does not hold.
+
+    A year that the dimension lists and the store lacks was loaded elsewhere
+    and is left out, as at the source. A year that the store has is merged:
+    rows whose (indicator, year, city) is there are counted and left alone, the
+    others are added. Rows of one load are never merged with each other.
+
+    Returns the inserted rows, those of them in years the store had (late), the rows that were there
+    (present), the inserted rows of unknown cities (unmatched), the version, the
+    indicator dimension with the store's years (for the caller to persist) and the unknown indicator names.
+    Nothing inserted makes no version. When another load commits first, this
+    one starts over on its version."""
     spark = facts.sparkSession
-    rows, unknown = rows_to_load(facts, indicator_dim, municipality_dim)
-    stored = stored_pairs(spark, store)
-    if stored is not None:
-        stored = materialize(stored)
-        rows = rows.join(stored, ["dado_id", S.YEAR_COL], "left_anti")
-    sinks.write_facts(rows, store, ["dado_id", S.YEAR_COL])
-    after, inserted = stored_pairs(spark, store), 0
-    if after is not None:
-        # partition columns alone are read
-        added = spark.read.parquet(store).select("dado_id", S.YEAR_COL)
-        inserted = (added if stored is None else added.join(stored, ["dado_id", S.YEAR_COL], "left_anti")).count()
-    dim = indicator_dim
-    if after is not None:
-        years = after.groupBy("dado_id").agg(F.collect_set(S.YEAR_COL).alias("__stored"))
-        dim = materialize(indicator_dim.join(years, "dado_id", "left").withColumn(
-            "anos_serie_historica", U.years_union("anos_serie_historica", "__stored")).drop("__stored"))
-    return {"rows": inserted, "indicator_dim": dim, "unknown": unknown}
-
-
-#: An empty or missing store; any other failure to read it is an error.
-NO_STORE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
-def stored_pairs(spark: SparkSession, store: str) -> DataFrame | None:
-    """(dado_id, ano) pairs present in the store, None when there is none yet."""
-    try:
-        facts = spark.read.parquet(store)
-    except AnalysisException as e:
-        if e.getCondition() in NO_STORE:
-            return None
-        raise
-    return facts.select("dado_id", S.YEAR_COL).distinct()
+    K.require_columns(facts, S.FACT_COLUMNS, ordered=False)
+    if V.holds_other_files(spark, store):
+        raise ValueError(f"{store} holds files that no load wrote")
+    while True:
+        commits = V.committed(spark, store)
+        stored, version = stored_years(commits), V.latest(commits)
+        elsewhere = indicator_dim.join(_years_frame(spark, stored), "dado_id", "left").withColumn(
+            "anos_serie_historica", U.years_new(F.coalesce("anos_serie_historica", F.array().cast("array<int>")), "__stored")).drop("__stored")
+        rows, unknown = rows_to_load(facts, elsewhere, municipality_dim)
+        load = V.load_name(version + 1)
+        wrote = _write_counted(rows, store, load, stored)
+        touched = {i: t for i, ys in wrote["years"].items() if (t := [y for y in ys if y in stored.get(i, [])])}
+        added, loads, late = wrote["rows"] - wrote["touched"], [load], {"rows": 0, "unmatched": 0, "years": {}}
+        if touched:
+            late = _write_late(spark, store, load, f"{load}-late", [x for c in commits for x in c["loads"]], touched)
+            loads = ([load] if added else []) + ([f"{load}-late"] if late["rows"] else [])
+        out = {"rows": added + late["rows"], "late": late["rows"], "present": wrote["touched"] - late["rows"]}
+        if not out["rows"]:
+            break
+        years = {i: [y for y in ys if y not in touched.get(i, [])] + late["years"].get(i, []) for i, ys in wrote["years"].items()}
+        if V.commit(spark, store, version + 1, loads, years=sorted((i, sorted(ys)) for i, ys in years.items() if ys), **out):
+            commits, version = V.committed(spark, store), version + 1
+            break
+    return out | {"unmatched": wrote["unmatched"], "version": version, "unknown": unknown,
+                  "indicator_dim": with_stored_years(indicator_dim, stored_years(commits))}
 
 
 # ---------------------------------------------------------------------------
@@ -150,7 +211,7 @@ def l1_load_roundtrip(spark, d):
     out = load_incremental(facts, dim, mun, store)
     again = load_incremental(facts, out["indicator_dim"], mun, store)
     years = again["indicator_dim"].select("dado_id", F.array_join(F.transform("anos_serie_historica", lambda y: y.cast("string")), ",").alias("anos"))
-    return (spark.read.parquet(store).join(years, "dado_id")
+    return (read_store(spark, store).join(years, "dado_id")
             .select("dado_id", "municipio_id", S.YEAR_COL, S.VALUE_COL, "anos"))
 
 

@@ -6,14 +6,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from indicarium import schema as S
 from indicarium.functions import text as X
 from indicarium.operators import aggregates as G
+from indicarium.operators import filters as D
+from indicarium.operators import joins as J
 from indicarium.operators import ordering as I
 from indicarium.operators import release as M
+from indicarium.operators import reshape as H
 from indicarium.operators import sets as U
+from indicarium.operators import validate as K
 from indicarium.functions import numbers as N
 from indicarium.plans import bindings as B
 from indicarium.plans.queries import query, TYPE_SQL
+from indicarium.sources import sinks
 
 CTE = B.with_ctes
 ORD, FEED, REL = B.ORD_SQL, B.FEED_SQL, B.REL_SQL
@@ -90,3 +96,66 @@ def m3_file_pattern(spark, d):
     r = B.releases(B.Tables(spark, d))
     pat = M.file_type_pattern()
     return r.filter(F.col("link").rlike(pat)).select("pos", F.regexp_extract("link", pat, 1).alias("arquivo"))
+
+
+@query("g6_years_by_count", CTE(ORD) + "SELECT ano, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, ano) AS posto FROM ord GROUP BY 1")
+def g6_years_by_count(spark, d):
+    """The years are a handful of rows; their place tells the order that they come in."""
+    years = G.years_by_frequency(B.order_facts(B.Tables(spark, d)))
+    place = years.agg(F.array_agg(F.struct((-F.col("n")).alias("k"), F.col("ano").alias("y"), F.col("n").alias("n"))).alias("all"))
+    return place.select(F.posexplode(F.array_sort("all")).alias("p", "r")).select(F.col("r.y").alias("ano"), F.col("r.n").alias("n"), (F.col("p") + 1).cast("bigint").alias("posto"))
+
+
+@query("d1_in_catalogue", CTE(ORD) + "SELECT o_orderkey, ano FROM ord WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def d1_in_catalogue(spark, d):
+    t = B.Tables(spark, d)
+    return D.in_catalogue(B.order_facts(t), "o_custkey", t.customer.where("c_mktsegment = 'BUILDING'"), "c_custkey").select("o_orderkey", "ano")
+
+
+@query("h3_map_to_rows", CTE(ORD) + """
+SELECT codigo_municipio, CAST(ano AS VARCHAR) AS ano, CAST(count(*) AS VARCHAR) AS raw FROM ord GROUP BY 1, 2""")
+def h3_map_to_rows(spark, d):
+    """A year -> value map of each city, as series APIs answer, to rows."""
+    per = B.order_facts(B.Tables(spark, d)).groupBy("codigo_municipio", "ano").agg(F.count(F.lit(1)).cast("string").alias("n"))
+    maps = per.groupBy("codigo_municipio").agg(F.map_from_entries(F.collect_list(F.struct(F.col("ano").cast("string"), "n"))).alias("serie"))
+    return H.map_to_rows(maps, "serie")
+
+
+@query("i5_sorted_years", CTE(ORD) + "SELECT codigo_municipio, array_to_string(list_sort(list(ano)), ',') AS anos FROM ord GROUP BY 1")
+def i5_sorted_years(spark, d):
+    listed = B.order_facts(B.Tables(spark, d)).groupBy("codigo_municipio").agg(F.collect_list("ano").alias("anos"))
+    return listed.select("codigo_municipio", F.array_join(F.transform(I.sort_years("anos"), lambda y: y.cast("string")), ",").alias("anos"))
+
+
+@query("j2_union_disjoint", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' OR o_totalprice > 200000")
+def j2_union_disjoint(spark, d):
+    o = B.Tables(spark, d).orders
+    done = F.col("o_orderstatus") == "F"
+    return U.union_disjoint(o.where(done), o.where(~done & (F.col("o_totalprice") > 200000))).select("o_orderkey", "o_orderstatus")
+
+
+@query("k3_require", "SELECT 'colunas' AS regra, 'falhou' AS resultado UNION ALL SELECT 'vazio', 'falhou' UNION ALL SELECT 'linhas', 'ok' FROM (SELECT count(*) AS n FROM orders) WHERE n > 0")
+def k3_require(spark, d):
+    """What the checks before a load say of the facts, of facts with a column too many and of none at all."""
+    facts = B.order_facts(B.Tables(spark, d)).select("codigo_municipio", "ano", F.col("o_orderpriority").alias(S.DATA_ID_COL), F.lit("int").alias(S.DTYPE_COL), F.lit("1").alias(S.VALUE_COL))
+
+    def verdict(check):
+        try:
+            check()
+        except K.ContractError:
+            return "falhou"
+        return "ok"
+
+    def whole():
+        K.require_columns(facts, facts.columns)
+        K.require_rows(facts)
+
+    said = [("colunas", verdict(lambda: K.require_columns(facts.withColumn("mais", F.lit(1)), S.FACT_COLUMNS, ordered=False))),
+            ("vazio", verdict(lambda: K.require_rows(facts.where("ano < 1900")))), ("linhas", verdict(whole))]
+    return J.literal_frame(spark, said, "regra string, resultado string")
+
+
+@query("b5_preview", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5")
+def b5_preview(spark, d):
+    o = B.Tables(spark, d).orders.select("o_orderkey", "o_totalprice")
+    return sinks.preview(o.orderBy(F.desc("o_totalprice"), "o_orderkey"), 5)

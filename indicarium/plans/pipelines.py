@@ -52,7 +52,7 @@ def bind_p1(t: B.Tables) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         (F.sum(F.col("o_totalprice").cast("decimal(18,2)")) * 100).cast("bigint").alias("cents"))
     # four consumers below: written once instead of re-aggregated per consumer
-    per_city = materialize(per_city.join(J.bounded_broadcast(seg), F.col("o_custkey") == F.col("c_custkey")))
+    per_city = materialize(per_city.join(seg, F.col("o_custkey") == F.col("c_custkey")))
     # mean in cents by integer division, written with a decimal comma
     mean = F.floor(F.col("cents") / F.col("n")).cast("bigint")
     value = F.when(F.col("n") == 1, F.lit("...")).otherwise(
@@ -235,34 +235,35 @@ P3_GRADE_SQL = ("CASE WHEN max(o_totalprice) > 400000 THEN 'A' WHEN max(o_totalp
                 "WHEN max(o_totalprice) > 200000 THEN 'C' ELSE 'D' END")
 
 
-def bind_p3(t: B.Tables) -> dict[int, DataFrame]:
-    """Yearly CAPAG files; older years name the columns differently and
+def bind_p3(t: B.Tables) -> list[DataFrame]:
+    """CAPAG files by layout: older years name the columns differently and
     newer ones carry two columns with 'capag' in the name."""
-    from indicarium.plans.queries import _yearly_orders
-    files = {}
-    for y, frame in _yearly_orders(t).items():
-        g = frame.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("mx"))
+    files = []
+    for old, frame in zip((True, False), B.layout_editions(t.orders.select("o_custkey", "o_totalprice", "o_orderdate"), "o_orderdate", [1998])):
+        g = frame.groupBy("o_custkey", "ano").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("mx"))
         grade = F.when(F.col("n") == 1, F.lit("n.d.")).otherwise(_grade(F.col("mx")))
         code = B.city_code(F.col("o_custkey"))
-        if y <= 1997:
-            files[y] = g.select(code.alias("Código_Município_Completo"), grade.alias("CAPAG"))
+        if old:
+            files.append(g.select("ano", code.alias("Código_Município_Completo"), grade.alias("CAPAG")))
         else:
-            files[y] = g.select(code.alias("Cod.IBGE"), grade.alias("Classificação_CAPAG"),
-                                F.col("n").cast("string").alias("Nota_CAPAG_2"))
+            files.append(g.select("ano", code.alias("Cod.IBGE"), grade.alias("Classificação_CAPAG"),
+                                  F.col("n").cast("string").alias("Nota_CAPAG_2")))
     return files
 
 
-def p3_capag(files: dict[int, DataFrame]) -> DataFrame:
-    """C5 -> C6 -> C7 -> C1 -> D6 -> D7 -> J1 -> C11 -> K1 (per file, then one union)."""
-    out = {}
-    for y, df in files.items():
+def p3_capag(files: list[DataFrame] | dict[int, DataFrame]) -> DataFrame:
+    """C5 -> C6 -> C7 -> C1 -> D6 -> D7 -> J1 -> C11 -> K1: per layout, then one
+    union. Files of one layout are one frame with their year; a dict
+    has a frame for each year."""
+    frames = []
+    for year, df in files.items() if isinstance(files, dict) else [(None, f) for f in files]:
         df = C.normalise_column_names(df, "spaced")
         df = C.resolve_column(df, ["código município completo", "cod.ibge"], S.CITY_CODE_COL)
         df = C.resolve_by_fragment(df, "capag", S.VALUE_COL, tie_break="classificação")
-        df = C.keep_columns(df, [S.CITY_CODE_COL, S.VALUE_COL])
+        df = C.keep_columns(df if year is None else df.withColumn(S.YEAR_COL, F.lit(year).cast("int")), [S.CITY_CODE_COL, S.YEAR_COL, S.VALUE_COL])
         df = df.withColumn(S.VALUE_COL, P.null_token(S.VALUE_COL, S.CAPAG_NULL_TOKENS))
-        out[y] = D.drop_nulls(df)
-    df = U.union_years(out)
+        frames.append(D.drop_nulls(df))
+    df = U.union_years(frames)
     df = C.add_metadata(df, dado_identificador="Capacidade de pagamento dos municípios (CAPAG)", tipo_dado="str")
     return checked(df)
 

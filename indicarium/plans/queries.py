@@ -26,6 +26,7 @@ from indicarium.operators import schema_ops as C
 from indicarium.operators import sets as U
 from indicarium.operators import validate as K
 from indicarium.plans import bindings as B
+from indicarium.plans import munic_editions as ME
 from indicarium.sources import readers as A
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -106,23 +107,23 @@ EDITION_LAYOUTS = {
 }
 
 
-def _edition(o: DataFrame, year: int) -> tuple[DataFrame, dict, list]:
-    start = max(y for y in EDITION_LAYOUTS if y <= year)
-    layout, renames = EDITION_LAYOUTS[start]
-    src = {"codigo6": (F.lit(100000) + F.col("o_custkey")).cast("bigint"), "valor_total": F.col("o_totalprice"),
-           "situacao": F.col("o_orderstatus"), "prioridade": F.col("o_orderpriority")}
-    cols = [F.col("o_orderkey")] + [src[v].alias(k) for k, v in renames.items()]
-    drops = []
-    if layout == "B":
-        cols.append((F.col("o_orderkey") % 100).alias("EXTRA"))
-        drops = ["EXTRA"]
-    return o.select(*cols), renames, drops
+def _editions_together(t: B.Tables) -> DataFrame:
+    """The editions as one scan gives them: the columns of all layouts, null where a row's edition has another."""
+    ano, src = B.year_of("o_orderdate"), {
+        "codigo6": (F.lit(100000) + F.col("o_custkey")).cast("bigint"), "valor_total": F.col("o_totalprice"),
+        "situacao": F.col("o_orderstatus"), "prioridade": F.col("o_orderpriority")}
+    starts = sorted(EDITION_LAYOUTS)
+    cells: dict[str, list] = {"EXTRA": [F.when(ano.isin(_layout_years("B")), F.col("o_orderkey") % 100)]}
+    for start in starts:
+        layout, names = EDITION_LAYOUTS[start]
+        for column, common in names.items():
+            cells.setdefault(column.upper(), []).append(F.when(ano.isin(_layout_years(layout)), src[common]))
+    return t.orders.select("o_orderkey", ano.alias("ano"), *[F.coalesce(*c).alias(name) for name, c in cells.items()])
 
 
-def _yearly_orders(t: B.Tables) -> dict[int, DataFrame]:
-    """The surveys' editions: orders of one year each."""
-    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
-    return {y: e.select(*columns) for y, e in B.yearly_editions(t.orders, "o_orderdate").items()}
+def _layout_years(layout: str, last: int = 2010) -> list[int]:
+    starts = sorted(EDITION_LAYOUTS)
+    return [y for y in range(1990, last) if EDITION_LAYOUTS[max([s for s in starts if s <= y], default=starts[0])][0] == layout]
 
 
 @query("c4_harmonise", """
@@ -132,10 +133,32 @@ SELECT o_orderkey, CAST(100000 + o_custkey AS BIGINT) AS codigo6, o_totalprice A
        CAST(year(o_orderdate) AS INTEGER) AS ano
 FROM orders""")
 def c4_harmonise(spark, d):
-    editions, renames, drops = {}, {}, {}
-    for y, frame in _yearly_orders(B.Tables(spark, d)).items():
-        editions[y], renames[y], drops[y] = _edition(frame, y)
-    return C.harmonise_editions(editions, renames, drops)
+    table = [(y, column, common) for layout, names in EDITION_LAYOUTS.values() for y in _layout_years(layout) for column, common in names.items()]
+    out = C.harmonise_by_table(_editions_together(B.Tables(spark, d)), "ano", table, keep=["o_orderkey"], drops=[(y, "EXTRA") for y in _layout_years("B")])
+    return out.select("o_orderkey", "codigo6", "valor_total", "situacao", "prioridade", "ano")
+
+
+def _munic_sql(name: str) -> str:
+    """A customer's value of a common name, null in editions whose files lack it."""
+    whens = " ".join(f"WHEN {e} THEN {int(name in (ME.COMMON if e not in ME.RENAMES else ME.RENAMES[e].values()))}" for e in ME.EDITIONS)
+    return f"""CASE WHEN CASE edicao {whens} END = 1 THEN concat('{name} ', c_custkey) END AS "{name}" """
+
+
+@query("c4_munic_editions", f"""
+WITH e AS (SELECT c_custkey, [{", ".join(map(str, ME.EDITIONS))}][1 + c_custkey % {len(ME.EDITIONS)}] AS edicao FROM customer)
+SELECT c_custkey, CAST(edicao AS INTEGER) AS edicao, {", ".join(_munic_sql(n) for n in ME.COMMON)} FROM e""")
+def c4_munic_editions(spark, d):
+    """The survey's 17 editions, whose files name the same variables in 15 ways, in one scan."""
+    c = B.Tables(spark, d).customer
+    edition = F.element_at(F.array(*[F.lit(e) for e in ME.EDITIONS]), (F.col("c_custkey") % len(ME.EDITIONS) + 1).cast("int"))
+    cells: dict[str, list] = {}
+    for e in ME.EDITIONS:
+        for column, common in (ME.RENAMES.get(e) or {n: n for n in ME.COMMON}).items():
+            cells.setdefault(column.upper(), []).append(F.when(edition == e, F.concat(F.lit(f"{common} "), F.col("c_custkey").cast("string"))))
+    for e, column in ME.DROP_ROWS:
+        cells.setdefault(column, []).append(F.when(edition == e, F.lit("fora")))
+    raw = c.select("c_custkey", edition.alias("edicao"), *[F.coalesce(*v).alias(name) for name, v in cells.items()])
+    return C.harmonise_by_table(raw, "edicao", ME.RENAME_ROWS, keep=["c_custkey", *ME.COMMON], drops=ME.DROP_ROWS)
 
 
 # ---------------------------------------------------------------------------
@@ -232,7 +255,7 @@ WHERE (CASE o.o_orderstatus WHEN 'F' THEN 'Municipal' WHEN 'O' THEN 'Pública' W
 def d9_state_filter(spark, d):
     t = B.Tables(spark, d)
     o = B.order_facts(t).select("o_orderkey", "o_custkey", "codigo_municipio", "o_orderstatus")
-    m = J.bounded_broadcast(B.municipalities(t).select("c_custkey", "sigla_uf"))
+    m = B.municipalities(t).select("c_custkey", "sigla_uf")
     j = o.join(m, F.col("o_custkey") == F.col("c_custkey")).withColumn("rede", _network(F.col("o_orderstatus")))
     out = j.filter(P.state_network("sigla_uf", "rede", special_state=B.CAPITAL_STATE))
     return out.select("o_orderkey", "codigo_municipio", "sigla_uf", "rede")
@@ -398,7 +421,7 @@ def f2_name_state(spark, d):
     m = B.municipalities(t)
     o = B.order_facts(t).select("o_orderkey", "o_custkey", "ano", F.col("o_totalprice").alias("valor"))
     lab_name = F.when(F.col("o_orderkey") % 50 == 0, F.lit("Desconhecido")).otherwise(F.col("nome_municipio"))
-    src = o.join(J.bounded_broadcast(m.select("c_custkey", "nome_municipio", "sigla_uf")),
+    src = o.join(m.select("c_custkey", "nome_municipio", "sigla_uf"),
                  F.col("o_custkey") == F.col("c_custkey")) \
            .select("o_orderkey", "ano", "valor", F.concat(lab_name, F.lit(" ("), "sigla_uf", F.lit(")")).alias("rotulo"))
     name, uf = X.split_name_state("rotulo")
@@ -488,7 +511,7 @@ CATALOGUE_SQL = "cat AS (SELECT codigo, CAST(unnest(range(y0, y1 + 1)) AS INTEGE
 
 
 def catalogue_df(spark: SparkSession) -> DataFrame:
-    lit = spark.createDataFrame(CATALOGUE, "codigo string, y0 int, y1 int, topico string, tipo_dado string")
+    lit = J.literal_frame(spark, CATALOGUE, "codigo string, y0 int, y1 int, topico string, tipo_dado string")
     return I.expand_year_range(lit, "y0", "y1").select("codigo", "ano", "topico", "tipo_dado")
 
 
@@ -723,14 +746,11 @@ SELECT o_orderkey, codigo_municipio, o_totalprice AS valor,
        CASE WHEN ano >= 1999 THEN o_orderstatus END AS situacao, ano
 FROM ord""")
 def j1_union_years(spark, d):
-    frames = {}
-    for y, frame in _yearly_orders(B.Tables(spark, d)).items():
-        cols = ["o_orderkey", B.city_code(F.col("o_custkey")).alias("codigo_municipio"),
-                F.col("o_totalprice").alias("valor")]
-        if y >= 1999:
-            cols.append(F.col("o_orderstatus").alias("situacao"))
-        frames[y] = frame.select(*cols)
-    return U.union_years(frames)
+    """Editions of two layouts: a scan for each layout, not for each year."""
+    old, new = B.layout_editions(B.Tables(spark, d).orders, "o_orderdate", [1999])
+    columns = ["o_orderkey", B.city_code(F.col("o_custkey")).alias("codigo_municipio"), F.col("o_totalprice").alias("valor")]
+    return U.union_years([old.select(*columns, "ano"), new.select(*columns, F.col("o_orderstatus").alias("situacao"), "ano")]).select(
+        "o_orderkey", "codigo_municipio", "valor", "situacao", "ano")
 
 
 @query("j4_year_arrays", CTE(ORD) + """
@@ -793,5 +813,6 @@ def m1_links(spark, d):
 
 def registered() -> dict[str, tuple[QueryFn, str | None]]:
     # pipelines and load/audit register themselves on import
-    from indicarium.plans import pipelines, surveys, apis, load, catalogue_pipelines, operator_queries, roundtrip_queries, scan_queries  # noqa: F401
+    from indicarium.plans import (pipelines, surveys, apis, load, load_queries, catalogue_pipelines, operator_queries,  # noqa: F401
+                                  roundtrip_queries, scan_queries)  # noqa: F401
     return REGISTRY

@@ -4,16 +4,19 @@ and the stream form of the load."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
 
 from indicarium import schema as S
 from indicarium.operators import filters as D
+from indicarium.operators import joins as J
 from indicarium.operators import schema_ops as C
 from indicarium.operators import validate as K
 from indicarium.plans import bindings as B
-from indicarium.plans.queries import query
+from indicarium.plans.load import read_store, run_audit
+from indicarium.plans.queries import REGISTRY, _api_documents, query
 from indicarium.session import checkpoint_dir
 from indicarium.sources import readers as A
 from indicarium.sources import sinks
@@ -107,4 +110,53 @@ def n_stream_load(spark, d):
     dim = spark.createDataFrame([(1, "pedidos", "t", [1995])], "dado_id int, nome_dado string, topico string, anos_serie_historica array<int>")
     mun = B.municipalities(t).select("municipio_id", "codigo_municipio")
     stream_incremental_load(spark, f"{root}/chegada", f"{root}/fatos", dim, mun, checkpoint=f"{root}/progresso", max_files_per_batch=2)
-    return spark.read.parquet(f"{root}/fatos").select("dado_id", "municipio_id", S.YEAR_COL, S.DTYPE_COL, S.VALUE_COL)
+    return read_store(spark, f"{root}/fatos").select("dado_id", "municipio_id", S.YEAR_COL, S.DTYPE_COL, S.VALUE_COL)
+
+
+@query("b3_run_log", """
+WITH p AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY 1, 2)
+SELECT 'r' || r AS run, source, concat('fonte: ', source, '  status: ok', chr(10), 'inicio: 2000-01-01 00:00:00  fim: 2000-01-01 00:00:00', chr(10), chr(10),
+       string_agg(concat('  ', lang, ': anos [], linhas ', n), chr(10) ORDER BY lang)) AS texto
+FROM p, (VALUES (1), (2)) v(r) GROUP BY 1, 2""")
+def b3_run_log(spark, d):
+    """The logs of two runs, appended to one folder and read back as text."""
+    docs = B.Tables(spark, d).documents.select("source", F.col("lang").alias("data_point"), F.lit(None).cast("int").alias("year"))
+    path, when = _folder(spark, "registro"), dt.datetime(2000, 1, 1)
+    for run in ("r1", "r2"):
+        sinks.append_run_log(run_audit(docs, run, when, when), path)
+    return sinks.run_log_text(spark.read.parquet(path))
+
+
+@query("c13_landed_file", "SELECT c_custkey AS codigo, c_name AS nome FROM customer")
+def c13_landed_file(spark, d):
+    """Files whose header names a column that the rows lack, so every name stands one column too early."""
+    c = B.Tables(spark, d).customer
+    path = _folder(spark, "deslocado")
+    c.select(F.col("c_custkey").cast("string").alias("indice"), F.col("c_name").alias("codigo"), F.lit(None).cast("string").alias("nome")).write.option("header", "true").option("sep", ";").csv(path)
+    return C.shifted_header_repair(A.delimited_scan(spark, path, "indice long, codigo string, nome string", encoding="UTF-8"))
+
+
+@query("a5_answer_lines", REGISTRY["a5_nested_json"][1])
+def a5_answer_lines(spark, d):
+    """Answers landed as arrays of a thousand order keys a file, framed as a document per line, read as VARIANTs; some hold one result instead of a list."""
+    docs = _api_documents(B.Tables(spark, d)).select("o_orderkey", F.parse_json("payload").alias("v"))
+    single = F.concat(F.lit("{\"id\":\""), F.variant_get("v", "$.id", "string"), F.lit("\",\"variavel\":\""), F.variant_get("v", "$.variavel", "string"), F.lit("\",\"unidade\":\""),
+                      F.variant_get("v", "$.unidade", "string"), F.lit("\",\"resultados\":"), F.to_json(F.variant_get("v", "$.resultados[0]", "variant")), F.lit("}"))
+    text = F.when(F.col("o_orderkey") % 3 == 0, single).otherwise(F.to_json("v"))
+    keyed = docs.select("o_orderkey", F.concat(F.lit("{\"o_orderkey\":"), F.col("o_orderkey").cast("string"), F.lit(","), F.substring(text, F.lit(2), F.length(text))).alias("t"))
+    arrays = keyed.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("file")).agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("t")), F.lit("]")).alias("value"))
+    root = _folder(spark, "respostas")
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{root}/arquivos")
+    A.frame_answers(spark, f"{root}/arquivos", f"{root}/linhas")
+    return A.read_api_lines(spark, f"{root}/linhas", keep={"o_orderkey": "bigint"})
+
+
+@query("a10_catalog_dimension", CTE(B.MUN_SQL, B.ORD_SQL) + "SELECT o.o_orderkey, m.municipio_id, o.ano FROM ord o LEFT JOIN mun m ON o.codigo_municipio = m.codigo_municipio")
+def a10_catalog_dimension(spark, d):
+    """The municipality dimension as a bucketed catalog table; facts get its surrogate ids."""
+    t = B.Tables(spark, d)
+    name, path = f"municipios_{uuid.uuid4().hex[:12]}", _folder(spark, "dimensao")
+    A.write_dimension(B.municipalities(t).select("municipio_id", "codigo_municipio"), name, "codigo_municipio", path, buckets=8)
+    facts = B.order_facts(t).select("o_orderkey", "codigo_municipio", "ano")
+    return J.to_surrogate(facts, A.read_dimension(spark, table=name)).select("o_orderkey", "municipio_id", "ano")
+

@@ -5,34 +5,38 @@
 A request names sources case- and space-insensitively; an empty request or
 ``todos`` runs every source, unknown names are reported. Each source's
 facts are loaded with the idempotent incremental load, so a rerun inserts
-nothing new. One run-log record per source holds its data points
-(indicator, years, rows), status and timing.
+nothing new. Indicators get their ids in the dimension, which is committed
+before any of their facts are: a run that dies leaves names without
+facts, never facts without a name. One run-log record per source holds its data points
+(indicator, years, rows), status and timing; a source that failed makes the process end with 1.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import sys
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indicarium import schema as S
 from indicarium.functions.text import name_key
 from indicarium.operators import validate as K
-from indicarium.operators.joins import request_filter
+from indicarium.operators.joins import literal_frame, request_filter
 from indicarium.plans import bindings as B
-from indicarium.plans.load import NO_STORE, load_incremental
+from indicarium.plans.load import load_incremental, stored_years, with_stored_years
 from indicarium.session import materialize
+from indicarium.sources import versions as V
 
 # source name -> registered pipeline query, or queries
 SOURCES = {
     "datasus": ("p1", "p1_catalogue"), "empregos_formais": "p2", "capag": "p3", "ensino_superior": "p4",
-    "distorcao_idade_serie": "p5", "ideb": "p6", "idhm": "p7", "rede_de_cidades": "p8", "munic": "p9",
-    "pib_municipal": "p10", "equipamentos_escolares": "p11", "agregados": ("p12", "p12_text"), "homicidios": "p13",
+    "distorcao_idade_serie": "p5", "ideb": "p6", "idhm": "p7", "rede_de_cidades": "p8", "munic": ("p9", "p9_catalogue"),
+    "pib_municipal": "p10", "equipamentos_escolares": "p11", "agregados": ("p12", "p12_text", "p12_catalogue"), "homicidios": "p13",
     "banda_larga": "p14", "saneamento_e_rais": ("p15", "p15_snis_catalogue", "p15_rais_catalogue"),
 }
 
@@ -56,37 +60,69 @@ DIM_SCHEMA = "dado_id int, nome_dado string, topico string, anos_serie_historica
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """The persisted indicator dimension; empty before the first run."""
-    try:
-        return spark.read.schema(DIM_SCHEMA).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in NO_STORE:
-            return spark.createDataFrame([], DIM_SCHEMA)
-        raise
+    """The committed indicator dimension (the folder of its last version); empty before the first run."""
+    commits = V.committed(spark, path)
+    if not commits:
+        return spark.createDataFrame([], DIM_SCHEMA)
+    return V.read_loads(spark, path, commits[-1]["loads"], f"{DIM_SCHEMA}, load string").drop("load")
+
+
+def update_dimension(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Commit what ``change`` makes of the dimension as its next version, a folder of its own.
+
+    When another run commits first, the change is made again on that run's
+    version. The last version is never touched, so a reader always has a whole one."""
+    while True:
+        version = V.latest(V.committed(spark, path)) + 1
+        load = V.load_name(version)
+        change(read_dimension(spark, path)).write.parquet(V.load_path(path, load))
+        if V.commit(spark, path, version, [load]):
+            return read_dimension(spark, path)
+
+
+def deal_ids(df: DataFrame, by: str, first: int, name: str) -> DataFrame:
+    """``df`` with consecutive numbers from ``first`` on in the order of ``by``.
+
+    Ranges of the order are written once; each is numbered by itself, from
+    where the ranges before it end, so no task sees all rows."""
+    placed = materialize(df.repartitionByRange(by).withColumn("__range", F.spark_partition_id()))
+    sizes = sorted(tuple(r) for r in placed.groupBy("__range").count().collect())
+    starts = [(r, first + sum(n for _, n in sizes[:i])) for i, (r, _) in enumerate(sizes)]
+    starts = literal_frame(df.sparkSession, starts, "__range int, __start long")
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(by)) - 1
+    return placed.join(starts, "__range").withColumn(name, F.col("__start") + within).drop("__range", "__start")
 
 
 def indicator_dim(facts: DataFrame, topic: str, known: DataFrame) -> DataFrame:
     """The known dimension and a row for each indicator that is new in the
     facts. Names that differ in case or blanks alone are one indicator. New
-    ids follow the largest known one, in the order of names (a list of
-    indicators, not of facts)."""
+    ids follow the largest known one, in the order of names."""
     key = name_key("nome_dado")
     names = facts.select(F.col(S.DATA_ID_COL).alias("nome_dado")).groupBy(key.alias("__k")).agg(F.min("nome_dado").alias("nome_dado"))
-    new = names.join(known.select(key.alias("__k")), "__k", "left_anti")
+    new = names.join(known.select(key.alias("__k")), "__k", "left_anti").select("nome_dado")
     top = known.agg(F.coalesce(F.max("dado_id"), F.lit(0))).first()[0]
-    rows = new.select((F.row_number().over(Window.orderBy("nome_dado")) + top).cast("int").alias("dado_id"), "nome_dado",
-                      F.lit(topic).alias("topico"), F.lit(None).cast("array<int>").alias("anos_serie_historica"))
+    rows = deal_ids(new, "nome_dado", top + 1, "dado_id").select(
+        F.col("dado_id").cast("int"), "nome_dado", F.lit(topic).alias("topico"), F.lit(None).cast("array<int>").alias("anos_serie_historica"))
     return materialize(known.unionByName(rows))
 
 
+def register_indicators(spark: SparkSession, path: str, names: list[str], topic: str) -> DataFrame:
+    """The dimension with an id for each name, committed; run before the names' facts are loaded. Two runs at once get different ids."""
+    listed = literal_frame(spark, [(n,) for n in names], f"{S.DATA_ID_COL} string")
+    known = read_dimension(spark, path)
+    if listed.join(known.select(name_key("nome_dado").alias("__k")), name_key(S.DATA_ID_COL) == F.col("__k"), "left_anti").isEmpty():
+        return known
+    return update_dimension(spark, path, lambda dim: indicator_dim(listed, topic, dim))
+
+
 def run_etl(spark: SparkSession, sf_dir: str, store: str, request: list[str] | dict[str, list[str]] | None = None,
             dimension: str | None = None) -> tuple[DataFrame, list[str]]:
     """Run the requested sources; returns (run log, unknown names).
 
     A request is a list of sources, or a source -> indicators map (an empty
     list of indicators asks for all). ``dimension`` is the folder of the
-    indicator dimension, by default beside the store; it is read before and
-    written after each source's load."""
+    indicator dimension, by default beside the store; new indicators are
+    committed to it before each source's load, the years that are in the store after it."""
     from indicarium.plans.queries import registered
     queries = registered()
     chosen, unknown = resolve_request(list(request or []))
@@ -108,15 +144,16 @@ def run_etl(spark: SparkSession, sf_dir: str, store: str, request: list[str] | d
                 unknown += [f"{source}: {r.name}" for r in missing.collect()]
             # computed once: the load and the run log both read this copy
             facts = materialize(facts)
-            K.require_rows(facts)
-            out = load_incremental(facts, indicator_dim(facts, source, read_dimension(spark, path)), mun, store)
-            out["indicator_dim"].write.mode("overwrite").parquet(path)
-            # per data point: years and rows (one small aggregate)
-            for r in facts.groupBy(S.DATA_ID_COL).agg(
-                    F.array_sort(F.collect_set(S.YEAR_COL)).alias("years"),
-                    F.count(F.lit(1)).alias("rows")).collect():
-                points.append((r[0], list(r[1]), int(r[2])))
-            info = f"linhas inseridas: {out['rows']}"
+            # per data point: years and rows (one small aggregate, which the ids need as well)
+            points += [(r[0], list(r[1]), int(r[2])) for r in facts.groupBy(S.DATA_ID_COL).agg(
+                F.array_sort(F.collect_set(S.YEAR_COL)), F.count(F.lit(1))).collect()]
+            if not points:
+                raise K.ContractError("empty load")
+            dim = register_indicators(spark, path, [p[0] for p in points], source)
+            out = load_incremental(facts, dim, mun, store)
+            update_dimension(spark, path, lambda dim: with_stored_years(dim, stored_years(V.committed(spark, store))))
+            info = f"linhas inseridas: {out['rows']}" + "".join(
+                f", {what}: {out[n]}" for n, what in (("late", "tardias"), ("present", "já carregadas"), ("unmatched", "sem município")) if out[n])
         except Exception as e:  # noqa: BLE001 - one failing source must not stop the others
             status, info = "erro", str(e)
         records.append((run_id, source, start, dt.datetime.now(), status, info, points))
@@ -124,7 +161,7 @@ def run_etl(spark: SparkSession, sf_dir: str, store: str, request: list[str] | d
     return log, unknown
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="Run indicator sources into a fact store.")
     p.add_argument("--sf", required=True, help="folder with the source tables")
     p.add_argument("--store", required=True, help="fact store folder (partitioned by dado_id, ano)")
@@ -141,7 +178,8 @@ def main(argv: list[str] | None = None) -> None:
         print(row.texto)
     if unknown:
         print("fontes desconhecidas:", ", ".join(unknown))
+    return int(not log.where("status = 'erro'").isEmpty())
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

@@ -33,7 +33,7 @@ def bind_p6(t: B.Tables) -> DataFrame:
         F.count(F.when(F.col("ano") == y, 1)).alias(f"n{y}") for y in years], *[
         F.count(F.when((F.col("ano") == y) & (F.col("o_orderpriority") == "1-URGENT"), 1)).alias(f"u{y}")
         for y in years])
-    uf = J.bounded_broadcast(B.municipalities(t).select("c_custkey", "sigla_uf"))
+    uf = B.municipalities(t).select("c_custkey", "sigla_uf")
     per = per.join(uf, F.col("o_custkey") == F.col("c_custkey"))
     cols = {f"IDEB {y} (N x P)": F.when(F.col(f"n{y}") == 0, F.lit("-")).otherwise(
         F.format_string("%.1f", F.round(F.lit(10.0) * F.col(f"u{y}") / F.col(f"n{y}"), 1))) for y in years}
@@ -80,7 +80,7 @@ def bind_p7(t: B.Tables) -> DataFrame:
     o = B.order_facts(t)
     per = o.groupBy("o_custkey", "ano").agg(F.count(F.lit(1)).alias("n"),
                                            F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("f"))
-    m = J.bounded_broadcast(B.municipalities(t).select("c_custkey", "nome_municipio", "sigla_uf"))
+    m = B.municipalities(t).select("c_custkey", "nome_municipio", "sigla_uf")
     per = per.join(m, F.col("o_custkey") == F.col("c_custkey"))
     cities = per.select(F.concat("nome_municipio", F.lit(" ("), "sigla_uf", F.lit(")")).alias("Territorialidade"),
                         F.round(F.col("f") / F.col("n"), 3).alias("IDHM"), "ano")
@@ -177,7 +177,7 @@ def p9_catalogue(spark) -> DataFrame:
     rows = [(P9_EDITION, c, q, tp, "bool") for c, _, q, tp in P9_QUESTIONS]
     rows.append((P9_EDITION, P9_URGENT[0], P9_URGENT[1], P9_URGENT[2], "bool"))
     rows.append((P9_EDITION, P9_TEXT[0], P9_TEXT[1], P9_TEXT[2], "str"))
-    return spark.createDataFrame(rows, "ano int, codigo string, nome string, topico string, tipo string")
+    return J.literal_frame(spark, rows, "ano int, codigo string, nome string, topico string, tipo string")
 
 
 def p9_munic(sheets: list[DataFrame], catalogue: DataFrame, edition: int = P9_EDITION) -> DataFrame:

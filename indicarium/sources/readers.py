@@ -113,6 +113,30 @@ def read_api_json(spark: SparkSession, path: str) -> DataFrame:
     return flatten_api(spark.read.schema(API_SCHEMA).option("multiLine", "true").json(path))
 
 
+def frame_answers(spark: SparkSession, path: str, out: str) -> None:
+    """Land API answers (JSON arrays, a file each) as a document per line. An
+    array can't be split, so this reads each file in one task, once; what
+    reads the lines is as parallel as their bytes allow. Documents keep whatever shape they have."""
+    docs = spark.read.option("singleVariantColumn", "doc").option("multiLine", "true").json(path)
+    docs.select(F.explode(F.col("doc").cast("array<variant>")).alias("value")).select(F.to_json("value").alias("value")).write.text(out)
+
+
+def read_api_lines(spark: SparkSession, path: str, keep: dict[str, str] | None = None) -> DataFrame:
+    """A5 over lines of ``frame_answers``: the documents are VARIANTs, so that
+    those of another shape don't become nulls unseen. ``resultados`` may be a list or a
+    single result; any other shape, or a line that is no JSON, is an
+    error. ``keep``: further fields of a document, name -> type."""
+    doc = spark.read.text(path).select(F.parse_json("value").alias("doc"))
+    several = API_SCHEMA["resultados"].dataType
+    results = F.coalesce(
+        F.try_variant_get("doc", "$.resultados", several.simpleString()),
+        F.array(F.try_variant_get("doc", "$.resultados", several.elementType.simpleString())))
+    odd = F.try_variant_get("doc", "$.resultados", "variant").isNotNull() & results[0].isNull() & (F.size(results) > 0)
+    results = F.when(odd, F.raise_error(F.concat(F.lit("an answer of another shape: "), F.to_json("doc"))).cast(several)).otherwise(results)
+    fields = {"id": "string", "variavel": "string", "unidade": "string"} | (keep or {})
+    return flatten_api(doc.select(*[F.variant_get("doc", f"$.{n}", t).alias(n) for n, t in fields.items()], results.alias("resultados")), keep=list(keep or {}))
+
+
 FLAT_SERIES_SCHEMA = "id string, periodo string, valor string, cod string"
 
 
@@ -138,10 +162,29 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     return catalogue_rows(text.select(doc.alias("catalogo")))
 
 
+def read_survey_catalogue(spark: SparkSession, information: str, codes: str) -> DataFrame:
+    """A7 in the survey's two files: question -> {categoria, tipo}, and year ->
+    question -> code. One row for each question of a year: ano, codigo, nome,
+    topico, tipo. A question without information is an error."""
+    def document(path: str, kind: str) -> DataFrame:
+        text = spark.read.option("wholetext", "true").text(path)
+        doc = F.coalesce(F.from_json("value", kind), F.raise_error(F.lit(f"no survey catalogue: {path}")))
+        return text.select(F.explode(doc).alias("k", "v"))
+
+    known = document(information, "map<string,map<string,string>>").select(F.col("k").alias("nome"), F.col("v.categoria").alias("topico"), F.col("v.tipo").alias("tipo"))
+    coded = document(codes, "map<string,map<string,string>>").select(F.col("k").cast("int").alias(S.YEAR_COL), F.explode("v").alias("nome", "codigo"))
+    told = F.coalesce("tipo", F.raise_error(F.concat(F.lit("no information on the question "), "nome")))
+    # catalogues of some hundred questions: Spark sees their size when it has read them
+    return coded.join(known, "nome", "left").select(S.YEAR_COL, "codigo", "nome", "topico", told.alias("tipo"))
+
+
 def yearly_files_scan(spark: SparkSession, root: str, schema: T.StructType | str, glob: str,
                       sep: str = ";", encoding: str = LATIN1, year_regex: str = r"(\d{4})",
                       header: bool = True) -> DataFrame:
-    """Recurse a folder, keep files by name glob, year from the path."""
+    """Recurse a folder, keep files by name glob, year from the path.
+
+    The year is an expression of the file's path alone, so a filter on it
+    chooses files: those of other years are listed and never opened."""
     df = (spark.read.schema(schema).option("sep", sep).option("encoding", encoding)
           .option("header", str(header).lower()).option("enforceSchema", str(not header).lower())
           .option("recursiveFileLookup", "true")
@@ -160,6 +203,12 @@ def side_file_split(spark: SparkSession, root: str, fact_schema, fact_glob: str,
             yearly_files_scan(spark, root, lookup_schema, lookup_glob, **lk).drop(S.YEAR_COL))
 
 
+def write_dimension(df: DataFrame, table: str, key: str, path: str, buckets: int = 64) -> None:
+    """A10: a dimension as a catalog table, bucketed and sorted by its key (natural
+    key of F1/F6, name key of F7): joins on that key don't shuffle it."""
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+
+
 def read_dimension(spark: SparkSession, table: str | None = None, path: str | None = None,
                    jdbc_url: str | None = None, properties: dict | None = None) -> DataFrame:
     """A10: a dimension from a catalog table, a parquet path or JDBC."""

@@ -1,27 +1,32 @@
-"""Sinks (2.B). Writes are idempotent per partition: the fact store is
-``partitionBy`` (dado_id, ano) with dynamic partition overwrite, so a task
-or job retried after an executor loss rewrites the same partitions."""
+"""Sinks (2.B). A load's facts are one folder ``partitionBy`` (dado_id, ano) that a
+commit makes visible (``sources.versions``); a task or job retried after an
+executor loss writes the same partitions of the same folder again."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from indicarium import schema as S
 
 
 def write_facts(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", observe: tuple[Observation, list[Column]] | None = None) -> None:
     """B1: write facts as parquet; with ``overwrite`` only the partitions
-    present in ``df`` are replaced (dynamic partition overwrite)."""
+    present in ``df`` are replaced (dynamic partition overwrite). ``observe``
+    gathers figures of the rows in the job that writes them: G9 without a
+    second scan. It stands behind the shuffle, in the stage that writes, so
+    a task that is run again does not count twice."""
     parts = partition_by or ["dado_id", "ano"]
     # REBALANCE clusters rows by the partition columns (few files per
     # partition) and lets AQE split a hot (indicator, year) over several
     # tasks and merge small ones; a plain repartition would write a hot
     # partition from one task. Dynamic overwrite is a per-write option, so
     # the session's setting for other writes is left alone.
-    (df.hint("rebalance", *parts).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*parts).parquet(path))
+    out = df.hint("rebalance", *parts)
+    if observe:
+        out = out.observe(observe[0], *observe[1])
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
 def write_facts_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,

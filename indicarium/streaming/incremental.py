@@ -4,9 +4,11 @@
 Micro-batches only copy the new files' rows to a staging folder, one
 folder for each batch number, so a retried batch rewrites its own. What is
 loaded already is decided once a run, over everything staged: however the
-files were dealt out over batches, the store gets the same rows. The
+files were dealt out over batches, the store gets the same rows. Rows of a
+year that the store has are merged by city, so a late file adds what is new in it. The
 stream's checkpoint records which files were taken; staged rows of a run
-that stopped before its load are loaded by the next one.
+that stopped before its load are loaded by the next one, and those of a run
+that stopped after it are there already.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from indicarium.plans.load import NO_STORE, load_incremental
+from indicarium.plans.load import load_incremental
 from indicarium.session import shared_folder
+from indicarium.sources.versions import NO_STORE
 
 LANDED_FACT_SCHEMA = T.StructType([
     T.StructField("codigo_municipio", T.LongType()),
@@ -35,8 +38,8 @@ def stream_incremental_load(spark: SparkSession, landing: str, store: str, indic
     stages; it does not change the result. ``checkpoint`` (by default a
     folder of the stream's name in the shared folder the session names)
     keeps the stream's progress and must outlive the application.
-    Returns the inserted rows, the staged batches of this run and the
-    indicator dimension."""
+    Returns the inserted rows, those of them in years that the store had (late), the rows
+    that were there (present), the staged batches of this run and the indicator dimension."""
     root = checkpoint or f"{shared_folder(spark)}/streams/{name}"
     staged = f"{root}/staged"
     batches = []
@@ -56,9 +59,9 @@ def stream_incremental_load(spark: SparkSession, landing: str, store: str, indic
         facts = spark.read.schema(LANDED_FACT_SCHEMA).parquet(staged)
     except AnalysisException as e:
         if e.getCondition() in NO_STORE:
-            return {"rows": 0, "batches": 0, "indicator_dim": indicator_dim}
+            return {"rows": 0, "late": 0, "present": 0, "batches": 0, "indicator_dim": indicator_dim}
         raise
-    out = load_incremental(facts, indicator_dim, municipality_dim, store)
+    out = load_incremental(facts.select(*LANDED_FACT_SCHEMA.names), indicator_dim, municipality_dim, store)
     path = spark._jvm.org.apache.hadoop.fs.Path(staged)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return {"rows": out["rows"], "batches": len(batches), "indicator_dim": out["indicator_dim"]}
+    return {k: out[k] for k in ("rows", "late", "present", "indicator_dim")} | {"batches": len(batches)}
