@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from indicarium import schema as S
 from indicarium.functions.numbers import seven_digit
@@ -21,7 +22,7 @@ from indicarium.functions.text import name_key, text_key
 LITERAL_ROWS = 20_000
 
 
-def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
     """A frame of rows that the driver holds (a catalogue, a request, years of
     partitions), hinted to be broadcast: joins with it shuffle nothing. Its
     size is known here and nowhere later, so the hint is given here, up to
@@ -30,6 +31,12 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
     return F.broadcast(df) if len(rows) <= LITERAL_ROWS else df
 
 
+def listed(df: DataFrame) -> DataFrame:
+    """A catalogue that was read from files as a ``literal_frame``, when it has ``LITERAL_ROWS`` rows at most; else as it is."""
+    rows = df.take(LITERAL_ROWS + 1)
+    return literal_frame(df.sparkSession, [tuple(r) for r in rows], df.schema) if len(rows) <= LITERAL_ROWS else df
+
+
 def municipality_code6(municipalities: DataFrame) -> DataFrame:
     """(six-digit code, seven-digit code) pairs: the six-digit code is the
     seven-digit one without its check digit."""

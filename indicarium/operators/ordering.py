@@ -19,6 +19,14 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return picked.select(*keys, "__r.*")
 
 
+def ranges_by_rank(df: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """``df`` with ``__range``: numbered ranges of the order ``by`` of about
+    ``rows`` rows each, whatever its values and gaps (Spark samples the bounds;
+    equal rows stay together). Written, as bounds are sampled anew whenever a plan runs."""
+    ranges = df.select(*by).count() // rows + 2
+    return materialize(df.repartitionByRange(ranges, *by).withColumn("__range", F.spark_partition_id()))
+
+
 def fill_missing_year(df: DataFrame, year_col: str, order: str, partition: list[str] | None = None,
                       out: str | None = None, chunk: int | None = 1 << 20) -> DataFrame:
     """A missing year is the last known year + 1; the last known year
@@ -45,9 +53,7 @@ def fill_missing_year(df: DataFrame, year_col: str, order: str, partition: list[
     if not chunk:
         w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(res, F.coalesce(y, F.last(y, ignorenulls=True).over(w) + 1))
-    ranges = df.select(order).count() // chunk + 2
-    # written, as ranges are sampled anew whenever the plan runs
-    keyed = materialize(df.repartitionByRange(ranges, *part, order).withColumn("__range", F.spark_partition_id()))
+    keyed = ranges_by_rank(df, [*part, order], chunk)
     # one row per (source, range): its last known year (null when it has none)
     per_range = keyed.groupBy(*part, "__range").agg(
         F.max_by(y, F.when(y.isNotNull(), o)).alias("__last"))

@@ -193,4 +193,4 @@ def p9_catalogue_query(spark, d):
     # every fourth answer is missing
     answer = lambda q: F.element_at(F.array(F.lit("Sim"), F.lit("Não"), F.lit("Recusa"), F.lit(None)), ((F.col("c_custkey") + len(q)) % 4 + 1).cast("int"))
     sheet = B.municipalities(t).select(F.col("codigo_municipio").alias("CodMun"), *[answer(q).alias(c.lower()) for q, c in questions])
-    return p9_munic([sheet], A.read_survey_catalogue(spark, f"{root}/informacao", f"{root}/codigos"), P9_YEAR)
+    return p9_munic([sheet], J.listed(A.read_survey_catalogue(spark, f"{root}/informacao", f"{root}/codigos")), P9_YEAR)

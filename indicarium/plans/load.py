@@ -58,7 +58,8 @@ def rows_to_load(facts: DataFrame, indicator_dim: DataFrame, municipality_dim: D
 def read_store(spark: SparkSession, store: str, version: int | None = None) -> DataFrame | None:
     """The rows of the store's last version, or of an earlier one; None while it has none."""
     loads = [x for c in V.committed(spark, store) if version is None or c["version"] <= version for x in c["loads"]]
-    return V.read_loads(spark, store, loads, LOADED_SCHEMA).drop("load") if loads else None
+    columns = ["dado_id", "municipio_id", S.YEAR_COL, S.DTYPE_COL, S.VALUE_COL]
+    return V.read_loads(spark, store, loads, LOADED_SCHEMA).select(*columns) if loads else None
 
 
 def stored_years(commits: list[dict]) -> dict[int, list[int]]:

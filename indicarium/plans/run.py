@@ -27,6 +27,7 @@ from indicarium import schema as S
 from indicarium.functions.text import name_key
 from indicarium.operators import validate as K
 from indicarium.operators.joins import literal_frame, request_filter
+from indicarium.operators.ordering import ranges_by_rank
 from indicarium.plans import bindings as B
 from indicarium.plans.load import load_incremental, stored_years, with_stored_years
 from indicarium.session import materialize
@@ -85,7 +86,7 @@ def deal_ids(df: DataFrame, by: str, first: int, name: str) -> DataFrame:
 
     Ranges of the order are written once; each is numbered by itself, from
     where the ranges before it end, so no task sees all rows."""
-    placed = materialize(df.repartitionByRange(by).withColumn("__range", F.spark_partition_id()))
+    placed = ranges_by_rank(df, [by], 1 << 20)
     sizes = sorted(tuple(r) for r in placed.groupBy("__range").count().collect())
     starts = [(r, first + sum(n for _, n in sizes[:i])) for i, (r, _) in enumerate(sizes)]
     starts = literal_frame(df.sparkSession, starts, "__range int, __start long")
@@ -152,8 +153,7 @@ def run_etl(spark: SparkSession, sf_dir: str, store: str, request: list[str] | d
             dim = register_indicators(spark, path, [p[0] for p in points], source)
             out = load_incremental(facts, dim, mun, store)
             update_dimension(spark, path, lambda dim: with_stored_years(dim, stored_years(V.committed(spark, store))))
-            info = f"linhas inseridas: {out['rows']}" + "".join(
-                f", {what}: {out[n]}" for n, what in (("late", "tardias"), ("present", "já carregadas"), ("unmatched", "sem município")) if out[n])
+            info = f"linhas inseridas: {out['rows']}" + (f", das quais tardias: {out['late']}" if out["late"] else "")
         except Exception as e:  # noqa: BLE001 - one failing source must not stop the others
             status, info = "erro", str(e)
         records.append((run_id, source, start, dt.datetime.now(), status, info, points))

@@ -174,7 +174,6 @@ def read_survey_catalogue(spark: SparkSession, information: str, codes: str) ->
     known = document(information, "map<string,map<string,string>>").select(F.col("k").alias("nome"), F.col("v.categoria").alias("topico"), F.col("v.tipo").alias("tipo"))
     coded = document(codes, "map<string,map<string,string>>").select(F.col("k").cast("int").alias(S.YEAR_COL), F.explode("v").alias("nome", "codigo"))
     told = F.coalesce("tipo", F.raise_error(F.concat(F.lit("no information on the question "), "nome")))
-    # catalogues of some hundred questions: Spark sees their size when it has read them
     return coded.join(known, "nome", "left").select(S.YEAR_COL, "codigo", "nome", "topico", told.alias("tipo"))
 
 

@@ -182,3 +182,35 @@ def test_checks_and_long_buckets(spark):
     long = spark.createDataFrame([(1, "Menos de 500g", 2), (1, "500 a 999g", 3), (1, "2500 a 2999g", 8)],
                                  "k int, faixa string, n int")
     assert G.bucket_sum_long(long, ["k"], "faixa", "n", 2499).first().valor == 5
+
+
+def test_year_fill_on_sparse_orders(spark):
+    """Positions in epoch milliseconds, a third of the rows in one source: ranges of some rows each, the same years."""
+    import random
+    rnd = random.Random(3)
+    at = lambda: 1_500_000_000_000 + rnd.randrange(10**11)
+    rows = [("hot", p, rnd.choice([None, None, None, 2000 + i % 20])) for i, p in enumerate(sorted(at() for _ in range(2000)))]
+    rows += [(f"s{i % 40}", at(), rnd.choice([None, 2010])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "src string, pos long, ano int").distinct()
+    whole = {(r.src, r.pos): r.ano for r in I.fill_missing_year(df, "ano", "pos", ["src"], chunk=None).collect()}
+    assert {(r.src, r.pos): r.ano for r in I.fill_missing_year(df, "ano", "pos", ["src"], chunk=250).collect()} == whole
+    sizes = [r["count"] for r in I.ranges_by_rank(df, ["src", "pos"], 250).groupBy("__range").count().collect()]
+    assert sum(sizes) == len(whole) and len(sizes) > 20 and max(sizes) < 3 * 250
+
+
+def test_editions_by_table(spark):
+    """Names that differ in case are one column; a name of its own counts in the editions that don't rename or drop it."""
+    df = spark.createDataFrame([(2019, "a", "n1", None, "x"), (2020, None, "n2", "b", "y"), (2021, "c", "n3", "d", "z")], "ano int, A1 string, Nome string, B2 string, EXTRA string")
+    out = C.harmonise_by_table(df, "ano", [(2019, "a1", "Valor"), (2020, "B2", "Valor"), (2021, "a1", "Valor"), (2021, "B2", "nome")], ["nome", "EXTRA", "nada"], [(2020, "EXTRA"), (2021, "Nome")])
+    assert out.columns == ["ano", "nome", "EXTRA", "nada", "Valor"]
+    assert sorted(map(tuple, out.collect())) == [(2019, "n1", "x", None, "a"), (2020, "n2", None, None, "b"), (2021, "d", "z", None, "c")]
+
+
+def test_a_guard_does_not_move(spark):
+    """Rows that a filter or join takes out before the contract are no breach of it."""
+    from indicarium.operators import validate as K
+    cat = J.literal_frame(spark, [("a", "A")], "k string, dado_identificador string")
+    df = spark.createDataFrame([("a", 1000011, 2000, "1"), ("a", 1000011, 2001, None), ("b", 5, 2000, "1")], "k string, codigo_municipio long, ano int, valor string")
+    facts = J.catalogue_join(df, cat, ["k"]).withColumn("tipo_dado", F.lit("int")).dropna(subset=["valor"])
+    assert [r.ano for r in K.enforce_contract(facts.drop("k")).collect()] == [2000]
+

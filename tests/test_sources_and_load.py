@@ -218,3 +218,68 @@ def test_dimension_readers_and_small_sinks(spark, scratch):
     new = spark.createDataFrame([("leitossus", [2012, 2011])], "nome_dado string, anos array<int>")
     assert B.update_indicator_years(ind, new).first().anos_serie_historica == [2010, 2011, 2012]
     assert B.preview(m, 1).count() == 1
+
+
+def _files_opened(df):
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(p):
+        if "Scan" in p.nodeName():
+            found.append(p.metrics().apply("numFiles").value())
+        for i in range(p.children().size()):
+            walk(p.children().apply(i))
+
+    walk(plan)
+    return sum(found)
+
+
+def test_a_year_opens_its_files_only(spark, scratch):
+    for y in (2018, 2019, 2020):
+        write(os.path.join(scratch, "censo", str(y), "dados", "a.csv"), f"CO;QT\n1;{y}\n")
+    df = A.yearly_files_scan(spark, os.path.join(scratch, "censo"), "CO long, QT int", "*.csv", year_regex=r"censo/(\d{4})/")
+    assert _files_opened(df) == 3
+    one = df.where("ano = 2019")
+    assert [r.QT for r in one.collect()] == [2019] and _files_opened(df.where("ano = 2019")) == 1
+
+
+def test_answers_by_line(spark, scratch):
+    """One answer file of many variables becomes lines that several tasks read; other shapes fail, whatever is missing is null for K4."""
+    serie = lambda c, y, v: {"localidade": {"id": str(c), "nome": "x"}, "serie": {str(y): v}}
+    result = lambda i: {"classificacoes": [{"id": "1", "nome": "n", "categoria": {"0": "Total"}}], "series": [serie(1000000 + i, 2019, str(i)), serie(1000000 + i, 2020, "-")]}
+    docs = [{"id": str(i), "variavel": f"v{i}", "unidade": "Pessoas", "resultados": [result(i)] if i % 2 else result(i)} for i in range(300)]
+    docs.append({"id": "sem", "resultados": [result(1)]})
+    write(os.path.join(scratch, "in", "a.json"), json.dumps(docs, indent=1))
+    A.frame_answers(spark, os.path.join(scratch, "in"), os.path.join(scratch, "lines"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = A.read_api_lines(spark, os.path.join(scratch, "lines"))
+        assert df.rdd.getNumPartitions() > 3
+        rows = df.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 602 and {(r.variavel_id, r.codigo_municipio, r.ano, r.raw) for r in rows} >= {("7", 1000007, 2019, "7"), ("8", 1000008, 2020, "-")}
+    assert [r.unidade for r in rows if r.variavel_id == "sem"] == [None, None]
+    write(os.path.join(scratch, "odd", "a"), '{"id": "1", "resultados": "nada"}')
+    with pytest.raises(Exception, match="another shape"):
+        A.read_api_lines(spark, os.path.join(scratch, "odd")).collect()
+
+
+def test_survey_catalogue(spark, scratch):
+    write(os.path.join(scratch, "i.json"), '{"Tem plano?": {"categoria": "Gestão", "tipo": "bool"}, "Qual?": {"categoria": "Gestão", "tipo": "str"}}')
+    write(os.path.join(scratch, "c.json"), '{"2018": {"Tem plano?": "M1", "Qual?": "M2"}, "2020": {"Tem plano?": "X9"}}')
+    got = A.read_survey_catalogue(spark, os.path.join(scratch, "i.json"), os.path.join(scratch, "c.json"))
+    assert sorted(map(tuple, got.collect())) == [(2018, "M1", "Tem plano?", "Gestão", "bool"), (2018, "M2", "Qual?", "Gestão", "str"), (2020, "X9", "Tem plano?", "Gestão", "bool")]
+    write(os.path.join(scratch, "d.json"), '{"2018": {"Outra?": "M3"}}')
+    with pytest.raises(Exception, match="no information"):
+        A.read_survey_catalogue(spark, os.path.join(scratch, "i.json"), os.path.join(scratch, "d.json")).collect()
+
+
+def test_store_written_by_others_is_refused(spark, scratch):
+    ind, mun = _dims(spark)
+    store = os.path.join(scratch, "fatos")
+    _facts(spark, [2019]).write.parquet(os.path.join(store, "dado_id=7"))
+    with pytest.raises(ValueError, match="no load wrote"):
+        load_incremental(_facts(spark, [2019]), ind, mun, store)
+
