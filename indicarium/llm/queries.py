@@ -125,13 +125,17 @@ WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
            FROM (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM d)),
      k AS (SELECT doc_id, pos, words, len(words) AS n, words[1:4] AS head FROM l WHERE len(words) >= 4),
      tok AS (SELECT n, head, p, token, count(*) AS c
-             FROM (SELECT n, head, unnest(range(n)) AS p, unnest(words) AS token FROM k) GROUP BY ALL),
+             FROM (SELECT n, head, unnest(range(n)) AS p, unnest(words) AS token FROM (SELECT DISTINCT doc_id, n, head, words FROM k)) GROUP BY ALL),
      tpl AS (SELECT n, head, list(CASE WHEN 2 * c > total THEN token END ORDER BY p) AS template
              FROM (SELECT n, head, p, sum(c) AS total, max(c) AS c, arg_max(token, c) AS token FROM tok GROUP BY n, head, p) GROUP BY n, head),
      f AS (SELECT doc_id, pos, n, head FROM k JOIN tpl USING (n, head)
-           WHERE len(list_filter(list_zip(words, template), lambda z: z[1] = z[2] AND z[2] <> '<*>')) >= 0.5 * n),
+           WHERE len(list_filter(list_zip(words, template), lambda z: z[1] = z[2] AND z[2] <> '<*>')) >= 0.5 * n
+                 AND len(list_filter(list_zip(words[5:], template[5:]), lambda z: z[1] = z[2])) >= 0.5 * (n - 4)),
      r AS (SELECT n, head, min(doc_id) AS first FROM f GROUP BY n, head HAVING count(DISTINCT doc_id) >= 10),
-     x AS (SELECT DISTINCT doc_id, pos FROM f JOIN r USING (n, head) WHERE doc_id <> first),
+     e AS (SELECT words, min(doc_id) AS first FROM k WHERE n >= 8 AND len(list_filter(words, lambda t: t <> '<*>')) >= 0.5 * n
+           GROUP BY words HAVING count(DISTINCT doc_id) >= 2),
+     x AS (SELECT DISTINCT doc_id, pos FROM f JOIN r USING (n, head) WHERE doc_id <> first
+           UNION SELECT DISTINCT doc_id, pos FROM k JOIN e USING (words) WHERE doc_id <> first),
      o AS (SELECT d.doc_id, d.text, i.pos, i.line, x.pos IS NOT NULL AS gone
            FROM d JOIN (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM d) i USING (doc_id)
                 LEFT JOIN x ON x.doc_id = i.doc_id AND x.pos = i.pos)

@@ -353,20 +353,25 @@ def test_held_out_labels_do_not_matter(spark, frame, prose):
 # 10
 
 
-def brute_lines(data, depth=4, min_docs=3):
+def brute_lines(data, depth=4, min_docs=10):
     docs = sorted({(i, t) for i, t in data if t is not None}, key=lambda d: (d[0] is None, d[0] or 0))
-    lines = [(d, at, ["<*>" if re.search("[0-9]", w) else w for w in re.split("[ \t\r\f\x0b]+", line.strip(" \t\r\f\x0b"))]) for d in docs for at, line in enumerate(d[1].split("\n"))]
+    lines = [(d, at, tuple("<*>" if re.search("[0-9]", w) else w for w in re.split("[ \t\r\f\x0b]+", line.strip(" \t\r\f\x0b")))) for d in docs for at, line in enumerate(d[1].split("\n"))]
     lines = [x for x in lines if len(x[2]) >= 4]
-    leaves = {}
+    leaves, alone, gone = {}, {}, set()
     for x in lines:
         leaves.setdefault((len(x[2]), *x[2][:depth]), []).append(x)
-    gone = set()
+        if len(x[2]) >= 8 and sum(w != "<*>" for w in x[2]) >= 0.5 * len(x[2]):
+            alone.setdefault(x[2], []).append(x)
+    for same in alone.values():
+        gone |= {(x[0], x[1]) for x in same if x[0] != same[0][0]}
     for leaf in leaves.values():
+        votes = {(x[0], x[2]) for x in leaf}
         template = []
-        for column in zip(*(x[2] for x in leaf)):
+        for column in zip(*(w for _, w in votes)):
             word, n = Counter(column).most_common(1)[0]
-            template.append(word if 2 * n > len(leaf) else None)
-        follow = [x for x in leaf if sum(a == b != "<*>" for a, b in zip(x[2], template)) >= 0.5 * len(x[2])]
+            template.append(word if 2 * n > len(votes) else None)
+        follow = [x for x in leaf if sum(a == b != "<*>" for a, b in zip(x[2], template)) >= 0.5 * len(x[2])
+                  and sum(a == b for a, b in zip(x[2][depth:], template[depth:])) >= 0.5 * (len(x[2]) - depth)]
         if len({x[0] for x in follow}) >= min_docs:
             gone |= {(x[0], x[1]) for x in follow if x[0] != follow[0][0]}
     out = []
@@ -376,14 +381,21 @@ def brute_lines(data, depth=4, min_docs=3):
     return out
 
 
-def test_line_dedup(spark, frame, odd_texts, prose):
+@pytest.mark.parametrize("many", [6, 14])
+def test_line_dedup(spark, frame, odd_texts, prose, many):
+    """At the query's own limits: templates that vary from ten documents on, long lines from two."""
     data = [d for d in odd_texts if d[0] is not None or d[1] is None]
-    data += [(60 + i, prose(400 + i, 30, 2) + f"\nuser {i} logged in from 10.0.0.{i} at {i}:0{i}\nAll rights reserved by the owner\nthe of and in {re.sub('[0-9]', '', prose(500 + i, 9, 1))}") for i in range(6)]
+    data += [(60 + i, prose(400 + i, 30, 2) + f"\nuser {i} logged in from 10.0.0.{i} at {i}:0{i}\nAll rights reserved by the owner\nthe of and in {re.sub('[0-9]', '', prose(500 + i, 9, 1))}"
+              + f"\nmail from river to {'stone cloud hill bird tree leaf root seed wind sun moon star sea ship'.split()[i]} was sent by the port\n" + re.sub('[0-9]', '', prose(77 if i < 2 else 700 + i, 60, 1))) for i in range(many)]
+    # two families of lines under one head, and a document that repeats a third very often
+    data += [(200 + i, f"we all went to {'river stone cloud field hill bird' if i % 2 else 'wind sun moon star sea ship'} and back") for i in range(6)] + [(300, "we all went to port road town tree leaf root and back\n" * 50)]
     docs = frame(data, extra=True)
-    got = line_dedup.line_dedup(spark, docs, min_docs=3).collect()
+    got = line_dedup.line_dedup(spark, docs).collect()
     assert Counter((g.doc_id, g.n_lines, g.n_dropped, g.text) for g in got) == Counter(brute_lines(data))
-    assert {g.doc_id: g.n_dropped for g in got if g.doc_id and g.doc_id >= 60} == {60: 0, 61: 2, 62: 2, 63: 2, 64: 2, 65: 2}
-    out = line_dedup.drop_templates(spark, docs, min_docs=3)
+    dropped = {g.doc_id: g.n_dropped for g in got if g.doc_id and g.doc_id >= 60}
+    assert [dropped[200 + i] for i in range(6)] == [0, 0, 1, 1, 1, 1] and dropped[300] == 0
+    assert [dropped[60 + i] for i in range(many)] == [0, 2] + [1] * 4 if many < 10 else [dropped[60 + i] for i in range(1, many)] == [4] + [3] * (many - 2)
+    out = line_dedup.drop_templates(spark, docs)
     assert out.columns == docs.columns and out.count() == docs.count()
     assert out.where("n_chars <> length(text)").count() == 0
 
