@@ -91,7 +91,7 @@ def _write_counted(rows: DataFrame, store: str, load: str, stored: dict[int, lis
     """Write a load's folder; what it holds is counted by the job that writes it."""
     seen = Observation()
     one = F.lit(1)
-    sinks.write_facts(rows, V.load_path(store, load), ["dado_id", S.YEAR_COL], observe=(seen, [
+    sinks.write_facts(rows, V.load_path(store, load), ["dado_id", S.YEAR_COL], mode="error", observe=(seen, [
         F.count(one).alias("rows"), F.count_if(_in_pairs(stored)).alias("touched"), F.count_if(F.col("municipio_id").isNull()).alias("unmatched"),
         F.collect_set(F.struct("dado_id", S.YEAR_COL)).alias("pairs")]))
     got = seen.get
