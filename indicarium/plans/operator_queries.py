@@ -98,12 +98,9 @@ def m3_file_pattern(spark, d):
     return r.filter(F.col("link").rlike(pat)).select("pos", F.regexp_extract("link", pat, 1).alias("arquivo"))
 
 
-@query("g6_years_by_count", CTE(ORD) + "SELECT ano, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, ano) AS posto FROM ord GROUP BY 1")
+@query("g6_years_by_count", CTE(ORD) + "SELECT ano, count(*) AS n FROM ord GROUP BY 1 ORDER BY n DESC, ano")
 def g6_years_by_count(spark, d):
-    """The years are a handful of rows; their place tells the order that they come in."""
-    years = G.years_by_frequency(B.order_facts(B.Tables(spark, d)))
-    place = years.agg(F.array_agg(F.struct((-F.col("n")).alias("k"), F.col("ano").alias("y"), F.col("n").alias("n"))).alias("all"))
-    return place.select(F.posexplode(F.array_sort("all")).alias("p", "r")).select(F.col("r.y").alias("ano"), F.col("r.n").alias("n"), (F.col("p") + 1).cast("bigint").alias("posto"))
+    return G.years_by_frequency(B.order_facts(B.Tables(spark, d)))
 
 
 @query("d1_in_catalogue", CTE(ORD) + "SELECT o_orderkey, ano FROM ord WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")

@@ -214,3 +214,7 @@ def test_a_guard_does_not_move(spark):
     facts = J.catalogue_join(df, cat, ["k"]).withColumn("tipo_dado", F.lit("int")).dropna(subset=["valor"])
     assert [r.ano for r in K.enforce_contract(facts.drop("k")).collect()] == [2000]
 
+
+def test_years_by_frequency_in_order(spark):
+    df = spark.createDataFrame([(y,) for y in (2001, 2000, 2000, 2003, 2003, 2002)], "ano int")
+    assert [tuple(r) for r in G.years_by_frequency(df).collect()] == [(2000, 2), (2003, 2), (2001, 1), (2002, 1)]
