@@ -70,19 +70,20 @@ def _late(follow: DataFrame, keys: list[str], min_docs: int, name: str) -> DataF
 
 
 def _candidates(rows: DataFrame, leaves: DataFrame, depth: int, min_docs: int) -> DataFrame:
-    """Lines of leaves that ``min_docs`` documents reach: k1, k2, doc_id, at, n, head, words."""
+    """Lines of leaves that ``min_docs`` documents reach: k1, k2, doc_id, ats, n, head, words. A row for each different line of a document, with its places."""
     busy = leaves.select(F.explode(F.array_distinct("leaves.leaf")).alias("leaf")).where("leaf is not null").groupBy("leaf").count().where(F.col("count") >= min_docs)
     busy = staged(busy.select("leaf"), "busy-leaves")
     at = leaves.select("__k1", "__k2", F.posexplode("leaves.leaf").alias("at", "leaf")).where("leaf is not null").join(busy, "leaf", "left_semi")
     at = at.groupBy("__k1", "__k2").agg(F.collect_set("at").alias("at"))
     found = rows.join(at, ["__k1", "__k2"]).withColumn("lines", _lines(F.col("text"))).select("__k1", "__k2", "doc_id", "lines", F.explode("at").alias("at"))
     found = found.select("__k1", "__k2", "doc_id", "at", masked(tokens(F.col("lines")[F.col("at")])).alias("words"))
-    return staged(found.select("*", F.size("words").alias("n"), F.concat_ws(" ", F.slice("words", 1, depth)).alias("head")).dropDuplicates(["__k1", "__k2", "at"]), "candidate-lines")
+    found = found.groupBy("__k1", "__k2", "words").agg(F.first("doc_id").alias("doc_id"), F.collect_set("at").alias("ats"))
+    return staged(found.select("*", F.size("words").alias("n"), F.concat_ws(" ", F.slice("words", 1, depth)).alias("head")), "candidate-lines")
 
 
 def _templates(lines: DataFrame) -> DataFrame:
     """n, head, template: array of the fixed tokens, null where the position varies. A document has one vote for each of its different lines."""
-    counted = lines.select("__k1", "__k2", "n", "head", "words").distinct().groupBy("n", "head", "words").count()
+    counted = lines.groupBy("n", "head", "words").count()
     token = counted.select("n", "head", "count", F.posexplode("words").alias("at", "token")).groupBy("n", "head", "at", "token").agg(F.sum("count").alias("c"))
     fixed = token.groupBy("n", "head", "at").agg(F.sum("c").alias("all"), F.max(F.struct("c", "token")).alias("most"))
     fixed = fixed.select("n", "head", F.struct("at", F.when(F.col("most.c") * 2 > F.col("all"), F.col("most.token")).alias("token")).alias("p"))
@@ -102,7 +103,7 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMIL
     # behind the head that all lines of a leaf share; equal there as masked: a digit on both sides is no difference
     rest = F.slice(F.zip_with("words", "template", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))), depth + 1, F.greatest(F.col("n") - depth, F.lit(0)))
     alike = (total(fixed) >= similarity * F.col("n")) & (total(rest) >= similarity * (F.col("n") - depth))
-    follow = staged(lines.join(staged(_templates(lines), "templates"), ["n", "head"]).where(alike).select("__k1", "__k2", "doc_id", "at", "n", "head"), "template-lines")
+    follow = staged(lines.join(staged(_templates(lines), "templates"), ["n", "head"]).where(alike).select("__k1", "__k2", "doc_id", F.explode("ats").alias("at"), "n", "head"), "template-lines")
     late = copies.union(_late(follow, ["n", "head"], min_docs, "first-lines"))
     return late.groupBy("__k1", "__k2").agg(F.collect_set("at").alias("drop"))
 

@@ -350,6 +350,32 @@ def test_held_out_labels_do_not_matter(spark, frame, prose):
     assert score(labels) == score(turned)
 
 
+@pytest.mark.parametrize("prior", [0.1, 0.6])
+def test_nnpu_follows_the_risk(prior):
+    """The fit against the non-negative risk written out row by row, its gradient taken by differences."""
+    r = random.Random(5)
+    toxic = [np.array(sorted(r.sample(range(6), 3)), np.int64) for _ in range(9)] + [np.array([], np.int64)]
+    unlabelled = [np.array(sorted(r.sample(range(6), 2)), np.int64) for _ in range(14)] + toxic[:4]
+    loss = lambda z: float(np.logaddexp(0, -z))
+    mean = lambda rows, x, sign: sum(loss(sign * (sum(x[f] for f in row) + x[-1])) for row in rows) / len(rows)
+    turned = []
+
+    def risk(x):
+        as_negative = mean(unlabelled, x, -1) - prior * mean(toxic, x, -1)
+        turned.append(as_negative < 0)
+        # where the part of the negatives falls below zero, it is climbed back instead
+        return (prior * mean(toxic, x, 1) + as_negative if as_negative >= 0 else -as_negative) + 5e-5 * sum(v * v for v in x[:-1])
+
+    x, m, v = np.zeros(7), np.zeros(7), np.zeros(7)
+    for t in range(1, 61):
+        g = np.array([(risk(x + d) - risk(x - d)) / 2e-6 for d in np.eye(7) * 1e-6])
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        x = x - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    w, b = toxicity.fit_nnpu(toxic, unlabelled, 6, prior, steps=60)
+    assert np.allclose([*w, b], x, atol=2e-3)
+    assert any(turned) == (prior == 0.6)
+
+
 # 10
 
 
