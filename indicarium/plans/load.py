@@ -93,8 +93,10 @@ def _write_counted(rows: DataFrame, store: str, load: str, stored: dict[int, lis
     one = F.lit(1)
     sinks.write_facts(rows, V.load_path(store, load), ["dado_id", S.YEAR_COL], mode="error", observe=(seen, [
         F.count(one).alias("rows"), F.count_if(_in_pairs(stored)).alias("touched"), F.count_if(F.col("municipio_id").isNull()).alias("unmatched"),
-        F.collect_set(F.struct("dado_id", S.YEAR_COL)).alias("pairs")]))
+        F.count_if(F.col(S.YEAR_COL).isNull()).alias("undated"), F.collect_set(F.struct("dado_id", S.YEAR_COL)).alias("pairs")]))
     got = seen.get
+    if got.get("undated"):
+        raise K.ContractError(f"{got['undated']} rows without a year")
     years: dict[int, list[int]] = {}
     for i, y in sorted(tuple(p) for p in got.get("pairs") or []):
         years.setdefault(i, []).append(y)
@@ -120,7 +122,8 @@ def load_incremental(facts: DataFrame, indicator_dim: DataFrame, municipality_di
     A year that the dimension lists and the store lacks was loaded elsewhere
     and is left out, as at the source. A year that the store has is merged:
     rows whose (indicator, year, city) is there are counted and left alone, the
-    others are added. Rows of one load are never merged with each other.
+    others are added. Rows of one load are never merged with each other. A row
+    without a year fails the load, as nothing could tell whether it is there.
 
     Returns the inserted rows, those of them in years the store had (late), the rows that were there
     (present), the inserted rows of unknown cities (unmatched), the version, the
@@ -146,6 +149,8 @@ def load_incremental(facts: DataFrame, indicator_dim: DataFrame, municipality_di
             loads = ([load] if added else []) + ([f"{load}-late"] if late["rows"] else [])
         out = {"rows": added + late["rows"], "late": late["rows"], "present": wrote["touched"] - late["rows"]}
         if not out["rows"]:
+            for x in {load, f"{load}-late"}:
+                V.drop_load(spark, store, x)
             break
         years = {i: [y for y in ys if y not in touched.get(i, [])] + late["years"].get(i, []) for i, ys in wrote["years"].items()}
         if V.commit(spark, store, version + 1, loads, years=sorted((i, sorted(ys)) for i, ys in years.items() if ys), **out):

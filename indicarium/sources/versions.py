@@ -77,6 +77,12 @@ def read_loads(spark: SparkSession, root: str, loads: list[str], schema: str) ->
     return spark.read.schema(schema).option("basePath", root).parquet(*[load_path(root, x) for x in loads])
 
 
+def drop_load(spark: SparkSession, root: str, load: str) -> None:
+    """Take away a load that is not committed."""
+    fs, path = _path(spark, load_path(root, load))
+    fs.delete(path, True)
+
+
 def drop_partitions(spark: SparkSession, root: str, load: str, partitions: list[str]) -> None:
     """Take partitions out of a load that is not committed."""
     for p in partitions:

@@ -155,3 +155,14 @@ def test_a_failed_source_ends_the_process_with_1(spark, scratch, monkeypatch, ca
     monkeypatch.setitem(R.SOURCES, "capag", "no_such_query")
     assert R.main(args) == 1 and "status: erro" in capsys.readouterr().out
     assert [r.status for r in spark.read.parquet(os.path.join(scratch, "log")).collect()] == ["erro"]
+
+
+def test_rows_without_a_year_fail_the_load(spark, scratch, dims):
+    store = os.path.join(scratch, "fatos")
+    with pytest.raises(Exception, match="without a year"):
+        L.load_incremental(facts(spark, [1], [2019, None]), *dims, store)
+    assert rows(spark, store) is None
+    assert L.load_incremental(facts(spark, [1], [2019]), *dims, store)["rows"] == 1
+    # a load that adds nothing leaves nothing
+    V.remove_unfinished(spark, store)
+    assert L.load_incremental(facts(spark, [1], [2019]), *dims, store)["present"] == 1 and V.remove_unfinished(spark, store) == []
