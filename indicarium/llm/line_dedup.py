@@ -48,13 +48,15 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _leaves(rows: DataFrame, depth: int, similarity: float, min_tokens: int, long_tokens: int) -> DataFrame:
     """__k1, __k2, doc_id, leaves: of each line its leaf, and where it is a template of its own (a, b) what stands for its masked tokens."""
-    def of_line(words: Column, masks: Column) -> Column:
+    def of_line(text: Column, words: Column, masks: Column) -> Column:
         n = F.size(words)
-        fixed = F.size(F.filter(masks, lambda t: t != VARIABLE))
+        fixed = F.when(text.rlike("[0-9]") | text.contains(VARIABLE), F.size(F.filter(masks, lambda t: t != VARIABLE))).otherwise(n)
         alone = (n >= long_tokens) & (fixed >= similarity * n)
         return F.when(n >= min_tokens, F.struct(F.xxhash64(n, F.slice(masks, 1, depth)).alias("leaf"), F.when(alone, F.xxhash64(masks)).alias("a"), F.when(alone, F.xxhash64(F.reverse(masks), n)).alias("b")))
 
-    line = lambda x: F.transform(F.array(tokens(x)), lambda w: F.transform(F.array(masked(w)), lambda m: of_line(w, m))[0])[0]
+    # most lines have no digit and so nothing to mask
+    mask = lambda x, w: F.when(x.rlike("[0-9]"), masked(w)).otherwise(w)
+    line = lambda x: F.transform(F.array(tokens(x)), lambda w: F.transform(F.array(mask(x, w)), lambda m: of_line(x, w, m))[0])[0]
     return rows.select("__k1", "__k2", "doc_id", F.transform(_lines(F.col("text")), line).alias("leaves"))
 
 
