@@ -210,7 +210,7 @@ def embedding_components(spark: SparkSession, vectors: DataFrame, threshold: flo
     roots = components(found.where("b is not null").select("a", "b"))
     named = nodes.select("node", "least", "many").join(degree, "node", "left").join(roots, "node", "left")
     named = staged(named.select("node", "least", (F.coalesce("n", F.lit(0)) + F.col("many") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")), "named-nodes")
-    names = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "n_links", "component_id")
+    names = named.join(staged(named.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids"), "root").select("node", "n_links", "component_id")
     members = rows.where("node is not null").select("vec_id", "node").join(names, "node")
     return members.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")).union(alone)
 
