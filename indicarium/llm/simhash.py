@@ -138,7 +138,7 @@ def simhash_components(spark: SparkSession, docs: DataFrame, radius: int = 2, wi
     roots = classes(prints, radius)
     names = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots, "fp", "left")
     names = staged(names.select("fp", "least", F.coalesce("root", "fp").alias("root")), "classes")
-    ids = names.join(names.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    ids = names.join(staged(names.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids"), "root").select("fp", "component_id")
     return prints.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
