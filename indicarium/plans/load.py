@@ -107,7 +107,8 @@ def _write_late(spark: SparkSession, store: str, load: str, late: str, loads: li
     """Of a load's rows in partitions that the store has, write those whose key is not there, and drop the load's own copy."""
     where = _in_pairs(touched)
     fresh = V.read_loads(spark, store, [load], LOADED_SCHEMA).where(where).drop("load")
-    known = V.read_loads(spark, store, loads, LOADED_SCHEMA).where(where).select(*[F.col(c).alias(f"__{c}") for c in LOADED_KEY])
+    # merge: by their bytes in parquet the store's keys pass for small long after a hash table of them is not (25 MB of files, 1.1 GB of table)
+    known = V.read_loads(spark, store, loads, LOADED_SCHEMA).where(where).select(*[F.col(c).alias(f"__{c}") for c in LOADED_KEY]).hint("merge")
     # a city that was not found has a null id: null equals null here, or a rerun would add it again
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in LOADED_KEY])
     out = _write_counted(fresh.join(known, same, "left_anti"), store, late, {})
@@ -139,7 +140,8 @@ def load_incremental(facts: DataFrame, indicator_dim: DataFrame, municipality_di
         stored, version = stored_years(commits), V.latest(commits)
         elsewhere = indicator_dim.join(_years_frame(spark, stored), "dado_id", "left").withColumn(
             "anos_serie_historica", U.years_new(F.coalesce("anos_serie_historica", F.array().cast("array<int>")), "__stored")).drop("__stored")
-        rows, unknown = rows_to_load(facts, elsewhere, municipality_dim)
+        # a few indicators deal the facts to as few tasks, unless their dimension is broadcast; AQE does not when few of its partitions have rows
+        rows, unknown = rows_to_load(facts, J.listed(elsewhere.select("dado_id", "nome_dado", "topico", "anos_serie_historica")), municipality_dim)
         load = V.load_name(version + 1)
         wrote = _write_counted(rows, store, load, stored)
         touched = {i: t for i, ys in wrote["years"].items() if (t := [y for y in ys if y in stored.get(i, [])])}

@@ -166,3 +166,31 @@ def test_rows_without_a_year_fail_the_load(spark, scratch, dims):
     # a load that adds nothing leaves nothing
     V.remove_unfinished(spark, store)
     assert L.load_incremental(facts(spark, [1], [2019]), *dims, store)["present"] == 1 and V.remove_unfinished(spark, store) == []
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_store_keys_are_merged_not_hashed(spark, scratch, dims, monkeypatch):
+    """The store's keys grow with the facts: no task holds a table of them, however small their files look."""
+    store, plans, real = os.path.join(scratch, "s"), [], L._write_counted
+    monkeypatch.setattr(L, "_write_counted", lambda df, *a: (plans.append(plan_of(df)), real(df, *a))[1])
+    L.load_incremental(facts(spark, [1, 2], [2019]), *dims, store)
+    out = L.load_incremental(facts(spark, [2, 3], [2019]), *dims, store)
+    assert (out["rows"], out["late"], out["present"]) == (1, 1, 1) and len(plans) == 3
+    assert "SortMergeJoin" in plans[-1] and "HashJoin" not in plans[-1]
+
+
+def test_indicators_do_not_deal_the_facts(spark, scratch, dims, monkeypatch):
+    """A handful of indicators is broadcast also where Spark would not do it of its own accord; facts aren't shuffled by their names."""
+    store, plans, real = os.path.join(scratch, "s"), [], L._write_counted
+    monkeypatch.setattr(L, "_write_counted", lambda df, *a: (plans.append(plan_of(df)), real(df, *a))[1])
+    ind = dims[0].groupBy("dado_id", "nome_dado", "topico").agg(F.first("anos_serie_historica").alias("anos_serie_historica"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = L.load_incremental(facts(spark, [1, 2], [2019]), ind, dims[1], store)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert out["rows"] == 2 and "hashpartitioning(__nk" not in plans[0] and "BroadcastHashJoin [__nk_l" in plans[0]
