@@ -96,8 +96,9 @@ def flatten_api(df: DataFrame, doc: str | None = None, keep: list[str] | None =
     """
     keep = keep or []
     base = df.select(*keep, F.col(f"{doc}.*")) if doc else df
+    # outer: for a plain explode Spark infers filters on the list and pushes them below what made it, so that each document is parsed again for each
     r = base.select(*keep, F.col("id").alias("variavel_id"), "variavel", "unidade",
-                    F.posexplode("resultados").alias("resultado", "__r"))
+                    F.posexplode_outer("resultados").alias("resultado", "__r")).where(F.col("resultado").isNotNull())
     s = r.select(*keep, "variavel_id", "variavel", "unidade", "resultado",
                  F.array_join(F.transform("__r.classificacoes", lambda c: c["id"]), ",").alias("classificacao"),
                  F.explode("__r.series").alias("__s"))
@@ -118,7 +119,8 @@ def frame_answers(spark: SparkSession, path: str, out: str) -> None:
     array can't be split, so this reads each file in one task, once; what
     reads the lines is as parallel as their bytes allow. Documents keep whatever shape they have."""
     docs = spark.read.option("singleVariantColumn", "doc").option("multiLine", "true").json(path)
-    docs.select(F.explode(F.col("doc").cast("array<variant>")).alias("value")).select(F.to_json("value").alias("value")).write.text(out)
+    each = docs.select(F.posexplode_outer(F.col("doc").cast("array<variant>")).alias("pos", "value")).where(F.col("pos").isNotNull())  # outer: as in flatten_api
+    each.select(F.to_json("value").alias("value")).write.text(out)
 
 
 def read_api_lines(spark: SparkSession, path: str, keep: dict[str, str] | None = None) -> DataFrame:
@@ -128,13 +130,14 @@ def read_api_lines(spark: SparkSession, path: str, keep: dict[str, str] | None =
     error. ``keep``: further fields of a document, name -> type."""
     doc = spark.read.text(path).select(F.parse_json("value").alias("doc"))
     several = API_SCHEMA["resultados"].dataType
-    results = F.coalesce(
+    got = F.coalesce(
         F.try_variant_get("doc", "$.resultados", several.simpleString()),
         F.array(F.try_variant_get("doc", "$.resultados", several.elementType.simpleString())))
-    odd = F.try_variant_get("doc", "$.resultados", "variant").isNotNull() & results[0].isNull() & (F.size(results) > 0)
-    results = F.when(odd, F.raise_error(F.concat(F.lit("an answer of another shape: "), F.to_json("doc"))).cast(several)).otherwise(results)
     fields = {"id": "string", "variavel": "string", "unidade": "string"} | (keep or {})
-    return flatten_api(doc.select(*[F.variant_get("doc", f"$.{n}", t).alias(n) for n, t in fields.items()], results.alias("resultados")), keep=list(keep or {}))
+    read = doc.select("doc", *[F.variant_get("doc", f"$.{n}", t).alias(n) for n, t in fields.items()], got.alias("__got"))  # a column, so that it is made once
+    odd = F.col("__got")[0].isNull() & (F.size("__got") > 0) & F.try_variant_get("doc", "$.resultados", "variant").isNotNull()
+    results = F.when(odd, F.raise_error(F.concat(F.lit("an answer of another shape: "), F.to_json("doc"))).cast(several)).otherwise(F.col("__got"))
+    return flatten_api(read.select(*fields, results.alias("resultados")), keep=list(keep or {}))
 
 
 FLAT_SERIES_SCHEMA = "id string, periodo string, valor string, cod string"
