@@ -184,6 +184,20 @@ def test_suffix_dedup(spark, frame, odd_texts, prose):
         assert Counter((g.doc_id, g.n_bytes, g.n_removed, g.n_spans, g.kept_sha256, bytes(g.kept)) for g in got) == Counter(want)
 
 
+def test_suffix_dedup_of_many_copies(spark, frame, prose):
+    """Copies of a text are one row before its segments are fetched, and the runs are written before they are joined to all copies."""
+    same = prose(1, 120)
+    docs = frame([(i, same) for i in range(300)] + [(300, same + " end")])
+    rows = suffix_dedup._key(docs)
+    wanted = rows.where("doc_id = 0").selectExpr("k1", "k2", "5 AS start", "2 AS n", "0 AS anchor", "1L AS g", "1L AS d", "300L AS many", "2L AS kinds")
+    found, out = suffix_dedup._fetched(rows, wanted, 400), suffix_dedup.suffix_dedup(spark, docs)
+    above_join = [df._jdf.queryExecution().executedPlan().toString().partition("Join")[0] for df in (found, out)]
+    assert [r.data.decode() for r in found.collect()] == [same[5:406]]
+    assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()} == {(i, len(same), len(same), 1, b"") for i in range(300)} | {(300, len(same) + 4, len(same), 1, b" end")}
+    assert not any("Aggregate" in x for x in above_join)
+    assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_collection_transform():
     r = random.Random(5)
     seqs = [np.array([r.randrange(3) for _ in range(r.randrange(0, 12))], np.uint64) for _ in range(9)]
