@@ -62,6 +62,34 @@ def test_embedding_groups_that_own_centres(spark, monkeypatch):
     assert {got[i].component_id for i in range(400, 700)} == {400}
 
 
+def test_embedding_lists_prune():
+    """Vectors without structure: a vector is compared with a share of all others that falls as the table grows."""
+    share = []
+    for n in (2000, 8000):
+        x = np.random.default_rng(5).normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        model = embedding_dedup.fit(x, n)
+        to = np.concatenate([((y[:, None] - model.centres) ** 2).sum(2) for y in np.split(x, 10)])
+        home = to.argmin(1)
+        apart = np.linalg.norm(model.centres[home[-400:]][:, None] - model.centres, axis=2)
+        looks = to[-400:] - to[-400:].min(1)[:, None] <= 2 * apart * embedding_dedup.MARGIN * math.sqrt(2 - 2 * embedding_dedup.THRESHOLD)
+        share.append((looks @ np.bincount(home, minlength=len(model.centres))).mean() / n)
+    assert share[1] < 0.4 and share[1] < 0.75 * share[0]  # 0.49 and 0.33; 0.80 and 0.58 with lists of 256
+
+
+def test_embedding_small_matrices(spark, monkeypatch):
+    """Codes, links and counts are made in bounded pieces, whatever the lists and groups."""
+    monkeypatch.setattr(embedding_dedup, "PER_LIST", 8)
+    monkeypatch.setattr(embedding_dedup, "CELLS", 256)
+    r = np.random.default_rng(6)
+    x = np.concatenate([r.normal(size=(100, 24)), (e := r.normal(size=24)) + r.normal(size=(120, 24)) * 0.1, 7 * e + r.normal(size=(40, 24)), -e + r.normal(size=(30, 24)) * 0.2])
+    x = np.concatenate([x, x[90:110], 3 * x[115:130]])
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {g.vec_id: g.n_links for g in embedding_dedup.embedding_components(spark, df).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    assert [got[i] for i in range(len(x))] == ((u @ u.T >= 0.9).sum(1) - 1).tolist()
+
+
 def test_embedding_lengths(spark):
     """Vectors of each length link among themselves, and with no other length."""
     r = np.random.default_rng(4)
