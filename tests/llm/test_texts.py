@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from indicarium.llm import decontamination, line_dedup, packing, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
@@ -250,6 +252,33 @@ def test_ids_of_odd_strings():
     assert packing.encode(texts, path) == [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_strings_are_told_apart_by_column():
+    """Strings made of known parts are put together without a call for each of them."""
+    cores = ["".join(random.Random(i).choices("abcdeéß", k=8)) for i in range(40)]
+    words = [c.title() + "." * n + "!" * m for c in cores for n in range(10) for m in range(10)]
+    path, calls = public_tokenizers.path("word_bpe_49k.json"), []
+    packing.encode([" ".join(cores), " ".join(w[8:] for w in words)], path)
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        got = packing.encode([" ".join(words)], path)
+    finally:
+        sys.setprofile(None)
+    assert got == packing.Encoder(path).plain([" ".join(words)])
+    assert len(calls) < len(words) // 4, len(calls)
+
+
+def test_ids_when_memory_is_short(monkeypatch):
+    """Parts that are forgotten are encoded again; batches may hold no word, or more parts than are remembered."""
+    monkeypatch.setattr(packing, "MEMORY", 5)
+    r = random.Random(8)
+    encoder = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for n in (0, 1, 3, 40, 2, 0, 9) * 4:
+        texts = [" ".join(r.choices(["river", "Stone.", "lake", "hill,", "don't", "漢字", "12", "été!?", "--", "Moon"], k=n)) for _ in range(3)] + ["", " \t", "a\x1cb"]
+        assert encoder.encode(pa.array(texts)) == encoder.plain(texts)
+        assert max(len(m.known) for m in (encoder.heads, encoder.tails, encoder.others)) <= 10
+    assert encoder.encode(pa.array([], pa.string())) == [] and encoder.encode(pa.array(["x", "", "b c"]).slice(1)) == encoder.plain(["", "b c"])
+
+
 def test_fullest_is_closest():
     r = random.Random(1)
     for _ in range(200):
